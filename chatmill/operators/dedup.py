@@ -26,15 +26,20 @@ def first_orders(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Rows that come first (smallest unique ``order``) within their key group.
-    Rows with a NULL key are not deduplicated away."""
-    firsts = first_orders(df.filter(F.col(keys[-1]).isNotNull()).select(*keys, order), keys, order)
-    return df.join(firsts.select(order), order, "left_semi").unionByName(df.filter(F.col(keys[-1]).isNull()))
+    Rows with a NULL key are kept.  Two passes over ``df``: the key
+    aggregate and one join on ``order``."""
+    firsts = (first_orders(df.select(*keys, order), keys, order)
+              .filter(F.col(keys[-1]).isNotNull())
+              .select(order, F.lit(True).alias("_cm_first")))
+    joined = df.join(firsts, order, "left")
+    return joined.filter(F.col("_cm_first") | F.col(keys[-1]).isNull()).drop("_cm_first")
 
 
 def flag_duplicates(df: DataFrame, keys: list[str], order: str, out: str = "is_duplicate") -> DataFrame:
     """Adds ``out``: TRUE for every row after the first of its key group,
     NULL where the key is NULL."""
-    firsts = (first_orders(df.filter(F.col(keys[-1]).isNotNull()).select(*keys, order), keys, order)
+    firsts = (first_orders(df.select(*keys, order), keys, order)
+              .filter(F.col(keys[-1]).isNotNull())
               .select(order, F.lit(True).alias("_cm_first")))
     flagged = df.join(firsts, order, "left")
     return flagged.withColumn(

@@ -41,6 +41,25 @@ def outcome_counts(classified: DataFrame, scope: str = "source") -> DataFrame:
         .withColumn("dropped", F.col("input") - F.col("output")))
 
 
+def outcome_counts_single_pass(converted: DataFrame, scope: str = "source",
+                               parsed: str = "parsed", key: str = "content_key") -> DataFrame:
+    """The same per-scope counts as ``outcome_counts(classify_lines(..))``
+    without deciding which copy is first: kept = distinct keys among
+    converted rows.  One scan; the ``(scope, key)`` aggregate combines
+    map-side, so a hot key costs one row per map task."""
+    per_key = converted.groupBy(scope, key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col(parsed).isNull()).alias("_parse"))
+    conv = F.col(key).isNotNull()
+    return (per_key.groupBy(scope).agg(
+        F.sum("_n").alias("input"),
+        F.count_if(conv).alias("output"),
+        F.sum("_parse").alias("parse_error"),
+        F.sum(F.when(~conv, F.col("_n") - F.col("_parse")).otherwise(F.lit(0))).alias("conversion_failed"),
+        F.sum(F.when(conv, F.col("_n") - 1).otherwise(F.lit(0))).alias("duplicate"))
+        .withColumn("dropped", F.col("input") - F.col("output")))
+
+
 def retention_pct(output: Column, inp: Column) -> Column:
     """output / max(input, 1) * 100; NULL (shown as a dash) when input is 0."""
     return F.when(inp > 0, output.cast("double") * 100 / F.greatest(inp, F.lit(1)))

@@ -243,6 +243,18 @@ SELECT CASE WHEN grouping(source) = 1 THEN 'Total' ELSE source END AS source,
        CASE WHEN sum(input) > 0 THEN CAST(sum(output) AS DOUBLE) * 100 / CAST(sum(input) AS BIGINT) END AS retention_pct
 FROM cnt GROUP BY ROLLUP (source)"""
 
+SQL["clean_rows"] = f"""
+WITH {TRIPLES},
+l AS (SELECT tv.*, strpos(d0.text, chr(10)) > 0 AS has_fields,
+             CASE WHEN strpos(d0.text, chr(10)) > 0 THEN TRUE ELSE coalesce(json_valid(d0.text), FALSE) END AS parsed_ok
+      FROM tv JOIN d0 USING (doc_id)),
+c AS (SELECT *, parsed_ok AND has_fields AND ok AS converted FROM l),
+k AS (SELECT *, CASE WHEN converted THEN {KEY} END AS content_key FROM c),
+f AS (SELECT *, row_number() OVER (PARTITION BY source, converted, content_key ORDER BY doc_id) AS rn FROM k)
+SELECT doc_id, source, CASE WHEN NOT parsed_ok THEN 'parse_error' WHEN NOT converted THEN 'conversion_failed'
+                            WHEN rn > 1 THEN 'duplicate' ELSE 'kept' END AS outcome, content_key
+FROM f"""
+
 SQL["validate_examples"] = f"""
 WITH {ALTERNATING}
 SELECT conv_id, nk + 1 AS n_messages, (nk + 1 >= 2 AND has_user AND has_asst) AS valid_example FROM alt"""

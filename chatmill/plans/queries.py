@@ -24,11 +24,11 @@ from ..operators import report as R
 from ..operators import score as S
 from ..operators import tokens as TK
 from ..operators.dedup import keep_first
-from ..operators.outcomes import classify_lines, outcome_counts, outcome_summary
+from ..operators.outcomes import classify_lines, outcome_counts_single_pass, outcome_summary
 from ..operators.verify import required_key_check
 from ..sources.registry import baselines_df
 from ..session import materialize
-from ..sources.tables import read_table
+from ..sources.tables import read_table, read_text_table
 
 DEFAULT_SYSTEM = C.DEFAULT_SYSTEM
 SEED = 42
@@ -36,7 +36,14 @@ MAX_LEN = 2048
 PAD_BATCH = 8
 
 
+# tables with regex-heavy per-row work, and the key their scan is spread on
+_TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id",
+              "orders": "o_orderkey", "events": "event_id"}
+
+
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    if name in _TEXT_KEYS:
+        return read_text_table(spark, sf, name, _TEXT_KEYS[name])
     return read_table(spark, sf, name)
 
 
@@ -165,9 +172,17 @@ def doc_json_lines(spark, sf) -> DataFrame:
 
 
 def q_clean_outcomes(spark, sf):
+    """Per-source outcome counts with a Total row (one pass)."""
+    conv = C.convert_parsed(doc_json_lines(spark, sf), "triples", default_system=DEFAULT_SYSTEM)
+    keyed = conv.withColumn("content_key", F.when(F.col("messages").isNotNull(), content_hash("messages")))
+    return outcome_summary(outcome_counts_single_pass(keyed, "source"), "source")
+
+
+def q_clean_rows(spark, sf):
+    """Row-level outcome of every line (first copy kept per source)."""
     classified = classify_lines(doc_json_lines(spark, sf), "triples", default_system=DEFAULT_SYSTEM,
                                 scope="source", order="doc_id")
-    return outcome_summary(outcome_counts(classified, "source"), "source")
+    return classified.select("doc_id", "source", "outcome", "content_key")
 
 
 def q_validate_examples(spark, sf):
@@ -413,6 +428,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convert_qa": q_convert_qa,
     "dedup_first": q_dedup_first,
     "clean_outcomes": q_clean_outcomes,
+    "clean_rows": q_clean_rows,
     "validate_examples": q_validate_examples,
     "cap_per_source": q_cap_per_source,
     "oversample": q_oversample,
