@@ -103,10 +103,17 @@ def title_from_key(c) -> Column:
     return F.initcap(F.replace(col_of(c), F.lit("_"), F.lit(" ")))
 
 
+def fixed_text(x, places: int = 1) -> Column:
+    """A number with ``places`` decimals.  ``bround`` (half-even) first, so
+    that the formatter (half-up) has nothing left to round: a tie such as
+    92.25 prints 92.2 as Python's formatting does."""
+    return F.format_string(f"%.{places}f", F.bround(col_of(x), places))
+
+
 def percent_text(num, den, places: int = 1) -> Column:
     """``num / den * 100`` formatted with ``places`` decimals and a ``%``."""
     pct = col_of(num).cast("double") * 100 / col_of(den)
-    return F.format_string(f"%.{places}f%%", pct)
+    return F.concat(fixed_text(pct, places), F.lit("%"))
 
 
 def short_checksum(c, n: int = 12) -> Column:

@@ -425,3 +425,89 @@ FROM j GROUP BY name"""
 SQL["incremental_clean"] = f"""
 WITH {TRIPLES}
 SELECT DISTINCT source, {KEY} AS content_key FROM tv WHERE ok"""
+
+SQL["holdout_sources"] = """
+SELECT source, count(*) AS documents FROM documents
+WHERE source NOT IN ('src17', 'src18', 'src19') GROUP BY source"""
+
+SQL["capped_ingest"] = """
+SELECT source, doc_id
+FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents)
+WHERE rn <= 25"""
+
+SQL["json_roundtrip"] = f"""
+SELECT conv_id, 'unknown' AS source, count(*) AS n_messages,
+       md5(string_agg(role || '{RS}' || text, '{US}' ORDER BY turn)) AS fingerprint
+FROM conversations GROUP BY conv_id"""
+
+_GEN = f"{IM_END}\n{IM_START}assistant\n"
+_CODE_HEAD = f"{IM_START}system\n{A.CODE_SYSTEM_PROMPT}{IM_END}\n{IM_START}user\n{A.CODE_USER_TEMPLATE_HEAD}"
+_MATH_HEAD = f"{IM_START}system\n{A.MATH_SYSTEM_PROMPT}{IM_END}\n{IM_START}user\n"
+
+SQL["benchmark_prompts"] = f"""
+WITH p AS (SELECT item_id, {lit(_CODE_HEAD)} || text || {lit(_GEN)} AS code,
+                  {lit(_MATH_HEAD)} || text || {lit(_GEN)} AS math FROM benchmark)
+SELECT item_id, length(code) AS code_prompt_length, md5(code) AS code_prompt_md5,
+       length(math) AS math_prompt_length, md5(math) AS math_prompt_md5 FROM p"""
+
+SQL["choice_details"] = f"""
+WITH {CHOICES}
+SELECT c.item_id, substr(e.props, 1, 80) AS question, c.subject,
+       substr('ABCD', c.answer + 1, 1) AS ground_truth,
+       coalesce(substr('ABCD', c.pidx + 1, 1), '?') AS predicted, c.correct
+FROM chgraded c JOIN events e ON e.event_id = c.item_id
+ORDER BY c.item_id LIMIT 100"""
+
+_MD_DELTA = ("CASE WHEN delta IS NULL THEN '—' WHEN delta >= 0 THEN printf('+%.1f%%', delta) "
+             "ELSE printf('%.1f%%', delta) END")
+
+SQL["markdown_report"] = f"""
+WITH {RESULTS},
+j AS (SELECT s.*, nullif(b.baseline, 0) AS baseline FROM scored s LEFT JOIN baselines b USING (benchmark)),
+k AS (SELECT *, round(score - baseline, 1) AS delta FROM j)
+SELECT benchmark, '| ' || benchmark || ' | ' || metric || ' | ' || CAST(score AS VARCHAR) || '% | '
+       || CASE WHEN baseline IS NULL THEN '—' ELSE CAST(baseline AS VARCHAR) || '%' END || ' | '
+       || {_MD_DELTA} || ' |' AS line
+FROM k"""
+
+SQL["clean_summary_table"] = SQL["clean_outcomes"].split("SELECT CASE WHEN grouping(source)")[0] + """
+SELECT source AS dataset, 'success' AS status, format('{:,}', input) AS input, format('{:,}', output) AS output,
+       format('{:,}', input - output) AS dropped,
+       CASE WHEN input > 0 THEN printf('%.1f%%', CAST(output AS DOUBLE) * 100 / input) ELSE '—' END AS retention,
+       '—' AS size
+FROM cnt"""
+
+SQL["training_plan"] = f"""
+WITH {TRIPLES}, {CONFIG}, {SPLIT},
+t AS (SELECT count(*) AS train_examples FROM splitted WHERE split = 'train'),
+p(profile, batch_size, grad_accumulation, epochs, warmup_ratio) AS (
+  VALUES ('local', 1, 16, 1, 0.05::DOUBLE), ('cloud', 1, 32, 3, 0.05::DOUBLE)),
+s AS (SELECT profile, train_examples, batch_size, grad_accumulation, warmup_ratio,
+             CAST(floor(floor(train_examples / batch_size) / grad_accumulation) * epochs AS BIGINT) AS total_steps
+      FROM t, p)
+SELECT profile, train_examples, total_steps, CAST(greatest(1, floor(total_steps * warmup_ratio)) AS BIGINT) AS warmup_steps,
+       CAST(batch_size * grad_accumulation AS BIGINT) AS effective_batch
+FROM s"""
+
+SQL["request_validation"] = """
+WITH r AS (SELECT event_id, event_type = 'signup' AS no_messages, value / 100 AS temperature, user_id * 30 AS max_tokens,
+                  coalesce(CASE WHEN event_type = 'error' THEN NULL
+                                ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) / 100.0::DOUBLE END, 0.9::DOUBLE) AS top_p,
+                  1.0::DOUBLE + CAST(json_extract_string(props, '$.k') AS INTEGER) / 50.0::DOUBLE AS repetition_penalty
+           FROM events),
+v AS (SELECT *, coalesce(
+        CASE WHEN no_messages THEN 'messages empty' END,
+        CASE WHEN NOT temperature BETWEEN 0.0 AND 2.0 THEN 'temperature out of range [0.0, 2.0]' END,
+        CASE WHEN NOT max_tokens BETWEEN 1 AND 4096 THEN 'max_tokens out of range [1, 4096]' END,
+        CASE WHEN NOT top_p BETWEEN 0.0 AND 1.0 THEN 'top_p out of range [0.0, 1.0]' END,
+        CASE WHEN NOT repetition_penalty BETWEEN 1.0 AND 2.0 THEN 'repetition_penalty out of range [1.0, 2.0]' END)
+        AS reason FROM r)
+SELECT event_id, temperature, max_tokens, top_p, repetition_penalty, reason IS NULL AS valid, reason FROM v"""
+
+SQL["usage"] = f"""
+WITH {CONV_TOKENS},
+n AS (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id)
+SELECT g.conv_id, total_tokens - labeled_tokens AS prompt_tokens, labeled_tokens AS completion_tokens,
+       total_tokens, CASE WHEN turns - 2 > 0 THEN CAST(labeled_tokens AS DOUBLE) / (turns - 2) ELSE 0.0::DOUBLE END
+       AS tokens_per_second
+FROM g JOIN n USING (conv_id)"""

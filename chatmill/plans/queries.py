@@ -411,6 +411,112 @@ def q_file_inventory(spark, sf):
                  F.count_if(~ignored).alias("kept_files"))
 
 
+# --- ingest, holdout, reports, re-aimed stages ---------------------------------
+
+def doc_registry(spark, sf) -> DataFrame:
+    """A registry over the document sources (rule mirrored in SQL): src18 and
+    src19 are evaluation sets, src17 has no converter, the rest are training
+    sources with the triple shape."""
+    s = _t(spark, sf, "documents").select("source").distinct()
+    cat = F.when(F.col("source").isin("src18", "src19"), F.lit("evaluation")).otherwise(F.lit("instruction"))
+    shape = F.when(F.col("source") == "src17", F.lit(None).cast("string")).otherwise(F.lit("triples"))
+    return s.select(F.col("source").alias("name"), cat.alias("category"), shape.alias("shape"))
+
+
+def q_holdout_sources(spark, sf):
+    reg = doc_registry(spark, sf)
+    allowed = reg.filter((F.col("category") != "evaluation") & F.col("shape").isNotNull()).select(
+        F.col("name").alias("source"))
+    d = _t(spark, sf, "documents").select("doc_id", "source")
+    # the registry has one row per source: bounded by the number of sources
+    kept = d.join(F.broadcast(allowed), "source", "left_semi")
+    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def q_capped_ingest(spark, sf):
+    from ..sources.ingest import capped_ingest
+    d = _t(spark, sf, "documents").select("doc_id", "source").withColumn("cap", F.lit(25))
+    return capped_ingest(d, ["source"], "doc_id", "cap").select("source", "doc_id")
+
+
+def q_json_roundtrip(spark, sf):
+    """Prepared-dataset encoding (messages as JSON text, source defaulted to
+    'unknown') parsed back into nested messages."""
+    from ..sinks.writers import prepared_columns
+    from ..sources.jsonl import messages_from_json
+    m = (conv_raw_messages(spark, sf).withColumn("split", F.lit("train"))
+         .withColumn("source", F.lit(None).cast("string")))
+    back = prepared_columns(m, keep=["conv_id"]).withColumn("parsed", messages_from_json("messages"))
+    return back.select("conv_id", "source", F.size("parsed").alias("n_messages"),
+                       messages_fingerprint("parsed").alias("fingerprint"))
+
+
+def q_benchmark_prompts(spark, sf):
+    b = _t(spark, sf, "benchmark")
+    p = b.select("item_id", A.code_prompt(F.col("text")).alias("code"), A.math_prompt(F.col("text")).alias("math"))
+    return p.select("item_id", F.length("code").alias("code_prompt_length"), F.md5("code").alias("code_prompt_md5"),
+                    F.length("math").alias("math_prompt_length"), F.md5("math").alias("math_prompt_md5"))
+
+
+def q_choice_details(spark, sf):
+    """Stored detail rows: the first 100 graded items (the detail limit is
+    the feature), question text cut to 80 code points."""
+    g = graded_choices(spark, sf).join(_t(spark, sf, "events").select(F.col("event_id").alias("item_id"), "props"),
+                                       "item_id")
+    top = g.orderBy("item_id").limit(S.MMLU_DETAIL_ROWS)
+    return top.select("item_id", F.substring("props", 1, 80).alias("question"), "subject", "ground_truth",
+                      "predicted", "correct")
+
+
+def q_markdown_report(spark, sf):
+    r = R.with_baselines(benchmark_results(spark, sf), baselines_df(spark))
+    line = R.markdown_result_line(F.col("benchmark"), F.col("metric"), F.col("score"), F.col("baseline"),
+                                  F.col("delta"))
+    return r.select("benchmark", line.alias("line"))
+
+
+def q_clean_summary_table(spark, sf):
+    from ..sinks.writers import summary_table_row
+    counts = q_clean_outcomes(spark, sf).filter(F.col("source") != "Total")
+    row = summary_table_row(F.col("source"), F.lit("success"), F.col("input"), F.col("output"), F.col("dropped"),
+                            F.lit(0).cast("bigint"))
+    return counts.select(F.inline(F.array(row)))
+
+
+def q_training_plan(spark, sf):
+    from ..operators.serving import profiles_df, training_plan
+    train = mixed_split(spark, sf).filter(F.col("split") == "train").agg(F.count(F.lit(1)).alias("train_examples"))
+    return training_plan(train, profiles_df(spark)).select(
+        "profile", "train_examples", "total_steps", "warmup_steps", "effective_batch")
+
+
+def q_request_validation(spark, sf):
+    from ..operators.serving import validate_requests
+    e = _t(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    req = e.select(
+        "event_id",
+        F.when(F.col("event_type") == "signup", F.array().cast("array<struct<role:string,content:string>>"))
+         .otherwise(F.array(F.struct(F.lit("user").alias("role"), F.col("event_type").alias("content"))))
+         .alias("messages"),
+        (F.col("value") / 100).alias("temperature"),
+        (F.col("user_id") * 30).alias("max_tokens"),
+        F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(k / F.lit(100.0)).alias("top_p"),
+        (F.lit(1.0) + k / F.lit(50.0)).alias("repetition_penalty"))
+    return validate_requests(req).select("event_id", "temperature", "max_tokens", "top_p", "repetition_penalty",
+                                         "valid", "reason")
+
+
+def q_usage(spark, sf):
+    from ..operators.serving import usage
+    tok = TK.label_coverage(TK.tokenize_messages(conv_raw_messages(spark, sf), max_length=MAX_LEN))
+    base = tok.select("conv_id", F.col("masked_tokens").alias("prompt_tokens"),
+                      F.col("labeled_tokens").alias("completion_tokens"),
+                      (F.size("messages") - 2).alias("elapsed"))
+    return usage(base, "prompt_tokens", "completion_tokens", "elapsed").select(
+        "conv_id", "prompt_tokens", "completion_tokens", "total_tokens", "tokens_per_second")
+
+
 # --- streaming --------------------------------------------------------------
 
 def q_incremental_clean(spark, sf):
@@ -451,4 +557,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "required_fields": q_required_fields,
     "file_inventory": q_file_inventory,
     "incremental_clean": q_incremental_clean,
+    "holdout_sources": q_holdout_sources,
+    "capped_ingest": q_capped_ingest,
+    "json_roundtrip": q_json_roundtrip,
+    "benchmark_prompts": q_benchmark_prompts,
+    "choice_details": q_choice_details,
+    "markdown_report": q_markdown_report,
+    "clean_summary_table": q_clean_summary_table,
+    "training_plan": q_training_plan,
+    "request_validation": q_request_validation,
+    "usage": q_usage,
 }
