@@ -75,15 +75,25 @@ def group_sizes(df: DataFrame, groups: list[str], out: str = "group_rows") -> Da
     return df.groupBy(*groups).agg(F.count(F.lit(1)).alias(out))
 
 
+# adaptive block width aims at no more than this many blocks per group
+TARGET_BLOCKS = 1 << 20
+
+
 def running_totals(df: DataFrame, groups: list[str], order: str, values: dict[str, Column],
-                   block_width: int = 4096, max_blocks: int | None = None) -> DataFrame:
+                   block_width: int | None = None, max_blocks: int | None = None) -> DataFrame:
     """Cumulative ``count`` (as ``running_rows``) and cumulative sums of
     ``values`` per group in ``order`` (numeric, unique within a group).
 
     Blocks are ``floor(order / block_width)``; each block is ranked alone and
-    offset by the totals of the blocks before it.
+    offset by the totals of the blocks before it.  Without a width, one small
+    aggregate of the order range picks it so that a group has at most about
+    a million blocks (and a block at most ``width`` rows).
     """
     blk = "_cm_block"
+    if block_width is None:
+        lo, hi = df.agg(F.min(order), F.max(order)).first()
+        span = 0 if lo is None else int(hi) - int(lo) + 1
+        block_width = max(4096, -(-span // TARGET_BLOCKS))
     staged = df.withColumn(blk, F.floor(F.col(order) / block_width))
     for name, expr in values.items():
         staged = staged.withColumn(f"_cm_v_{name}", expr)

@@ -60,7 +60,7 @@ def subject_accuracy(graded: DataFrame, subject: str = "subject", order: str = "
 
 
 def running_accuracy(graded: DataFrame, order: str, groups: list[str] | None = None,
-                     every: int | None = None, correct: str = "correct", block_width: int = 4096) -> DataFrame:
+                     every: int | None = None, correct: str = "correct", block_width: int | None = None) -> DataFrame:
     """Cumulative accuracy in ``order`` (per group) and a flag on every
     ``every``-th row -- where the reference prints progress."""
     rt = running_totals(graded, groups or [], order, {"correct": F.col(correct).cast("long")},

@@ -435,8 +435,8 @@ def q_holdout_sources(spark, sf):
 
 def q_capped_ingest(spark, sf):
     from ..sources.ingest import capped_ingest
-    d = _t(spark, sf, "documents").select("doc_id", "source").withColumn("cap", F.lit(25))
-    return capped_ingest(d, ["source"], "doc_id", "cap").select("source", "doc_id")
+    d = _t(spark, sf, "documents").select("doc_id", "source")
+    return capped_ingest(d, ["source"], "doc_id", 25).select("source", "doc_id")
 
 
 def q_json_roundtrip(spark, sf):

@@ -24,6 +24,10 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # rows here are CPU-heavy text: keep post-shuffle stages parallel even
+        # when their bytes are few (the default merges < 1 MB into one task)
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                os.environ.get("CHATMILL_MIN_PARTITION_SIZE", "64k"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CHATMILL_DRIVER_MEMORY", "16g"))
     )

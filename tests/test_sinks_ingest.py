@@ -100,8 +100,13 @@ def test_empty_input_and_head(spark):
     assert empty_like(spark, MESSAGES_ROW).count() == 0
     df = spark.range(50).withColumnRenamed("id", "seq")
     assert head(df, "seq", 20).count() == 20 and head(df, "seq", None).count() == 50
-    capped = capped_ingest(df.withColumn("g", F.lit("a")).withColumn("cap", F.lit(3)), ["g"], "seq", "cap")
-    assert sorted(r.seq for r in capped.collect()) == [0, 1, 2]
+    g = df.withColumn("g", F.when(F.col("seq") < 40, "a").otherwise("b"))
+    capped = capped_ingest(g, ["g"], "seq", 3)
+    assert sorted(r.seq for r in capped.collect()) == [0, 1, 2, 40, 41, 42]
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan                       # limited before the shuffle
+    per_group = capped_ingest(g.withColumn("cap", F.when(F.col("g") == "a", 5)), ["g"], "seq", "cap")
+    assert sorted(r.seq for r in per_group.collect()) == list(range(5)) + list(range(40, 50))
 
 
 def test_registry_and_profiles(spark):
