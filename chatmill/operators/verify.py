@@ -21,6 +21,14 @@ PARSE_SAMPLE_LINES = 100
 FIELD_SAMPLE_LINES = 10
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Existence through the Hadoop file system of the path (local, HDFS,
+    object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def file_stats(spark: SparkSession, paths: list[str]) -> DataFrame:
     """path, length, sha256 of every listed file that exists."""
     if not paths:
@@ -63,9 +71,9 @@ def missing_field(required, field_sample) -> F.Column:
 def verify_files(spark: SparkSession, manifest: DataFrame, contracts: DataFrame) -> DataFrame:
     """``manifest``: name, path, num_examples, checksum.  ``contracts``:
     name, required.  Returns the long check table."""
+    # the manifest has one row per dataset: its paths are a small list
     paths = [r["path"] for r in manifest.select("path").filter(F.col("path").isNotNull()).collect()]
-    import os
-    existing = [p for p in paths if os.path.exists(p)]
+    existing = [p for p in paths if _exists(spark, p)]
     stats = file_stats(spark, existing)
     norm = lambda c: F.regexp_replace(c, "^file:", "")
     stats = stats.withColumn("path", norm(F.col("path")))

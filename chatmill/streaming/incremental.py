@@ -53,6 +53,10 @@ def incremental_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     stream = (spark.readStream.schema(docs.schema).format("parquet")
               .load(f"{sf_dir.rstrip('/')}/documents*.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < cores:
+        # few input splits: spread the CPU-heavy conversion over the cores
+        stream = stream.repartition(cores, "doc_id")
     nl = F.instr(F.col("text"), "\n")
     triples = stream.select(
         "doc_id", "source", F.col("source").alias("system_prompt"),
