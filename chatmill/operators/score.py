@@ -73,3 +73,13 @@ def running_accuracy(graded: DataFrame, order: str, groups: list[str] | None = N
 
 def detail_rows(graded: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return graded.select(*[c.alias(n) for n, c in columns.items()])
+
+
+def select_benchmarks(df: DataFrame, allowed: list[str], name: str = "benchmark") -> DataFrame:
+    """Keep only the requested benchmarks."""
+    return df.filter(F.col(name).isin(list(allowed)))
+
+
+def with_runtime(results: DataFrame, seconds: float) -> DataFrame:
+    """Carry a measured runtime as a rounded column."""
+    return results.withColumn("runtime_seconds", F.round(F.lit(float(seconds)), 1))

@@ -424,12 +424,9 @@ def doc_registry(spark, sf) -> DataFrame:
 
 
 def q_holdout_sources(spark, sf):
-    reg = doc_registry(spark, sf)
-    allowed = reg.filter((F.col("category") != "evaluation") & F.col("shape").isNotNull()).select(
-        F.col("name").alias("source"))
+    from ..sources.registry import holdout_filter
     d = _t(spark, sf, "documents").select("doc_id", "source")
-    # the registry has one row per source: bounded by the number of sources
-    kept = d.join(F.broadcast(allowed), "source", "left_semi")
+    kept = holdout_filter(d, doc_registry(spark, sf), "source")
     return kept.groupBy("source").agg(F.count(F.lit(1)).alias("documents"))
 
 

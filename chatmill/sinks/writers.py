@@ -102,3 +102,37 @@ def report_timestamp(ts: Column) -> Column:
     """ISO-8601 UTC with a trailing Z (pass the run time in as a literal for
     deterministic output)."""
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+
+
+def write_jsonl(df: DataFrame, path: str) -> int:
+    """Full ingest to JSON lines; returns the row count of what was written
+    (read back from the files, so it is the count on disk)."""
+    df.write.mode("overwrite").option("compression", "none").json(path)
+    return df.sparkSession.read.text(path).count()
+
+
+def tokenization_manifest(stats: DataFrame, max_length: int, tokenizer_name: str) -> DataFrame:
+    """Tokenization config and per-split statistics as one document."""
+    per = stats.agg(F.collect_list(F.struct(*[F.col(c) for c in stats.columns])).alias("statistics"))
+    return per.select(F.lit(tokenizer_name).alias("tokenizer"), F.lit(int(max_length)).alias("max_seq_length"),
+                      "statistics")
+
+
+def evaluation_report(results: DataFrame, subjects: DataFrame | None, model: str, timestamp: Column) -> DataFrame:
+    """One-row evaluation report: benchmarks keyed by name (a repeated name
+    keeps the last), macro average of the rounded scores, a score map and,
+    when given, MMLU subject accuracies as a map."""
+    from ..operators.report import latest_per_benchmark
+    res = latest_per_benchmark(results, "run") if "run" in results.columns else results
+    cols = [c for c in res.columns if c != "run"]
+    report = res.agg(
+        F.map_from_entries(F.collect_list(F.struct("benchmark", F.struct(*[F.col(c) for c in cols])))).alias("benchmarks"),
+        F.count(F.lit(1)).alias("num_benchmarks"),
+        F.coalesce(F.round(F.avg("score"), 2), F.lit(0.0)).alias("average_score"),
+        F.map_from_entries(F.collect_list(F.struct("benchmark", "score"))).alias("scores"))
+    report = report.select(F.lit(model).alias("model"), timestamp.alias("timestamp"), "benchmarks",
+                           F.struct("num_benchmarks", "average_score", "scores").alias("summary"))
+    if subjects is not None:
+        sub = subjects.agg(F.map_from_entries(F.collect_list(F.struct("subject", "accuracy"))).alias("subject_accuracies"))
+        report = report.join(sub, how="inner")   # both sides are one row
+    return report

@@ -54,3 +54,11 @@ def messages_from_json(c: str = "messages"):
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A missing input is an empty dataset with the expected schema."""
     return spark.createDataFrame([], schema)
+
+
+def read_json_document(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A whole JSON document per file (evaluation report, manifest)."""
+    reader = spark.read.option("multiLine", True)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.json(path)

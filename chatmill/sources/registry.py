@@ -83,11 +83,29 @@ def contracts_df(spark: SparkSession, rows=None) -> DataFrame:
                                  "name string, required array<string>")
 
 
-def holdout_filter(df: DataFrame, registry: DataFrame, name_col: str = "source") -> DataFrame:
+def holdout_filter(df: DataFrame, registry: DataFrame, name_col: str = "source",
+                   converters: list[str] | None = None) -> DataFrame:
     """Keep rows whose source is a training (non-evaluation) source that has a
-    converter; evaluation sources never enter cleaning."""
-    from ..operators.convert import CONVERTERS
-    allowed = (registry.filter(F.col("category") != "evaluation")
-               .filter(F.col("name").isin(list(CONVERTERS)))
-               .select(F.col("name").alias(name_col)))
-    return df.join(F.broadcast(allowed), name_col, "left_semi")
+    converter; evaluation sources never enter cleaning.  Converters are the
+    given names, else the registry's non-NULL ``shape`` column.  The registry
+    has one row per source, so it is broadcast."""
+    allowed = registry.filter(F.col("category") != "evaluation")
+    if converters is not None:
+        allowed = allowed.filter(F.col("name").isin(list(converters)))
+    else:
+        allowed = allowed.filter(F.col("shape").isNotNull())
+    return df.join(F.broadcast(allowed.select(F.col("name").alias(name_col))), name_col, "left_semi")
+
+
+def load_baselines(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Baselines from a JSON document ``{"benchmark": score, ...}``; the
+    built-in table when no path is given; empty when the file is missing."""
+    if path is None:
+        return baselines_df(spark)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return baselines_df(spark, [])
+    doc = spark.read.option("multiLine", True).json(path)
+    return doc.select(F.explode(F.from_json(F.to_json(F.struct(*doc.columns)), "map<string,double>"))
+                      .alias("benchmark", "baseline"))

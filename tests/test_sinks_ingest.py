@@ -141,3 +141,38 @@ def test_report_helpers(spark):
     assert prog.select(build_test_program("p", "c", "t", "e")).collect()[0][0].endswith("check(f)\n")
     tok = RegexTokenizer()
     assert (tok.marker_id(IM_START), tok.marker_id(IM_END)) == (tok.im_start_id, tok.im_end_id)
+
+
+def test_reports_and_small_sources(spark, tmp_path):
+    from chatmill.operators.score import select_benchmarks, with_runtime
+    from chatmill.sinks.writers import evaluation_report, tokenization_manifest, write_jsonl
+    from chatmill.sources.jsonl import read_json_document
+    from chatmill.sources.registry import load_baselines
+    res = spark.createDataFrame([("mmlu", "accuracy", 70.0, 1), ("mmlu", "accuracy", 72.5, 2), ("gsm8k", "accuracy", 50.0, 1)],
+                                "benchmark string, metric string, score double, run int")
+    subj = spark.createDataFrame([("algebra", 50.0), ("law", 80.0)], "subject string, accuracy double")
+    rep = evaluation_report(res, subj, "m1", F.lit("2024-01-01T00:00:00Z"))
+    out = str(tmp_path / "report")
+    write_manifest(rep, out)
+    back = read_json_document(spark, out).collect()[0]
+    assert back.summary.average_score == 61.25 and back.benchmarks.mmlu.score == 72.5
+    assert back.subject_accuracies.law == 80.0
+    assert write_jsonl(res, str(tmp_path / "j")) == 3
+    (tmp_path / "b.json").write_text('{"humaneval": 79.9, "mmlu": 74.2}')
+    assert {r.benchmark: r.baseline for r in load_baselines(spark, str(tmp_path / "b.json")).collect()} == \
+        {"humaneval": 79.9, "mmlu": 74.2}
+    assert load_baselines(spark, str(tmp_path / "missing.json")).count() == 0
+    assert select_benchmarks(res, ["gsm8k"]).count() == 1
+    assert with_runtime(res, 12.345).first().runtime_seconds == 12.3
+    stats = spark.createDataFrame([("train", 10)], "split string, total_examples long")
+    tm = tokenization_manifest(stats, 2048, "regex").first()
+    assert tm.max_seq_length == 2048 and tm.statistics[0].split == "train"
+
+
+def test_holdout_filter_with_registry(spark):
+    from chatmill.operators.convert import CONVERTERS
+    from chatmill.sources.registry import holdout_filter, registry_df
+    df = spark.createDataFrame([("gsm8k", 1), ("mmlu", 2), ("humaneval", 3), ("openorca", 4), ("other", 5)],
+                               "source string, id int")
+    kept = {r.source for r in holdout_filter(df, registry_df(spark), converters=list(CONVERTERS)).collect()}
+    assert kept == {"gsm8k", "openorca"}
