@@ -19,7 +19,9 @@ from .operators import report as R
 from .operators import score as S
 from .operators import tokens as TK
 from .operators.convert import CONVERTERS, DEFAULT_SYSTEM
-from .operators.outcomes import classify_lines, outcome_counts, outcome_summary
+from .operators.convert import convert_parsed
+from .operators.dedup import keep_first
+from .operators.outcomes import outcome_counts_single_pass, outcome_summary
 from .operators.verify import verdicts, verify_files
 from .session import materialize
 from .sinks import writers as W
@@ -58,17 +60,22 @@ def clean_job(spark: SparkSession, raw_root: str, out_dir: str, sources: list[st
         else:
             status[r["name"]] = "success"
             lines = read_lines(spark, r["path"], source=r["name"])
-            frames.append(classify_lines(lines, CONVERTERS[r["name"]], default_system=default_system))
+            conv = convert_parsed(lines, CONVERTERS[r["name"]], default_system=default_system)
+            frames.append(conv.select("source", "seq", F.col("parsed").isNull().alias("parse_failed"), "messages")
+                              .withColumn("content_key",
+                                          F.when(F.col("messages").isNotNull(), content_hash("messages"))))
     counts_schema = ("source string, input long, output long, parse_error long, conversion_failed long, "
                      "duplicate long, dropped long")
     if frames:
-        classified = frames[0]
+        keyed = frames[0]
         for f in frames[1:]:
-            classified = classified.unionByName(f)
-        # both sinks (rows and metrics) read the classified frame once
-        classified = materialize(classified.select("source", "seq", "outcome", "messages"))
-        W.write_cleaned(classified.filter(F.col("outcome") == "kept"), f"{out_dir}/cleaned")
-        counts = outcome_counts(classified)
+            keyed = keyed.unionByName(f)
+        # every line is parsed, converted and keyed once; metrics and rows
+        # are both read from this checkpoint
+        keyed = materialize(keyed)
+        counts = outcome_counts_single_pass(keyed, parse_failed=F.col("parse_failed"))
+        kept = keep_first(keyed.filter(F.col("content_key").isNotNull()), ["source", "content_key"], "seq")
+        W.write_cleaned(kept, f"{out_dir}/cleaned")
     else:
         counts = spark.createDataFrame([], counts_schema)
     st = spark.createDataFrame(list(status.items()), "source string, status string")
@@ -97,8 +104,8 @@ def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: st
     rows = read_cleaned(spark, cleaned_dir).join(F.broadcast(cfg.select("source")), "source", "left_semi")
     # deduplicated rows have unique content per source: the key is a stable id
     rows = rows.withColumn("row_key", content_hash("messages"))
-    stats = M.load_stats(rows, cfg)
-    mixed = M.mix_sources(rows, cfg, "row_key", seed)
+    sampled, mixed = M.mix_sources(rows, cfg, "row_key", seed, return_sampled=True)
+    stats = M.load_stats(sampled, mixed, cfg)
     split = M.exact_split(mixed, M.seeded_key(seed, "source", "row_key", "copy"), ["source", "row_key", "copy"], ratio)
     full = materialize(M.attach_payload(split, rows, ["source", "row_key"]))
     W.write_prepared(full, f"{out_dir}/dataset")

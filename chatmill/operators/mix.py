@@ -72,17 +72,20 @@ def is_valid_example(messages="messages") -> Column:
     return F.coalesce(m.isNotNull() & (F.size(m) >= 2) & has_user_and_assistant(m) & non_empty, F.lit(False))
 
 
-def load_stats(df: DataFrame, config: DataFrame, source: str = "source", messages: str = "messages") -> DataFrame:
-    """Per source: loaded (after cap and oversampling), valid, invalid, category."""
-    agg = df.groupBy(source).agg(F.count(F.lit(1)).alias("loaded"),
-                                 F.count_if(is_valid_example(messages)).alias("valid"))
-    return (agg.withColumn("invalid", F.col("loaded") - F.col("valid"))
-               .join(F.broadcast(config.select(F.col("source").alias(source), "category")), source, "left"))
+def load_stats(sampled: DataFrame, mixed: DataFrame, config: DataFrame, source: str = "source") -> DataFrame:
+    """Per source: loaded (after cap and oversampling), valid (after
+    validation), invalid, category -- from the light id tables."""
+    loaded = sampled.groupBy(source).agg(F.count(F.lit(1)).alias("loaded"))
+    valid = mixed.groupBy(source).agg(F.count(F.lit(1)).alias("valid"))
+    return (loaded.join(valid, source, "left")
+                  .withColumn("valid", F.coalesce("valid", F.lit(0)))
+                  .withColumn("invalid", F.col("loaded") - F.col("valid"))
+                  .join(F.broadcast(config.select(F.col("source").alias(source), "category")), source, "left"))
 
 
 def mix_sources(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM_SEED,
                 source: str = "source", messages: str = "messages", n_sources: int | None = None,
-                materialize: bool = True) -> DataFrame:
+                materialize: bool = True, return_sampled: bool = False):
     """cap -> oversample -> validate; returns ``(source, id, copy)`` of the
     mixed corpus (attach payloads with :func:`attach_payload`).
 
@@ -100,7 +103,8 @@ def mix_sources(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDO
     sampled = oversample(capped, config, id_col, seed, source, n_sources)
     valid = df.filter(is_valid_example(messages)).select(source, id_col)
     mixed = sampled.join(valid, [source, id_col], "left_semi")
-    return _mat(mixed) if materialize else mixed
+    mixed = _mat(mixed) if materialize else mixed
+    return (sampled, mixed) if return_sampled else mixed
 
 
 def attach_payload(mixed: DataFrame, df: DataFrame, keys: list[str]) -> DataFrame:

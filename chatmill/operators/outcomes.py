@@ -42,14 +42,16 @@ def outcome_counts(classified: DataFrame, scope: str = "source") -> DataFrame:
 
 
 def outcome_counts_single_pass(converted: DataFrame, scope: str = "source",
-                               parsed: str = "parsed", key: str = "content_key") -> DataFrame:
+                               parsed: str = "parsed", key: str = "content_key",
+                               parse_failed: Column | None = None) -> DataFrame:
     """The same per-scope counts as ``outcome_counts(classify_lines(..))``
     without deciding which copy is first: kept = distinct keys among
     converted rows.  One scan; the ``(scope, key)`` aggregate combines
     map-side, so a hot key costs one row per map task."""
+    failed = parse_failed if parse_failed is not None else F.col(parsed).isNull()
     per_key = converted.groupBy(scope, key).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.col(parsed).isNull()).alias("_parse"))
+        F.count_if(failed).alias("_parse"))
     conv = F.col(key).isNotNull()
     return (per_key.groupBy(scope).agg(
         F.sum("_n").alias("input"),

@@ -20,7 +20,8 @@ def test_stage_jobs_end_to_end(spark, tmp_path):
                                 {"from": "gpt", "value": f"answer number {i}"}]} for i in range(30)]
     turns += [turns[0], "{bad"]
     _raw(raw, "instruction", "openhermes", turns)
-    _raw(raw, "instruction", "ultrachat", [{"data": [f"user says {i}", f"bot says {i}"], "id": str(i)} for i in range(10)])
+    _raw(raw, "instruction", "ultrachat", [{"data": [f"user says {i}", f"bot says {i}"], "id": str(i)} for i in range(10)]
+         + [{"data": ["valid text", "x", "more text"], "id": "u"}])
     _raw(raw, "instruction", "openorca", [{"system_prompt": "", "question": f"why is {i} so", "response": "because it is"}
                                           for i in range(12)])
     _raw(raw, "coding", "codesearchnet", [{"func_code_string": f"def f{i}():\n    return {i} + {i} + {i} + 1",
@@ -32,12 +33,15 @@ def test_stage_jobs_end_to_end(spark, tmp_path):
     summary = {r.source: r for r in jobs.clean_job(spark, str(raw), str(out)).collect()}
     assert summary["openhermes"].output == 30 and summary["openhermes"].duplicate == 1
     assert summary["openhermes"].parse_error == 1
-    assert summary["Total"].input == 32 + 10 + 12 + 8 + 6
+    assert summary["Total"].input == 32 + 11 + 12 + 8 + 6
     manifest = spark.read.text(str(out / "cleaning_manifest")).first().value
     assert json.loads(manifest)["total_output"] == summary["Total"].output
 
     dist = {r.source: r["count"] for r in jobs.prepare_job(spark, str(out / "cleaned"), str(out / "prep")).collect()}
-    total = summary["Total"].output
+    total = summary["Total"].output - 1          # the user,user conversation fails validation
+    pm = json.loads(spark.read.text(str(out / "prep" / "preparation_manifest")).first().value)
+    uc = [x for x in pm["source_stats"] if x["source"] == "ultrachat"][0]
+    assert (uc["loaded"], uc["valid"], uc["invalid"]) == (11, 10, 1)
     assert dist["Total"] == int(total * 0.95)
     prepared = spark.read.parquet(str(out / "prep" / "dataset"))
     assert prepared.count() == total
