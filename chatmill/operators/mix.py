@@ -83,17 +83,28 @@ def load_stats(sampled: DataFrame, mixed: DataFrame, config: DataFrame, source:
                   .join(F.broadcast(config.select(F.col("source").alias(source), "category")), source, "left"))
 
 
+# sampled ids are broadcast into the raw scan only below this many rows
+IDS_BROADCAST_LIMIT = 1_000_000
+
+
 def mix_sources(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM_SEED,
                 source: str = "source", messages: str = "messages", n_sources: int | None = None,
-                materialize: bool = True, return_sampled: bool = False):
+                materialize: bool = True, return_sampled: bool = False, prepare=None):
     """cap -> oversample -> validate; returns ``(source, id, copy)`` of the
-    mixed corpus (attach payloads with :func:`attach_payload`).
-
-    Sampling runs on the light ``(source, id)`` projection; the heavy
-    validity test runs once, in a semi-join.  Invalid rows have already used
-    cap slots, as in the reference.  With ``materialize`` the capped and the
-    mixed id sets are checkpointed, so the exact-rank passes that follow
-    (each reads its input more than once) never recompute upstream work.
+    mixed corpus (attach payloads with :func:`attach_payload`), and with
+    ``return_sampled`` also the ids before validation (for load stats).
+
+    Sampling runs on the light ``(source, id)`` projection.  Invalid rows
+    have already used cap slots, as in the reference.  With ``materialize``
+    the capped and the mixed id sets are checkpointed, so the exact-rank
+    passes that follow (each reads its input more than once) never
+    recompute upstream work.
+
+    ``prepare`` (raw rows -> rows with ``messages``) defers building the
+    messages until after sampling: when the checkpointed capped id set is
+    small enough (a size check, not a guess) it is broadcast into the raw
+    scan, so only sampled rows are converted; otherwise every row is
+    validated map-side and matched by a shuffle join.
     """
     from ..session import materialize as _mat
     light = df.select(source, id_col)
@@ -101,7 +112,12 @@ def mix_sources(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDO
     if materialize:
         capped = _mat(capped)
     sampled = oversample(capped, config, id_col, seed, source, n_sources)
-    valid = df.filter(is_valid_example(messages)).select(source, id_col)
+    cand = df
+    if materialize and capped.count() <= IDS_BROADCAST_LIMIT:
+        cand = df.join(F.broadcast(capped.select(source, id_col)), [source, id_col], "left_semi")
+    if prepare is not None:
+        cand = prepare(cand)
+    valid = cand.filter(is_valid_example(messages)).select(source, id_col)
     mixed = sampled.join(valid, [source, id_col], "left_semi")
     mixed = _mat(mixed) if materialize else mixed
     return (sampled, mixed) if return_sampled else mixed

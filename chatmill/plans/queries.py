@@ -221,9 +221,11 @@ def q_oversample(spark, sf):
 
 def mixed_split(spark, sf) -> DataFrame:
     cfg = doc_sampling_config(spark, sf)
-    d = C.convert_triples(doc_triples(spark, sf), default_system=DEFAULT_SYSTEM)
-    # rows that failed conversion still take cap slots, then fail validation
-    mixed = M.mix_sources(d.select("doc_id", "source", "messages"), cfg, "doc_id", SEED, n_sources=64)
+    raw = doc_triples(spark, sf)
+    convert = lambda r: C.convert_triples(r, default_system=DEFAULT_SYSTEM)
+    # rows that failed conversion still take cap slots, then fail validation;
+    # messages are built only for rows that survive the caps
+    mixed = M.mix_sources(raw, cfg, "doc_id", SEED, n_sources=64, prepare=convert)
     key = M.seeded_key(SEED, "source", "doc_id", "copy")
     return M.exact_split(mixed, key, ["source", "doc_id", "copy"])
 
