@@ -34,13 +34,14 @@ def markdown_delta(delta: Column) -> Column:
 
 def report_summary(results: DataFrame, baselines: DataFrame) -> DataFrame:
     """One row: number of benchmarks, macro average of the (already rounded)
-    scores (0 if none), average over *all* baselines and the overall delta."""
-    s = results.agg(F.count(F.lit(1)).alias("num_benchmarks"),
-                    F.coalesce(F.round(F.avg("score"), 2), F.lit(0.0)).alias("average_score"))
-    b = baselines.agg(F.avg("baseline").alias("baseline_average"))
-    # both sides are single-row aggregates
-    return (s.join(F.broadcast(b), how="inner")
-             .withColumn("overall_delta", F.round(F.col("average_score") - F.col("baseline_average"), 1)))
+    scores (0 if none), average over *all* baselines and the overall delta.
+    Scores and baselines are stacked and reduced in a single aggregate."""
+    stacked = (results.select(F.col("score").alias("s"), F.lit(None).cast("double").alias("b"))
+               .unionByName(baselines.select(F.lit(None).cast("double").alias("s"), F.col("baseline").alias("b"))))
+    s = stacked.agg(F.count("s").alias("num_benchmarks"),
+                    F.coalesce(F.round(F.avg("s"), 2), F.lit(0.0)).alias("average_score"),
+                    F.avg("b").alias("baseline_average"))
+    return s.withColumn("overall_delta", F.round(F.col("average_score") - F.col("baseline_average"), 1))
 
 
 def latest_per_benchmark(results: DataFrame, order: str) -> DataFrame:

@@ -19,11 +19,12 @@ TRAINING_PROFILES = [("local", 1, 16, 1, 0.05), ("cloud", 1, 32, 3, 0.05)]
 def training_plan(train_counts: DataFrame, profiles: DataFrame) -> DataFrame:
     """steps = n // batch // accumulation * epochs (left to right), warm-up =
     max(1, int(steps * ratio)), effective batch = batch * accumulation.
-    ``train_counts``: (train_examples); ``profiles``: a few literal rows."""
+    ``train_counts``: one row (train_examples); ``profiles``: a few literal
+    rows.  The count is a single number, fetched and attached as a literal."""
+    n = train_counts.select(F.col("train_examples").cast("long")).first()[0] or 0
     steps = (F.floor(F.floor(F.col("train_examples") / F.col("batch_size")) / F.col("grad_accumulation"))
              * F.col("epochs")).cast("bigint")
-    # a one-row count joined with a few profile rows
-    return (train_counts.join(F.broadcast(profiles), how="inner")
+    return (profiles.withColumn("train_examples", F.lit(int(n)).cast("bigint"))
             .withColumn("total_steps", steps)
             .withColumn("warmup_steps", F.greatest(F.lit(1), F.floor(F.col("total_steps") * F.col("warmup_ratio")))
                         .cast("bigint"))

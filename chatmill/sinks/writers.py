@@ -69,16 +69,24 @@ def cleaning_manifest(summary: DataFrame, stage: str = "cleaning") -> DataFrame:
 
 
 def preparation_manifest(split_counts: DataFrame, load_stats: DataFrame, seed: int, ratio: float) -> DataFrame:
-    """Totals per split, the ratio and seed, and per-source load stats."""
-    totals = split_counts.agg(
+    """Totals per split, the ratio and seed, and per-source load stats, in
+    one aggregate over the stacked (small) inputs."""
+    stat = F.struct(*[F.col(c) for c in load_stats.columns]).alias("stat")
+    stacked = (split_counts.select("split", F.col("count").cast("long").alias("count"),
+                                   F.lit(None).cast(stat_type(load_stats)).alias("stat"))
+               .unionByName(load_stats.select(F.lit(None).cast("string").alias("split"),
+                                              F.lit(None).cast("long").alias("count"), stat)))
+    return (stacked.agg(
         F.sum(F.when(F.col("split") == "train", F.col("count"))).alias("train_examples"),
-        F.sum(F.when(F.col("split") == "validation", F.col("count"))).alias("validation_examples"))
-    stats = load_stats.agg(F.collect_list(F.struct(*[F.col(c) for c in load_stats.columns])).alias("source_stats"))
-    # both sides are single-row aggregates
-    return (totals.join(stats, how="inner")
-                  .withColumn("train_ratio", F.lit(float(ratio)))
-                  .withColumn("random_seed", F.lit(int(seed)))
-                  .withColumn("total_examples", F.col("train_examples") + F.col("validation_examples")))
+        F.sum(F.when(F.col("split") == "validation", F.col("count"))).alias("validation_examples"),
+        F.collect_list("stat").alias("source_stats"))
+        .withColumn("train_ratio", F.lit(float(ratio)))
+        .withColumn("random_seed", F.lit(int(seed)))
+        .withColumn("total_examples", F.col("train_examples") + F.coalesce("validation_examples", F.lit(0))))
+
+
+def stat_type(df: DataFrame) -> str:
+    return df.select(F.struct(*[F.col(c) for c in df.columns])).schema[0].dataType.simpleString()
 
 
 def summary_table_row(name: Column, status: Column, inp: Column, out: Column, dropped: Column,
@@ -121,18 +129,26 @@ def tokenization_manifest(stats: DataFrame, max_length: int, tokenizer_name: str
 def evaluation_report(results: DataFrame, subjects: DataFrame | None, model: str, timestamp: Column) -> DataFrame:
     """One-row evaluation report: benchmarks keyed by name (a repeated name
     keeps the last), macro average of the rounded scores, a score map and,
-    when given, MMLU subject accuracies as a map."""
+    when given, MMLU subject accuracies as a map -- one aggregate over the
+    stacked result and subject rows."""
     from ..operators.report import latest_per_benchmark
     res = latest_per_benchmark(results, "run") if "run" in results.columns else results
     cols = [c for c in res.columns if c != "run"]
-    report = res.agg(
-        F.map_from_entries(F.collect_list(F.struct("benchmark", F.struct(*[F.col(c) for c in cols])))).alias("benchmarks"),
-        F.count(F.lit(1)).alias("num_benchmarks"),
-        F.coalesce(F.round(F.avg("score"), 2), F.lit(0.0)).alias("average_score"),
-        F.map_from_entries(F.collect_list(F.struct("benchmark", "score"))).alias("scores"))
-    report = report.select(F.lit(model).alias("model"), timestamp.alias("timestamp"), "benchmarks",
-                           F.struct("num_benchmarks", "average_score", "scores").alias("summary"))
+    bench = F.struct(*[F.col(c) for c in cols])
+    rows = res.select(F.col("benchmark").alias("k"), bench.alias("bench"), F.col("score").alias("score"),
+                      F.lit(None).cast("double").alias("acc"))
     if subjects is not None:
-        sub = subjects.agg(F.map_from_entries(F.collect_list(F.struct("subject", "accuracy"))).alias("subject_accuracies"))
-        report = report.join(sub, how="inner")   # both sides are one row
-    return report
+        rows = rows.unionByName(subjects.select(
+            F.col("subject").alias("k"), F.lit(None).cast(rows.schema["bench"].dataType).alias("bench"),
+            F.lit(None).cast("double").alias("score"), F.col("accuracy").cast("double").alias("acc")))
+    is_b = F.col("bench").isNotNull()
+    agg = rows.agg(
+        F.map_from_entries(F.collect_list(F.when(is_b, F.struct("k", "bench")))).alias("benchmarks"),
+        F.count_if(is_b).alias("num_benchmarks"),
+        F.coalesce(F.round(F.avg("score"), 2), F.lit(0.0)).alias("average_score"),
+        F.map_from_entries(F.collect_list(F.when(is_b, F.struct("k", "score")))).alias("scores"),
+        F.map_from_entries(F.collect_list(F.when(~is_b, F.struct("k", "acc")))).alias("subject_accuracies"))
+    out = agg.select(F.lit(model).alias("model"), timestamp.alias("timestamp"), "benchmarks",
+                     F.struct("num_benchmarks", "average_score", "scores").alias("summary"),
+                     "subject_accuracies")
+    return out if subjects is not None else out.drop("subject_accuracies")

@@ -62,10 +62,10 @@ def resolve_raw_paths(listing: DataFrame, names: DataFrame, raw_root: str) -> Da
     """For each dataset name, the first existing
     ``<raw_root>/<category>/<name>/dataset.jsonl`` in category order; status
     ``not_found`` when none exists."""
-    cats = listing.sparkSession.createDataFrame(
-        [(c, i) for i, c in enumerate(RAW_CATEGORY_ORDER)], "category string, rank int")
+    cats = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(i).alias("rank"))
+                     for i, c in enumerate(RAW_CATEGORY_ORDER)])
     root = raw_root.rstrip("/")
-    candidates = names.select("name").join(F.broadcast(cats), how="inner").withColumn(
+    candidates = names.select("name", F.inline(cats)).withColumn(
         "path", F.concat(F.lit(root + "/"), F.col("category"), F.lit("/"), F.col("name"), F.lit("/dataset.jsonl")))
     found = listing.select(F.regexp_replace("path", "^file:", "").alias("path"))
     hits = candidates.join(found, "path", "left_semi")
