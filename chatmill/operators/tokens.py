@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.chat import IM_END, IM_START
-from .ranking import dense_index
+from .ranking import dense_index, running_totals
 
 IGNORE_INDEX = -100
 PAD_MULTIPLE = 8
@@ -194,3 +194,29 @@ def pad_batches(df: DataFrame, order: list[str], batch_size: int, pad_id: int,
                    .withColumn("attention_mask", F.concat("attention_mask", F.array_repeat(F.lit(0), pad)))
                    .withColumn("labels", F.concat("labels", F.array_repeat(F.lit(IGNORE_INDEX), pad)))
                    .drop("_cm_idx", "_cm_pad"))
+
+
+def turn_label_coverage(turns: DataFrame, conv: str, turn: str, role: str, text: str,
+                        tokenizer: RegexTokenizer | None = None, max_length: int = 2048) -> DataFrame:
+    """Label coverage per conversation from a table of turns, without
+    building a conversation array: token counts per turn, each turn's offset
+    from block-wise running sums, the labelled span of assistant turns cut
+    at ``max_length``, then per-conversation sums (combined map-side).  A
+    conversation holding a huge share of all turns never lands whole in one
+    task.  Same numbers as ``label_coverage(tokenize_messages(..))``."""
+    tok = tokenizer or RegexTokenizer()
+    t = (turns.select(conv, turn, role, tok.count(F.col(text)).alias("_c"),
+                      tok.count(F.concat(F.col(role), F.lit("\n"))).alias("_h"))
+              .withColumn("_m", F.col("_c") + F.col("_h") + 3))
+    rt = running_totals(t, [conv], turn, {"m": F.col("_m")})
+    s = F.col("running_m") - F.col("_m")
+    start = s + 1 + F.col("_h")
+    lab = F.when(F.col(role) == "assistant",
+                 F.greatest(F.lit(0), F.least(start + F.col("_c") + 1, F.lit(max_length)) - start)).otherwise(F.lit(0))
+    per = rt.groupBy(conv).agg(F.sum("_m").alias("_full"), F.sum(lab).alias("labeled_tokens"),
+                               F.count(F.lit(1)).alias("turns"))
+    return (per.withColumn("total_tokens", F.least(F.col("_full"), F.lit(max_length)))
+               .withColumn("masked_tokens", F.col("total_tokens") - F.col("labeled_tokens"))
+               .withColumn("labeled_pct", F.when(F.col("total_tokens") > 0,
+                                                 F.col("labeled_tokens").cast("double") * 100 / F.col("total_tokens")))
+               .drop("_full"))

@@ -511,3 +511,5 @@ SELECT g.conv_id, total_tokens - labeled_tokens AS prompt_tokens, labeled_tokens
        total_tokens, CASE WHEN turns - 2 > 0 THEN CAST(labeled_tokens AS DOUBLE) / (turns - 2) ELSE 0.0::DOUBLE END
        AS tokens_per_second
 FROM g JOIN n USING (conv_id)"""
+
+SQL["label_coverage_arrays"] = SQL["label_coverage"]

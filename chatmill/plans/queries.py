@@ -256,6 +256,13 @@ def q_token_stats(spark, sf):
 
 
 def q_label_coverage(spark, sf):
+    """Turn-level: no conversation array is built (skew-safe)."""
+    cov = TK.turn_label_coverage(_t(spark, sf, "conversations"), "conv_id", "turn", "role", "text", max_length=MAX_LEN)
+    return cov.select("conv_id", "total_tokens", "labeled_tokens", "masked_tokens", "labeled_pct")
+
+
+def q_label_coverage_arrays(spark, sf):
+    """Array form: tokenize whole conversations, then count labels."""
     tok = TK.tokenize_messages(conv_raw_messages(spark, sf), max_length=MAX_LEN)
     return TK.label_coverage(tok).select("conv_id", "total_tokens", "labeled_tokens", "masked_tokens", "labeled_pct")
 
@@ -508,10 +515,10 @@ def q_request_validation(spark, sf):
 
 def q_usage(spark, sf):
     from ..operators.serving import usage
-    tok = TK.label_coverage(TK.tokenize_messages(conv_raw_messages(spark, sf), max_length=MAX_LEN))
-    base = tok.select("conv_id", F.col("masked_tokens").alias("prompt_tokens"),
+    cov = TK.turn_label_coverage(_t(spark, sf, "conversations"), "conv_id", "turn", "role", "text", max_length=MAX_LEN)
+    base = cov.select("conv_id", F.col("masked_tokens").alias("prompt_tokens"),
                       F.col("labeled_tokens").alias("completion_tokens"),
-                      (F.size("messages") - 2).alias("elapsed"))
+                      (F.col("turns") - 2).alias("elapsed"))
     return usage(base, "prompt_tokens", "completion_tokens", "elapsed").select(
         "conv_id", "prompt_tokens", "completion_tokens", "total_tokens", "tokens_per_second")
 
@@ -543,6 +550,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "render_chat": q_render_chat,
     "token_stats": q_token_stats,
     "label_coverage": q_label_coverage,
+    "label_coverage_arrays": q_label_coverage_arrays,
     "pad_batches": q_pad_batches,
     "build_choice_prompts": q_build_choice_prompts,
     "extract_code": q_extract_code,

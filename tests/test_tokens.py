@@ -71,3 +71,19 @@ def test_truncate_prompt(spark):
     df = spark.createDataFrame([(list(range(10)),)], "prompt_ids array<int>")
     r = truncate_prompt(df, limit=4).collect()[0]
     assert r.prompt_ids == [0, 1, 2, 3] and r.was_truncated
+
+
+def test_turn_level_coverage_equals_array_form_with_a_hot_conversation(spark):
+    from chatmill.operators.tokens import turn_label_coverage
+    roles = ["system", "user", "assistant"]
+    rows = [(0, i, roles[min(i, 1 + i % 2)], f"turn {i} says hello world " * (1 + i % 3)) for i in range(3000)]
+    rows += [(c, i, roles[1 + i % 2], f"short {c} {i}") for c in range(1, 40) for i in range(4)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.total_tokens, r.labeled_tokens) for r in
+           turn_label_coverage(turns, "conv_id", "turn", "role", "text", max_length=2048).collect()}
+    msgs = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t")) \
+        .select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content")))
+                .alias("messages"))
+    ref = {r.conv_id: (r.total_tokens, r.labeled_tokens) for r in
+           label_coverage(tokenize_messages(msgs, max_length=2048)).collect()}
+    assert got == ref and got[0][0] == 2048
