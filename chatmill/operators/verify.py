@@ -29,12 +29,53 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def file_stats(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, length, sha256 of every listed file that exists."""
+# files up to this size are hashed by the binaryFile source (whole file in
+# one row); larger ones are streamed in chunks by a per-file task
+WHOLE_FILE_HASH_LIMIT = 1 << 30
+HASH_CHUNK_BYTES = 8 << 20
+
+
+def _chunked_sha256(batches):
+    import hashlib
+
+    import pandas as pd
+    from pyarrow import fs as pafs
+    for pdf in batches:
+        digests = []
+        for path in pdf["path"]:
+            filesystem, inner = pafs.FileSystem.from_uri(path)
+            h = hashlib.sha256()
+            with filesystem.open_input_stream(inner) as f:
+                while True:
+                    chunk = f.read(HASH_CHUNK_BYTES)
+                    if not chunk:
+                        break
+                    h.update(chunk)
+            digests.append(h.hexdigest())
+        yield pd.DataFrame({"path": pdf["path"], "sha256": digests})
+
+
+def file_stats(spark: SparkSession, paths: list[str], whole_file_limit: int = WHOLE_FILE_HASH_LIMIT) -> DataFrame:
+    """path, length, sha256 of every listed file that exists.  The listing
+    reads no content; small files are hashed from the binaryFile content
+    column, large files (over ``whole_file_limit``) in 8 MB chunks, one file
+    per row of a ``mapInPandas`` task."""
     if not paths:
         return spark.createDataFrame([], "path string, length long, sha256 string")
-    df = spark.read.format("binaryFile").load(paths)
-    return df.select(F.col("path"), F.col("length"), F.sha2(F.col("content"), 256).alias("sha256"))
+    listing = spark.read.format("binaryFile").load(paths).select("path", "length")
+    small = [r["path"] for r in listing.filter(F.col("length") <= whole_file_limit).select("path").collect()]
+    parts = []
+    if small:
+        parts.append(spark.read.format("binaryFile").load(small)
+                     .select("path", "length", F.sha2(F.col("content"), 256).alias("sha256")))
+    large = listing.filter(F.col("length") > whole_file_limit)
+    hashed = (large.select("path").repartition(max(1, spark.sparkContext.defaultParallelism), "path")
+              .mapInPandas(_chunked_sha256, "path string, sha256 string"))
+    parts.append(large.join(hashed, "path"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def line_checks(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -40,3 +40,18 @@ def test_incremental_clean_dedups_across_batches(spark, tmp_path):
     (src / "b.jsonl").write_text(row("first question here") + "\n" + row("third question!") + "\n")
     second = incremental_clean(spark, str(src), "qa", "gsm8k", out, ck).count()
     assert (first, second) == (2, 3)
+
+
+def test_large_file_hash_path_matches_whole_file_hash(spark, tmp_path):
+    import hashlib
+
+    from chatmill.operators.verify import file_stats
+    a = tmp_path / "a.jsonl"
+    a.write_bytes(b'{"x": 1}\n' * 5000)
+    b = tmp_path / "b.jsonl"
+    b.write_bytes(b'{"y": 2}\n' * 10)
+    whole = {r.path: r.sha256 for r in file_stats(spark, [str(a), str(b)]).collect()}
+    chunked = {r.path: r.sha256 for r in file_stats(spark, [str(a), str(b)], whole_file_limit=100).collect()}
+    assert whole == chunked
+    assert sorted(whole.values()) == sorted([hashlib.sha256(a.read_bytes()).hexdigest(),
+                                             hashlib.sha256(b.read_bytes()).hexdigest()])
