@@ -21,12 +21,24 @@ from ..operators.convert import DEFAULT_SYSTEM, convert_parsed, convert_triples
 from ..session import scratch_path
 
 
-def clean_stream(lines: DataFrame, shape: str, source: str, default_system: str = DEFAULT_SYSTEM) -> DataFrame:
-    """Streaming text lines -> converted, deduplicated rows."""
-    parsed = lines.select(F.lit(source).alias("source"), F.try_parse_json("value").alias("parsed"))
+def clean_stream(lines: DataFrame, shape: str, source: str, default_system: str = DEFAULT_SYSTEM,
+                 dedup_window: str | None = None) -> DataFrame:
+    """Streaming text lines -> converted, deduplicated rows.
+
+    ``dedup_window`` (e.g. ``"7 days"``) bounds the dedup state: the file
+    modification time is the event time, and copies are dropped only when
+    they arrive within that window of each other (state older than the
+    watermark is evicted).  Without it every key is kept in state forever,
+    which is exact but grows with the corpus."""
+    parsed = lines.select(F.lit(source).alias("source"), F.try_parse_json("value").alias("parsed"),
+                          F.col("_metadata.file_modification_time").alias("arrived"))
     conv = convert_parsed(parsed.filter(F.col("parsed").isNotNull()), shape, default_system=default_system)
     keyed = conv.filter(F.col("messages").isNotNull()).withColumn("content_key", content_hash("messages"))
-    return keyed.dropDuplicates(["source", "content_key"]).select("source", "content_key", "messages")
+    if dedup_window:
+        deduped = keyed.withWatermark("arrived", dedup_window).dropDuplicatesWithinWatermark(["source", "content_key"])
+    else:
+        deduped = keyed.dropDuplicates(["source", "content_key"])
+    return deduped.select("source", "content_key", "messages")
 
 
 def run_to_completion(df: DataFrame, output: str, checkpoint: str, fmt: str = "parquet") -> None:
@@ -37,13 +49,14 @@ def run_to_completion(df: DataFrame, output: str, checkpoint: str, fmt: str = "p
 
 
 def incremental_clean(spark: SparkSession, input_dir: str, shape: str, source: str,
-                      output: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                      output: str | None = None, checkpoint: str | None = None,
+                      dedup_window: str | None = None) -> DataFrame:
     """Process every file present in ``input_dir`` (and, on re-runs, only new
     ones) and return the accumulated output table."""
     output = output or scratch_path(spark, "incremental-out")
     checkpoint = checkpoint or scratch_path(spark, "incremental-ckpt")
     lines = spark.readStream.format("text").load(input_dir)
-    run_to_completion(clean_stream(lines, shape, source), output, checkpoint)
+    run_to_completion(clean_stream(lines, shape, source, dedup_window=dedup_window), output, checkpoint)
     return spark.read.parquet(output)
 
 

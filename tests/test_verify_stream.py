@@ -55,3 +55,14 @@ def test_large_file_hash_path_matches_whole_file_hash(spark, tmp_path):
     assert whole == chunked
     assert sorted(whole.values()) == sorted([hashlib.sha256(a.read_bytes()).hexdigest(),
                                              hashlib.sha256(b.read_bytes()).hexdigest()])
+
+
+def test_incremental_clean_with_bounded_dedup_state(spark, tmp_path):
+    from chatmill.streaming.incremental import incremental_clean
+    src = tmp_path / "in"
+    src.mkdir()
+    row = lambda q: json.dumps({"question": q, "answer": "a long enough answer"})
+    (src / "a.jsonl").write_text(row("first question here") + "\n" + row("first question here") + "\n")
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    n = incremental_clean(spark, str(src), "qa", "gsm8k", out, ck, dedup_window="7 days").count()
+    assert n == 1
