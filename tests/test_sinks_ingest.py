@@ -176,3 +176,20 @@ def test_holdout_filter_with_registry(spark):
                                "source string, id int")
     kept = {r.source for r in holdout_filter(df, registry_df(spark), converters=list(CONVERTERS)).collect()}
     assert kept == {"gsm8k", "openorca"}
+
+
+def test_small_display_helpers_and_nested_export(spark, tmp_path):
+    from chatmill.functions.chat import distinct_roles
+    from chatmill.functions.text import bytes_to_gb, bytes_to_mb, short_checksum, title_from_key
+    from chatmill.operators.score import detail_rows
+    from chatmill.sinks.writers import checksum_display, write_nested
+    df = spark.createDataFrame([("avg_labeled_tokens", 12_345_678, "abcdef0123456789abcdef")], "k string, b long, c string")
+    r = df.select(title_from_key("k"), bytes_to_mb("b"), bytes_to_gb("b"), short_checksum("c"), checksum_display("c")).first()
+    assert tuple(r) == ("Avg Labeled Tokens", 12.3, 0.01, "abcdef012345", "abcdef0123456789...")
+    m = spark.createDataFrame([([("user", "a"), ("assistant", "b"), ("user", "c")], "train")], f"{MSG}, split string")
+    assert sorted(m.select(distinct_roles("messages")).first()[0]) == ["assistant", "user"]
+    write_nested(m, str(tmp_path / "nested"))
+    back = spark.read.parquet(str(tmp_path / "nested")).first()
+    assert back.split == "train" and back.messages[2].content == "c"
+    d = detail_rows(m, {"first": F.col("messages")[0]["content"], "n": F.size("messages")}).first()
+    assert (d.first, d.n) == ("a", 3)
