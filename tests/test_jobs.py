@@ -58,3 +58,20 @@ def test_stage_jobs_end_to_end(spark, tmp_path):
     cmp = jobs.report_job(spark, res, baselines_df(spark), str(out / "report")).collect()
     assert cmp[0].score == 50.0 and cmp[0].baseline == 82.6
     assert spark.read.text(str(out / "report" / "report_lines")).count() == 1
+
+
+def test_verify_job_and_cli(spark, tmp_path, capsys):
+    from chatmill.__main__ import main
+    f = tmp_path / "raw" / "math" / "gsm8k"
+    f.mkdir(parents=True)
+    data = f / "dataset.jsonl"
+    data.write_text('{"question": "q1", "answer": "a1"}\n{"question": "q2", "answer": "a2"}\n')
+    manifest = tmp_path / "download_manifest.json"
+    manifest.write_text(json.dumps({"datasets": [
+        {"name": "gsm8k", "path": str(data), "num_examples": 2, "checksum": None},
+        {"name": "mmlu", "path": str(tmp_path / "nope.jsonl"), "num_examples": 0, "checksum": None}]}))
+    checks, verdict = jobs.verify_job(spark, str(manifest))
+    v = {r.name: r.passed for r in verdict.collect()}
+    assert v == {"gsm8k": True, "mmlu": False}
+    main(["clean", str(tmp_path / "raw"), str(tmp_path / "out")])
+    assert "gsm8k" in capsys.readouterr().out
