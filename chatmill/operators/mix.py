@@ -129,9 +129,20 @@ def attach_payload(mixed: DataFrame, df: DataFrame, keys: list[str]) -> DataFram
 
 
 def exact_split(df: DataFrame, key: Column, tiebreak: list[str], ratio: float = TRAIN_RATIO,
-                out: str = "split") -> DataFrame:
+                out: str = "split", by: list[str] | None = None) -> DataFrame:
     """Seeded shuffle + exact prefix split: the first ``floor(n * ratio)`` rows
-    in ``key`` order are ``train``, the rest ``validation``."""
+    in ``key`` order are ``train``, the rest ``validation``.
+
+    With ``by`` (e.g. the example id without the copy number) the split is
+    made over the distinct ``by`` values -- ``key`` must then depend on
+    ``by`` only -- and every copy follows its example, so no example is in
+    both splits (``floor(n_ids * ratio)`` ids go to train)."""
+    if by:
+        ids = df.select(*by).distinct().withColumn("_cm_skey", key)
+        ranked = within_rank(ids, [], "_cm_skey", by, out="_cm_in", max_groups=1,
+                             limit_from_total=lambda n: F.floor(n * F.lit(float(ratio))))
+        side = ranked.select(*by, F.when(F.col("_cm_in"), F.lit("train")).otherwise(F.lit("validation")).alias(out))
+        return df.join(side, by, "inner")
     staged = df.withColumn("_cm_skey", key)
     ranked = within_rank(staged, [], "_cm_skey", tiebreak, out="_cm_in", max_groups=1,
                          limit_from_total=lambda n: F.floor(n * F.lit(float(ratio))))

@@ -120,7 +120,7 @@ def dense_index(df: DataFrame, order: list[str], out: str = "row_index",
     """0-based position of each row in ``order`` (unique), computed without a
     global window: range-partition, sort within partitions, then add the row
     count of all earlier partitions (a table of one row per partition)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("_cm_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_cm_pid", F.shiftright(F.col("_cm_mid"), 33))

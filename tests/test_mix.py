@@ -93,3 +93,12 @@ def test_dense_index(spark):
     df = spark.createDataFrame([(x,) for x in random.Random(2).sample(range(10_000), 700)], "k long")
     out = sorted((r.k, r.row_index) for r in dense_index(df, ["k"], partitions=6).collect())
     assert [i for _, i in out] == list(range(700))
+
+
+def test_split_by_id_keeps_copies_together(spark):
+    df = spark.range(400).select(F.col("id"), F.explode(F.sequence(F.lit(0), (F.col("id") % 3).cast("int"))).alias("copy"))
+    out = exact_split(df, seeded_key(42, "id"), ["id", "copy"], by=["id"])
+    assert split_leakage(out, ["id"]).count() == 0
+    sides = {r.split: r["count"] for r in out.select("id", "split").distinct().groupBy("split").count().collect()}
+    assert sides["train"] == int(400 * 0.95) and sides["validation"] == 400 - int(400 * 0.95)
+    assert out.count() == df.count()
