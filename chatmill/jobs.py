@@ -27,8 +27,8 @@ from .session import materialize
 from .sinks import writers as W
 from .sources import ingest as I
 from .sources.jsonl import MESSAGES_ROW, empty_like, messages_from_json, read_lines
-from .sources.registry import (MAX_SEQ_LENGTH, RANDOM_SEED, TRAIN_RATIO, TRAINING_SOURCES, contracts_df,
-                               sampling_config_df)
+from .sources.registry import (MAX_SEQ_LENGTH, RANDOM_SEED, SAMPLING_PROFILES, TRAIN_RATIO, TRAINING_SOURCES,
+                               contracts_df, sampling_config_df)
 
 
 def verify_job(spark: SparkSession, manifest_path: str) -> tuple[DataFrame, DataFrame]:
@@ -104,7 +104,9 @@ def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: st
     rows = read_cleaned(spark, cleaned_dir).join(F.broadcast(cfg.select("source")), "source", "left_semi")
     # deduplicated rows have unique content per source: the key is a stable id
     rows = rows.withColumn("row_key", content_hash("messages"))
-    sampled, mixed = M.mix_sources(rows, cfg, "row_key", seed, return_sampled=True)
+    # the profile is a literal table: its row count is a proven bound
+    sampled, mixed = M.mix_sources(rows, cfg, "row_key", seed, return_sampled=True,
+                                   n_sources=len([r for r in SAMPLING_PROFILES if r[0] == profile]))
     stats = M.load_stats(sampled, mixed, cfg)
     split = M.exact_split(mixed, M.seeded_key(seed, "source", "row_key", "copy"), ["source", "row_key", "copy"], ratio)
     full = materialize(M.attach_payload(split, rows, ["source", "row_key"]))

@@ -22,17 +22,13 @@ def seeded_key(seed: int, *cols) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-def _config_rows(config: DataFrame) -> int:
-    """Row count of a sampling config (a few rows by contract): the proven
-    bound that lets per-source histograms be broadcast."""
-    return config.count()
-
-
 def cap_per_source(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM_SEED,
                    source: str = "source", n_sources: int | None = None) -> DataFrame:
     """Exact random cap without replacement per source.  ``max_samples``
-    NULL or 0 means no cap; a cap >= the source size keeps everything."""
-    n_sources = n_sources or _config_rows(config)
+    NULL or 0 means no cap; a cap >= the source size keeps everything.
+    ``n_sources``, when the caller knows it (a literal config), proves the
+    histogram bound and lets it be broadcast up front; otherwise AQE decides
+    from the histogram's measured size at run time."""
     cfg = F.broadcast(config.select(F.col("source").alias(source), "max_samples"))
     staged = (df.join(cfg, source, "left")
                 .withColumn("_cm_key", seeded_key(seed, id_col)))
@@ -47,7 +43,6 @@ def oversample(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM
     """Weight > 1: every row ``floor(weight)`` times (``copy`` 0..k-1), plus
     ``floor(n * frac)`` distinct rows (seed + 1) as copy k.  Weight <= 1 is a
     no-op (copy 0)."""
-    n_sources = n_sources or _config_rows(config)
     cfg = F.broadcast(config.select(F.col("source").alias(source), "weight"))
     staged = df.join(cfg, source, "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
     whole = F.when(F.col("weight") > 1, F.floor("weight")).otherwise(F.lit(1)).cast("int")

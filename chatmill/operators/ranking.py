@@ -35,7 +35,10 @@ def within_rank(df: DataFrame, groups: list[str], key: str, tiebreak: list[str],
     ``(key, *tiebreak)`` is <= ``limit``.  ``limit`` must be constant within a
     group; NULL means unlimited.  ``key`` must be a lower-case hex string
     (e.g. md5) so that prefix buckets are even.  ``max_groups`` bounds the
-    number of groups; it lets the histogram be broadcast.
+    number of groups: with it the histogram is broadcast when groups x
+    buckets is under the limit (a proven bound); without it no hint is given
+    and adaptive execution picks the join from the histogram's measured
+    size.
     ``limit_from_total`` (instead of ``limit``) derives the limit from the
     group's row count, e.g. ``lambda n: F.floor(n * 0.95)``."""
     b = "_cm_bucket"

@@ -225,7 +225,7 @@ def mixed_split(spark, sf) -> DataFrame:
     convert = lambda r: C.convert_triples(r, default_system=DEFAULT_SYSTEM)
     # rows that failed conversion still take cap slots, then fail validation;
     # messages are built only for rows that survive the caps
-    mixed = M.mix_sources(raw, cfg, "doc_id", SEED, n_sources=64, prepare=convert)
+    mixed = M.mix_sources(raw, cfg, "doc_id", SEED, prepare=convert)
     key = M.seeded_key(SEED, "source", "doc_id", "copy")
     return M.exact_split(mixed, key, ["source", "doc_id", "copy"])
 
