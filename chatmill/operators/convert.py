@@ -163,13 +163,16 @@ def _fields_qa(v: Column) -> dict[str, Column]:
     return {k: variant_string(v, k) for k in ("question", "answer")}
 
 
-# shape name -> (field extraction from a parsed line, converter)
-SHAPES: dict[str, tuple[Callable[[Column], dict[str, Column]], Callable[..., DataFrame]]] = {
-    "turns": (_fields_turns, convert_turns),
-    "alternating": (_fields_alternating, convert_alternating),
-    "triples": (_fields_triples, convert_triples),
-    "code_pairs": (_fields_code, convert_code_pairs),
-    "qa": (_fields_qa, convert_qa),
+# shape name -> (field extraction from a parsed line, converter, the
+# converter parameter each extracted field is passed as)
+SHAPES: dict[str, tuple[Callable[[Column], dict[str, Column]], Callable[..., DataFrame], dict[str, str]]] = {
+    "turns": (_fields_turns, convert_turns, {"conversations": "conversations"}),
+    "alternating": (_fields_alternating, convert_alternating, {"data": "data"}),
+    "triples": (_fields_triples, convert_triples,
+                {"system_prompt": "system_prompt", "question": "question", "response": "response"}),
+    "code_pairs": (_fields_code, convert_code_pairs,
+                   {"func_code_string": "code", "func_documentation_string": "doc", "language": "language"}),
+    "qa": (_fields_qa, convert_qa, {"question": "question", "answer": "answer"}),
 }
 
 # --- fixed values: which training source has which raw shape ----------------
@@ -187,20 +190,9 @@ def convert_parsed(df: DataFrame, shape: str, parsed: str = "parsed",
                    default_system: str = DEFAULT_SYSTEM, out: str = "messages") -> DataFrame:
     """Convert rows holding a parsed JSON line (VARIANT) with the given shape.
     Non-object JSON converts to NULL (the reference would crash)."""
-    extract, converter = SHAPES[shape]
+    extract, converter, params = SHAPES[shape]
     fields = extract(F.col(parsed))
     staged = df.select("*", *[c.alias(f"{_TMP}x_{k}") for k, c in fields.items()])
-    kwargs = {k: f"{_TMP}x_{k}" for k in fields}
-    if shape == "turns":
-        res = converter(staged, conversations=kwargs["conversations"], default_system=default_system, out=out)
-    elif shape == "alternating":
-        res = converter(staged, data=kwargs["data"], default_system=default_system, out=out)
-    elif shape == "triples":
-        res = converter(staged, kwargs["system_prompt"], kwargs["question"], kwargs["response"],
-                        default_system=default_system, out=out)
-    elif shape == "code_pairs":
-        res = converter(staged, kwargs["func_code_string"], kwargs["func_documentation_string"],
-                        kwargs["language"], default_system=default_system, out=out)
-    else:
-        res = converter(staged, kwargs["question"], kwargs["answer"], default_system=default_system, out=out)
-    return res.drop(*kwargs.values())
+    kwargs = {params[k]: f"{_TMP}x_{k}" for k in fields}
+    return (converter(staged, default_system=default_system, out=out, **kwargs)
+            .drop(*[f"{_TMP}x_{k}" for k in fields]))
