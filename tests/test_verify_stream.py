@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from chatmill.operators.verify import verdicts, verify_files
 from chatmill.sources.registry import contracts_df
