@@ -37,8 +37,9 @@ PAD_BATCH = 8
 
 
 # tables with regex-heavy per-row work, and the key their scan is spread on
-_TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id",
-              "orders": "o_orderkey", "events": "event_id"}
+# (unique per row, so the spread is even even when one conversation is hot)
+_TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": ["conv_id", "turn"],
+              "benchmark": "item_id", "orders": "o_orderkey", "events": "event_id"}
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
