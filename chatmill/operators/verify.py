@@ -21,12 +21,22 @@ PARSE_SAMPLE_LINES = 100
 FIELD_SAMPLE_LINES = 10
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence through the Hadoop file system of the path (local, HDFS,
-    object stores)."""
+def _file_status(spark: SparkSession, path: str) -> tuple[bool, int | None]:
+    """(exists, size) through the Hadoop file system of the path (local,
+    HDFS, object stores)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False, None
+    return True, int(fs.getFileStatus(p).getLen())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    return _file_status(spark, path)[0]
+
+
+EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
 # files up to this size are hashed by the binaryFile source (whole file in
@@ -112,19 +122,29 @@ def missing_field(required, field_sample) -> F.Column:
 def verify_files(spark: SparkSession, manifest: DataFrame, contracts: DataFrame) -> DataFrame:
     """``manifest``: name, path, num_examples, checksum.  ``contracts``:
     name, required.  Returns the long check table."""
-    # the manifest has one row per dataset: its paths are a small list
+    # the manifest has one row per dataset: its paths are a small list, and
+    # existence and size are file-system metadata (scans skip empty files)
     paths = [r["path"] for r in manifest.select("path").filter(F.col("path").isNotNull()).collect()]
-    existing = [p for p in paths if _exists(spark, p)]
-    stats = file_stats(spark, existing)
+    status = {p: _file_status(spark, p) for p in paths}
+    existing = [p for p, (e, _) in status.items() if e]
+    meta = spark.createDataFrame([(p, e, n) for p, (e, n) in status.items()],
+                                 "path string, present boolean, length long")
     norm = lambda c: F.regexp_replace(c, "^file:", "")
-    stats = stats.withColumn("path", norm(F.col("path")))
+    stats = (file_stats(spark, [p for p in existing if status[p][1] > 0])
+             .select(norm(F.col("path")).alias("path"), "sha256"))
+    stats = meta.join(stats, "path", "left").withColumn(
+        "sha256", F.when(F.col("present"), F.coalesce("sha256", F.lit(EMPTY_SHA256))))
+    existing = [p for p in existing if status[p][1] > 0]
     lines = (line_checks(spark, existing).withColumn("path", norm(F.col("path")))
              if existing else spark.createDataFrame(
                  [], "path string, first_bad_line int, head_lines long, "
                      "field_sample array<struct<line_no:int,keys:array<string>>>, line_count long"))
     m = (manifest.join(stats, "path", "left").join(lines, "path", "left")
-                 .join(F.broadcast(contracts), "name", "left"))
-    exists = F.col("length").isNotNull()
+                 .join(F.broadcast(contracts), "name", "left")
+                 # an empty file has no lines at all
+                 .withColumn("head_lines", F.coalesce("head_lines", F.lit(0)))
+                 .withColumn("line_count", F.coalesce("line_count", F.lit(0))))
+    exists = F.coalesce(F.col("present"), F.lit(False))
     miss = missing_field(F.col("required"), F.col("field_sample"))
     checks = F.array(
         F.struct(F.lit("File exists").alias("check"), exists.alias("passed"),

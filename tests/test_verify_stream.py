@@ -12,8 +12,11 @@ def test_verify_files(spark, tmp_path):
     bad.write_text('{"data": ["a"], "id": "1"}\n{"data": ["b"]}\n{broken\n')
     import hashlib
     digest = hashlib.sha256(good.read_bytes()).hexdigest()
+    empty = tmp_path / "openorca.jsonl"
+    empty.write_text("")
     manifest = spark.createDataFrame(
-        [("gsm8k", str(good), 3, digest), ("ultrachat", str(bad), 5, None), ("mmlu", str(tmp_path / "nope.jsonl"), 0, None)],
+        [("gsm8k", str(good), 3, digest), ("ultrachat", str(bad), 5, None), ("mmlu", str(tmp_path / "nope.jsonl"), 0, None),
+         ("openorca", str(empty), 0, None)],
         "name string, path string, num_examples long, checksum string")
     checks = verify_files(spark, manifest, contracts_df(spark))
     rows = {(r.name, r.check): r for r in checks.collect()}
@@ -24,8 +27,11 @@ def test_verify_files(spark, tmp_path):
     assert "Missing field 'id' on line 2" in rows[("ultrachat", "Expected fields")].detail
     assert rows[("ultrachat", "Line count")].passed is False          # count mismatch fails
     assert [k for k in rows if k[0] == "mmlu"] == [("mmlu", "File exists")]
+    assert rows[("openorca", "Non-zero size")].passed is False
+    assert rows[("openorca", "JSONL parseable")].detail == "Checked 0 lines"
+    assert rows[("openorca", "Line count")].passed is True            # expected 0 passes
     v = {r.name: r.passed for r in verdicts(checks).collect()}
-    assert v == {"gsm8k": True, "ultrachat": False, "mmlu": False}
+    assert v == {"gsm8k": True, "ultrachat": False, "mmlu": False, "openorca": False}
 
 
 def test_incremental_clean_dedups_across_batches(spark, tmp_path):
