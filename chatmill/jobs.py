@@ -90,9 +90,13 @@ def read_cleaned(spark: SparkSession, cleaned_dir: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(cleaned_dir)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return empty_like(spark, MESSAGES_ROW).withColumn("source", F.lit(None).cast("string"))
+        return (empty_like(spark, MESSAGES_ROW).withColumn("source", F.lit(None).cast("string"))
+                .withColumn("row_key", F.lit(None).cast("string")))
     schema = T.StructType(MESSAGES_ROW.fields + [T.StructField("source", T.StringType())])
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(cleaned_dir)
+    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(cleaned_dir)
+    # a key per line, assigned at the scan (same files -> same keys on retry)
+    key = F.concat_ws(":", F.col("_metadata.file_path"), F.monotonically_increasing_id().cast("string"))
+    return rows.withColumn("row_key", F.sha2(key, 256))
 
 
 def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: str = "local",
@@ -102,8 +106,6 @@ def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: st
     Returns the train-split source distribution."""
     cfg = sampling_config_df(spark, profile)
     rows = read_cleaned(spark, cleaned_dir).join(F.broadcast(cfg.select("source")), "source", "left_semi")
-    # deduplicated rows have unique content per source: the key is a stable id
-    rows = rows.withColumn("row_key", content_hash("messages"))
     # the profile is a literal table: its row count is a proven bound
     sampled, mixed = M.mix_sources(rows, cfg, "row_key", seed, return_sampled=True,
                                    n_sources=len([r for r in SAMPLING_PROFILES if r[0] == profile]))
