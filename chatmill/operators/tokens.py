@@ -88,12 +88,23 @@ def tokenize_messages(df: DataFrame, tokenizer: RegexTokenizer | None = None, me
     return out.drop("_cm_parts", "_cm_ids", "_cm_lab")
 
 
-def tokenize_with(df: DataFrame, encode: Callable[[str], list[int]], im_start_id: int, im_end_id: int,
-                  messages: str = "messages", keep: list[str] | None = None,
-                  max_length: int = 2048) -> DataFrame:
-    """Same layout with any Python tokenizer ``encode(text) -> ids``, run in
-    Arrow batches by ``mapInPandas``.  ``keep`` columns are passed through."""
+def tokenize_with(df: DataFrame, encode: Callable[[str], list[int]] | None = None, im_start_id: int = 0,
+                  im_end_id: int = 1, messages: str = "messages", keep: list[str] | None = None,
+                  max_length: int = 2048,
+                  encode_batch: Callable[[list[str]], list[list[int]]] | None = None) -> DataFrame:
+    """Same layout as :func:`tokenize_messages` with any Python tokenizer,
+    run in Arrow batches by ``mapInPandas``.  Give ``encode(text) -> ids``
+    or, faster, ``encode_batch(texts) -> ids per text`` (one call per Arrow
+    batch, e.g. :func:`hf_tokenizer_encoder`).  ``keep`` columns pass
+    through."""
     keep = keep or []
+    if encode_batch is None:
+        if encode is None:
+            raise ValueError("give encode or encode_batch")
+        enc = encode
+
+        def encode_batch(texts):  # noqa: F811 - per-text fallback
+            return [list(enc(t)) for t in texts]
     schema = T.StructType([df.schema[c] for c in keep] + [
         T.StructField("input_ids", T.ArrayType(T.IntegerType())),
         T.StructField("attention_mask", T.ArrayType(T.IntegerType())),
@@ -102,14 +113,22 @@ def tokenize_with(df: DataFrame, encode: Callable[[str], list[int]], im_start_id
     ])
 
     def run(batches):
-        nl = list(encode("\n"))
+        nl = list(encode_batch(["\n"])[0])
         for pdf in batches:
+            convs = [list(m) if m is not None else [] for m in pdf[messages]]
+            texts = []
+            for conv in convs:
+                for m in conv:
+                    texts.append(f"{m['role']}\n")
+                    texts.append(m["content"] or "")
+            encoded = encode_batch(texts) if texts else []
+            pos = 0
             ids_col, lab_col, mask_col, full_col = [], [], [], []
-            for msgs in pdf[messages]:
+            for conv in convs:
                 ids, labels = [], []
-                for m in (msgs if msgs is not None else []):
-                    head = list(encode(f"{m['role']}\n"))
-                    body = list(encode(m["content"] or ""))
+                for m in conv:
+                    head, body = list(encoded[pos]), list(encoded[pos + 1])
+                    pos += 2
                     seg = [im_start_id] + head + body + [im_end_id] + nl
                     ids += seg
                     if m["role"] == "assistant":
@@ -131,6 +150,24 @@ def tokenize_with(df: DataFrame, encode: Callable[[str], list[int]], im_start_id
     return df.select(*keep, messages).mapInPandas(run, schema)
 
 
+_LOADED_TOKENIZERS: dict = {}
+
+
+def hf_tokenizer_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """``encode_batch`` for a Hugging Face ``tokenizers`` JSON file (the
+    model's own BPE).  The file is read once per Python worker; special
+    tokens are not added (the chat markers are placed by the segments)."""
+
+    def encode_batch(texts: list[str]) -> list[list[int]]:
+        tok = _LOADED_TOKENIZERS.get(path)
+        if tok is None:
+            from tokenizers import Tokenizer
+            tok = _LOADED_TOKENIZERS[path] = Tokenizer.from_file(path)
+        return [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+    return encode_batch
+
+
 def labeled_count(labels="labels") -> Column:
     lab = F.col(labels) if isinstance(labels, str) else labels
     return F.size(F.filter(lab, lambda x: x != IGNORE_INDEX))

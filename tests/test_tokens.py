@@ -87,3 +87,27 @@ def test_turn_level_coverage_equals_array_form_with_a_hot_conversation(spark):
     ref = {r.conv_id: (r.total_tokens, r.labeled_tokens) for r in
            label_coverage(tokenize_messages(msgs, max_length=2048)).collect()}
     assert got == ref and got[0][0] == 2048
+
+
+def test_hf_tokenizer_file_through_arrow_batches(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+
+    from chatmill.operators.tokens import hf_tokenizer_encoder
+    tok = Tokenizer(models.BPE(unk_token="[UNK]"))
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    trainer = trainers.BpeTrainer(vocab_size=300, special_tokens=["[UNK]", "<|im_start|>", "<|im_end|>"],
+                                  initial_alphabet=pre_tokenizers.ByteLevel.alphabet())
+    tok.train_from_iterator([c for _, c in CONV] * 50, trainer)
+    path = str(tmp_path / "tokenizer.json")
+    tok.save(path)
+    start, end = tok.token_to_id("<|im_start|>"), tok.token_to_id("<|im_end|>")
+    df = spark.createDataFrame([(1, CONV), (2, CONV[1:])], M)
+    out = {r.id: r for r in tokenize_with(df, im_start_id=start, im_end_id=end, keep=["id"],
+                                          encode_batch=hf_tokenizer_encoder(path)).collect()}
+    enc = lambda s: tok.encode(s, add_special_tokens=False).ids
+    expected = []
+    for role, content in CONV:
+        expected += [start] + enc(role + "\n") + enc(content) + [end] + enc("\n")
+    assert out[1].input_ids == expected
+    labelled = [i for i, l in zip(out[1].input_ids, out[1].labels) if l != -100]
+    assert labelled == enc(CONV[2][1]) + [end]
