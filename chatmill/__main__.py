@@ -24,6 +24,7 @@ def main(argv=None) -> None:
     t.add_argument("prepared_dir")
     t.add_argument("out_dir")
     t.add_argument("--profile", default="local", choices=["local", "full"])
+    t.add_argument("--tokenizer-json", default=None, help="the model's tokenizers JSON file")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -38,7 +39,8 @@ def main(argv=None) -> None:
     elif args.stage == "prepare":
         jobs.prepare_job(spark, args.cleaned_dir, args.out_dir, args.profile).show(50, truncate=False)
     elif args.stage == "tokenize":
-        jobs.tokenize_job(spark, args.prepared_dir, args.out_dir, args.profile).show(truncate=False)
+        jobs.tokenize_job(spark, args.prepared_dir, args.out_dir, args.profile,
+                          tokenizer_json=args.tokenizer_json).show(truncate=False)
 
 
 if __name__ == "__main__":

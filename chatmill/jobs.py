@@ -120,16 +120,26 @@ def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: st
 
 
 def tokenize_job(spark: SparkSession, prepared_dir: str, out_dir: str, profile: str = "local",
-                 tokenizer: TK.RegexTokenizer | None = None) -> DataFrame:
-    """Prepared dataset -> token ids, masks, labels per split + statistics."""
+                 tokenizer: TK.RegexTokenizer | None = None, tokenizer_json: str | None = None) -> DataFrame:
+    """Prepared dataset -> token ids, masks, labels per split + statistics.
+    ``tokenizer_json``: the model's ``tokenizers`` file (its BPE and its
+    ``<|im_start|>`` / ``<|im_end|>`` ids); default: the regex tokenizer."""
     max_len = MAX_SEQ_LENGTH[profile]
     ds = spark.read.parquet(f"{prepared_dir}/dataset").withColumn("messages", messages_from_json("messages"))
-    tok = materialize(TK.tokenize_messages(ds, tokenizer, max_length=max_len).select(
-        "split", "input_ids", "attention_mask", "labels"))
+    if tokenizer_json:
+        from tokenizers import Tokenizer
+        t = Tokenizer.from_file(tokenizer_json)     # driver side: only the two marker ids
+        start, end = t.token_to_id("<|im_start|>"), t.token_to_id("<|im_end|>")
+        tokenized = TK.tokenize_with(ds, im_start_id=start, im_end_id=end, keep=["split"], max_length=max_len,
+                                     encode_batch=TK.hf_tokenizer_encoder(tokenizer_json))
+        name = tokenizer_json
+    else:
+        tokenized = TK.tokenize_messages(ds, tokenizer, max_length=max_len)
+        name = "regex"
+    tok = materialize(tokenized.select("split", "input_ids", "attention_mask", "labels"))
     W.write_tokenized(tok, f"{out_dir}/tokenized")
     stats = TK.token_statistics(tok, max_len, ["split"])
-    W.write_manifest(W.tokenization_manifest(stats, max_len, "regex" if tokenizer is None else type(tokenizer).__name__),
-                     f"{out_dir}/tokenization_config")
+    W.write_manifest(W.tokenization_manifest(stats, max_len, name), f"{out_dir}/tokenization_config")
     return stats
 
 
