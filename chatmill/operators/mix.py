@@ -84,7 +84,8 @@ IDS_BROADCAST_LIMIT = 1_000_000
 
 def mix_sources(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM_SEED,
                 source: str = "source", messages: str = "messages", n_sources: int | None = None,
-                materialize: bool = True, return_sampled: bool = False, prepare=None):
+                materialize: bool = True, return_sampled: bool = False, prepare=None,
+                light: DataFrame | None = None):
     """cap -> oversample -> validate; returns ``(source, id, copy)`` of the
     mixed corpus (attach payloads with :func:`attach_payload`), and with
     ``return_sampled`` also the ids before validation (for load stats).
@@ -99,10 +100,11 @@ def mix_sources(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDO
     messages until after sampling: when the checkpointed capped id set is
     small enough (a size check, not a guess) it is broadcast into the raw
     scan, so only sampled rows are converted; otherwise every row is
-    validated map-side and matched by a shuffle join.
+    validated map-side and matched by a shuffle join.  ``light`` is an
+    optional cheaper read of the same rows for the ``(source, id)`` passes.
     """
     from ..session import materialize as _mat
-    light = df.select(source, id_col)
+    light = (light if light is not None else df).select(source, id_col)
     capped = cap_per_source(light, config, id_col, seed, source, n_sources)
     if materialize:
         capped = _mat(capped)

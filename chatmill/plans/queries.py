@@ -198,7 +198,7 @@ def doc_sampling_config(spark, sf) -> DataFrame:
     """Per document source: a cap and a weight (rule below, mirrored in SQL):
     src0 no cap (NULL), src1 cap 0 (= no cap), src2 cap 1000 (> size),
     others cap 40; weight 2.5 for src3, 0.5 for src4, 3.0 for src5, else 1."""
-    s = _t(spark, sf, "documents").select("source").distinct()
+    s = read_table(spark, sf, "documents").select("source").distinct()
     cap = (F.when(F.col("source") == "src0", F.lit(None).cast("bigint"))
             .when(F.col("source") == "src1", F.lit(0).cast("bigint"))
             .when(F.col("source") == "src2", F.lit(1000).cast("bigint"))
@@ -209,12 +209,13 @@ def doc_sampling_config(spark, sf) -> DataFrame:
 
 
 def q_cap_per_source(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "source")
+    # light columns only: no need to spread the scan for CPU-heavy work
+    d = read_table(spark, sf, "documents").select("doc_id", "source")
     return M.cap_per_source(d, doc_sampling_config(spark, sf), "doc_id", SEED).select("source", "doc_id")
 
 
 def q_oversample(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "source")
+    d = read_table(spark, sf, "documents").select("doc_id", "source")
     cfg = doc_sampling_config(spark, sf)
     capped = materialize(M.cap_per_source(d, cfg, "doc_id", SEED))
     return M.oversample(capped, cfg, "doc_id", SEED).select("source", "doc_id", "copy")
@@ -226,7 +227,8 @@ def mixed_split(spark, sf) -> DataFrame:
     convert = lambda r: C.convert_triples(r, default_system=DEFAULT_SYSTEM)
     # rows that failed conversion still take cap slots, then fail validation;
     # messages are built only for rows that survive the caps
-    mixed = M.mix_sources(raw, cfg, "doc_id", SEED, prepare=convert)
+    light = read_table(spark, sf, "documents").select("doc_id", "source")
+    mixed = M.mix_sources(raw, cfg, "doc_id", SEED, prepare=convert, light=light)
     key = M.seeded_key(SEED, "source", "doc_id", "copy")
     return M.exact_split(mixed, key, ["source", "doc_id", "copy"])
 
@@ -312,7 +314,7 @@ def order_numeric(spark, sf) -> tuple[DataFrame, DataFrame]:
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").cast("bigint").alias("qty"),
         F.sum(F.when(F.col("l_linenumber") <= 6, F.col("l_quantity"))).cast("bigint").alias("qty6"))
-    o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("item_id"))
+    o = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("item_id"))
     gold = (o.join(per, o.item_id == per.l_orderkey)
              .select("item_id", F.concat(F.lit("#### "), F.format_number(F.col("qty"), 0)).alias("answer")))
     pred = per.filter(F.col("qty6").isNotNull()).select(
@@ -358,7 +360,7 @@ def q_choice_accuracy_by_subject(spark, sf):
 
 def q_running_accuracy(spark, sf):
     g = graded_choices(spark, sf)
-    e = _t(spark, sf, "events").select(F.col("event_id").alias("item_id"), "event_type")
+    e = read_table(spark, sf, "events").select(F.col("event_id").alias("item_id"), "event_type")
     ra = S.running_accuracy(g.join(e, "item_id"), "item_id", ["event_type"], every=S.REPORT_EVERY["gsm8k"])
     return ra.select(F.col("item_id").alias("event_id"), "event_type", "running_rows", "running_correct",
                      "running_accuracy", "is_report_point")
@@ -392,7 +394,7 @@ def q_subject_top_bottom(spark, sf):
 def q_pass_at_k(spark, sf):
     """Unbiased pass@k per document source: n = labelled documents, c = those
     with quality 1 (stand-in for sampled completions that pass)."""
-    lab = _t(spark, sf, "labels").join(_t(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    lab = read_table(spark, sf, "labels").join(read_table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
     g = lab.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality") == 1).alias("c"))
     return g.select("source", "n", "c", F.round(A.pass_at_k(F.col("n"), F.col("c"), 10), 6).alias("pass_at_10"))
 
@@ -404,7 +406,7 @@ EVENT_CONTRACTS = [("view", ["k"]), ("click", ["k"]), ("purchase", ["k", "amount
 
 
 def q_required_fields(spark, sf):
-    e = _t(spark, sf, "events").select(F.col("event_type").alias("name"), F.col("event_id").alias("seq"),
+    e = read_table(spark, sf, "events").select(F.col("event_type").alias("name"), F.col("event_id").alias("seq"),
                                        F.col("props").alias("value"))
     contracts = spark.createDataFrame(EVENT_CONTRACTS, "name string, required array<string>")
     return required_key_check(e, contracts).select("name", "lines_checked", "first_failing_line",
@@ -435,14 +437,14 @@ def doc_registry(spark, sf) -> DataFrame:
 
 def q_holdout_sources(spark, sf):
     from ..sources.registry import holdout_filter
-    d = _t(spark, sf, "documents").select("doc_id", "source")
+    d = read_table(spark, sf, "documents").select("doc_id", "source")
     kept = holdout_filter(d, doc_registry(spark, sf), "source")
     return kept.groupBy("source").agg(F.count(F.lit(1)).alias("documents"))
 
 
 def q_capped_ingest(spark, sf):
     from ..sources.ingest import capped_ingest
-    d = _t(spark, sf, "documents").select("doc_id", "source")
+    d = read_table(spark, sf, "documents").select("doc_id", "source")
     return capped_ingest(d, ["source"], "doc_id", 25).select("source", "doc_id")
 
 
@@ -468,7 +470,7 @@ def q_benchmark_prompts(spark, sf):
 def q_choice_details(spark, sf):
     """Stored detail rows: the first 100 graded items (the detail limit is
     the feature), question text cut to 80 code points."""
-    g = graded_choices(spark, sf).join(_t(spark, sf, "events").select(F.col("event_id").alias("item_id"), "props"),
+    g = graded_choices(spark, sf).join(read_table(spark, sf, "events").select(F.col("event_id").alias("item_id"), "props"),
                                        "item_id")
     top = g.orderBy("item_id").limit(S.MMLU_DETAIL_ROWS)
     return top.select("item_id", F.substring("props", 1, 80).alias("question"), "subject", "ground_truth",
@@ -499,7 +501,7 @@ def q_training_plan(spark, sf):
 
 def q_request_validation(spark, sf):
     from ..operators.serving import validate_requests
-    e = _t(spark, sf, "events")
+    e = read_table(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     req = e.select(
         "event_id",
