@@ -69,7 +69,8 @@ def doc_messages(spark, sf) -> DataFrame:
 def conv_turn_arrays(spark, sf) -> DataFrame:
     """conversations -> one row per conversation with its turns in order.
     A conversation is one example, so the group is bounded."""
-    c = _t(spark, sf, "conversations")
+    # the groupBy shuffle spreads the per-conversation work: no spread here
+    c = read_table(spark, sf, "conversations")
     return c.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
@@ -461,7 +462,7 @@ def q_json_roundtrip(spark, sf):
 
 
 def q_benchmark_prompts(spark, sf):
-    b = _t(spark, sf, "benchmark")
+    b = read_table(spark, sf, "benchmark")
     p = b.select("item_id", A.code_prompt(F.col("text")).alias("code"), A.math_prompt(F.col("text")).alias("math"))
     return p.select("item_id", F.length("code").alias("code_prompt_length"), F.md5("code").alias("code_prompt_md5"),
                     F.length("math").alias("math_prompt_length"), F.md5("math").alias("math_prompt_md5"))
