@@ -15,18 +15,31 @@ OUTCOMES = ("parse_error", "conversion_failed", "duplicate", "kept")
 
 
 def classify_lines(lines: DataFrame, shape: str, default_system: str = DEFAULT_SYSTEM,
-                   scope: str = "source", order: str = "seq", parsed: str = "parsed") -> DataFrame:
+                   scope: str = "source", order: str = "seq", parsed: str = "parsed",
+                   keep_messages: bool = True, materialize: bool = False) -> DataFrame:
     """``lines``: one row per raw line with ``scope``, ``order`` (unique) and a
     parsed VARIANT (NULL = not JSON).  Adds ``messages``, ``content_key`` and
-    ``outcome``.  Duplicates are judged per ``scope`` among converted rows."""
+    ``outcome``.  Duplicates are judged per ``scope`` among converted rows.
+
+    Dedup reads the keyed lines twice (key aggregate, then the join on
+    ``order``).  With ``materialize`` the keyed lines are checkpointed once,
+    so each line is parsed and converted only once; with
+    ``keep_messages=False`` only the light columns are kept (and written)."""
     conv = convert_parsed(lines, shape, parsed=parsed, default_system=default_system)
-    keyed = with_content_key(conv)
+    keyed = (with_content_key(conv)
+             .withColumn("_cm_parse_failed", F.col(parsed).isNull())
+             .withColumn("_cm_failed", F.col("messages").isNull()))
+    if not keep_messages:
+        keyed = keyed.drop("messages", parsed)
+    if materialize:
+        from ..session import materialize as _mat
+        keyed = _mat(keyed)
     flagged = flag_duplicates(keyed, [scope, "content_key"], order)
-    outcome = (F.when(F.col(parsed).isNull(), F.lit("parse_error"))
-                .when(F.col("messages").isNull(), F.lit("conversion_failed"))
+    outcome = (F.when(F.col("_cm_parse_failed"), F.lit("parse_error"))
+                .when(F.col("_cm_failed"), F.lit("conversion_failed"))
                 .when(F.col("is_duplicate"), F.lit("duplicate"))
                 .otherwise(F.lit("kept")))
-    return flagged.withColumn("outcome", outcome).drop("is_duplicate")
+    return flagged.withColumn("outcome", outcome).drop("is_duplicate", "_cm_parse_failed", "_cm_failed")
 
 
 def outcome_counts(classified: DataFrame, scope: str = "source") -> DataFrame:

@@ -158,7 +158,10 @@ def q_convert_qa(spark, sf):
 # --- dedup and cleaning outcomes --------------------------------------------
 
 def q_dedup_first(spark, sf):
-    keyed = doc_messages(spark, sf).withColumn("content_key", content_hash("messages"))
+    # convert and key every document once; both dedup passes read the
+    # checkpointed light keys
+    keyed = materialize(doc_messages(spark, sf).select("doc_id", "source",
+                                                        content_hash("messages").alias("content_key")))
     kept = keep_first(keyed, ["source", "content_key"], "doc_id")
     return kept.select("doc_id", "source", "content_key")
 
@@ -183,7 +186,7 @@ def q_clean_outcomes(spark, sf):
 def q_clean_rows(spark, sf):
     """Row-level outcome of every line (first copy kept per source)."""
     classified = classify_lines(doc_json_lines(spark, sf), "triples", default_system=DEFAULT_SYSTEM,
-                                scope="source", order="doc_id")
+                                scope="source", order="doc_id", keep_messages=False, materialize=True)
     return classified.select("doc_id", "source", "outcome", "content_key")
 
 

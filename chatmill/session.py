@@ -29,6 +29,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
                 os.environ.get("CHATMILL_MIN_PARTITION_SIZE", "64k"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # remove checkpoint files once their DataFrame is garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("CHATMILL_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
