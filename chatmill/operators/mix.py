@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.chat import has_user_and_assistant
 from ..sources.registry import RANDOM_SEED, TRAIN_RATIO
-from .ranking import within_rank
+from .ranking import BUCKET_HEX_DIGITS, within_rank
 
 
 def seeded_key(seed: int, *cols) -> Column:
@@ -23,7 +23,8 @@ def seeded_key(seed: int, *cols) -> Column:
 
 
 def cap_per_source(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM_SEED,
-                   source: str = "source", n_sources: int | None = None) -> DataFrame:
+                   source: str = "source", n_sources: int | None = None,
+                   hex_digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
     """Exact random cap without replacement per source.  ``max_samples``
     NULL or 0 means no cap; a cap >= the source size keeps everything.
     ``n_sources``, when the caller knows it (a literal config), proves the
@@ -34,12 +35,13 @@ def cap_per_source(df: DataFrame, config: DataFrame, id_col: str, seed: int = RA
                 .withColumn("_cm_key", seeded_key(seed, id_col)))
     limit = F.when(F.col("max_samples") > 0, F.col("max_samples"))
     ranked = within_rank(staged, [source], "_cm_key", [id_col], limit, out="_cm_in",
-                         max_groups=n_sources)
+                         max_groups=n_sources, hex_digits=hex_digits)
     return ranked.filter("_cm_in").drop("_cm_in", "_cm_key", "max_samples")
 
 
 def oversample(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM_SEED,
-               source: str = "source", n_sources: int | None = None) -> DataFrame:
+               source: str = "source", n_sources: int | None = None,
+               hex_digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
     """Weight > 1: every row ``floor(weight)`` times (``copy`` 0..k-1), plus
     ``floor(n * frac)`` distinct rows (seed + 1) as copy k.  Weight <= 1 is a
     no-op (copy 0)."""
@@ -52,7 +54,7 @@ def oversample(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM
                    .withColumn("_cm_key", seeded_key(seed + 1, id_col)))
     # the extra count floor(n * frac) comes from the histogram's group total
     extra = within_rank(extra, [source, "weight"], "_cm_key", [id_col], out="_cm_in", max_groups=n_sources,
-                        limit_from_total=lambda n: F.floor(n * frac()))
+                        limit_from_total=lambda n: F.floor(n * frac()), hex_digits=hex_digits)
     extra = (extra.filter("_cm_in").withColumn("copy", F.floor("weight").cast("int"))
                   .drop("_cm_in", "_cm_key"))
     return copies.unionByName(extra).drop("weight")
@@ -126,7 +128,8 @@ def attach_payload(mixed: DataFrame, df: DataFrame, keys: list[str]) -> DataFram
 
 
 def exact_split(df: DataFrame, key: Column, tiebreak: list[str], ratio: float = TRAIN_RATIO,
-                out: str = "split", by: list[str] | None = None) -> DataFrame:
+                out: str = "split", by: list[str] | None = None,
+                hex_digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
     """Seeded shuffle + exact prefix split: the first ``floor(n * ratio)`` rows
     in ``key`` order are ``train``, the rest ``validation``.
 
@@ -136,12 +139,12 @@ def exact_split(df: DataFrame, key: Column, tiebreak: list[str], ratio: float =
     both splits (``floor(n_ids * ratio)`` ids go to train)."""
     if by:
         ids = df.select(*by).distinct().withColumn("_cm_skey", key)
-        ranked = within_rank(ids, [], "_cm_skey", by, out="_cm_in", max_groups=1,
+        ranked = within_rank(ids, [], "_cm_skey", by, out="_cm_in", max_groups=1, hex_digits=hex_digits,
                              limit_from_total=lambda n: F.floor(n * F.lit(float(ratio))))
         side = ranked.select(*by, F.when(F.col("_cm_in"), F.lit("train")).otherwise(F.lit("validation")).alias(out))
         return df.join(side, by, "inner")
     staged = df.withColumn("_cm_skey", key)
-    ranked = within_rank(staged, [], "_cm_skey", tiebreak, out="_cm_in", max_groups=1,
+    ranked = within_rank(staged, [], "_cm_skey", tiebreak, out="_cm_in", max_groups=1, hex_digits=hex_digits,
                          limit_from_total=lambda n: F.floor(n * F.lit(float(ratio))))
     return (ranked.withColumn(out, F.when(F.col("_cm_in"), F.lit("train")).otherwise(F.lit("validation")))
                   .drop("_cm_in", "_cm_skey"))
