@@ -513,3 +513,22 @@ SELECT g.conv_id, total_tokens - labeled_tokens AS prompt_tokens, labeled_tokens
 FROM g JOIN n USING (conv_id)"""
 
 SQL["label_coverage_arrays"] = SQL["label_coverage"]
+
+SQL["oversample_fractional"] = f"""
+WITH {CONFIG}
+SELECT source, doc_id, copy FROM extra"""
+
+SQL["label_mask"] = f"""
+WITH {CONV_TOKENS.replace("g AS (", "g0 AS (")},
+spans AS (SELECT conv_id, s + 1 + h AS lab_start, least(s + 1 + h + c + 1, {L}) AS lab_end
+          FROM o WHERE role = 'assistant' AND s + 1 + h < {L})
+SELECT g0.conv_id, g0.labeled_tokens,
+       CAST(min(spans.lab_start) AS BIGINT) AS first_labeled, CAST(max(spans.lab_end) - 1 AS BIGINT) AS last_labeled
+FROM g0 LEFT JOIN spans USING (conv_id)
+GROUP BY g0.conv_id, g0.labeled_tokens"""
+
+SQL["manifest_summary"] = SQL["clean_outcomes"].split("SELECT CASE WHEN grouping(source)")[0] + """
+SELECT count(*) AS sources, CAST(sum(input) AS BIGINT) AS total_input, CAST(sum(output) AS BIGINT) AS total_output,
+       CAST(sum(input - output) AS BIGINT) AS total_dropped,
+       count(*) FILTER (WHERE input - output = 0) AS sources_without_drops
+FROM cnt"""

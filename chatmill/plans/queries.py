@@ -190,6 +190,15 @@ def q_clean_rows(spark, sf):
     return classified.select("doc_id", "source", "outcome", "content_key")
 
 
+def q_manifest_summary(spark, sf):
+    """Cleaning-manifest totals: sources, input, output, dropped, and how
+    many sources kept every line."""
+    per = q_clean_outcomes(spark, sf).filter(F.col("source") != "Total")
+    return per.agg(F.count(F.lit(1)).alias("sources"), F.sum("input").alias("total_input"),
+                   F.sum("output").alias("total_output"), F.sum("dropped").alias("total_dropped"),
+                   F.count_if(F.col("dropped") == 0).alias("sources_without_drops"))
+
+
 def q_validate_examples(spark, sf):
     out = C.drop_failed(conv_alternating(spark, sf))
     return out.select("conv_id", F.size("messages").alias("n_messages"),
@@ -225,6 +234,18 @@ def q_oversample(spark, sf):
     return M.oversample(capped, cfg, "doc_id", SEED).select("source", "doc_id", "copy")
 
 
+def q_oversample_fractional(spark, sf):
+    """Only the extra copies drawn for fractional weights (seed + 1)."""
+    d = read_table(spark, sf, "documents").select("doc_id", "source")
+    cfg = doc_sampling_config(spark, sf)
+    capped = materialize(M.cap_per_source(d, cfg, "doc_id", SEED))
+    over = M.oversample(capped, cfg, "doc_id", SEED)
+    frac = F.broadcast(cfg.filter(F.col("weight") > F.floor("weight"))
+                       .filter(F.col("weight") > 1)
+                       .select("source", F.floor("weight").cast("int").alias("copy")))
+    return over.join(frac, ["source", "copy"], "left_semi").select("source", "doc_id", "copy")
+
+
 def mixed_split(spark, sf) -> DataFrame:
     cfg = doc_sampling_config(spark, sf)
     raw = doc_triples(spark, sf)
@@ -274,6 +295,18 @@ def q_label_coverage_arrays(spark, sf):
     return TK.label_coverage(tok).select("conv_id", "total_tokens", "labeled_tokens", "masked_tokens", "labeled_pct")
 
 
+def q_label_mask(spark, sf):
+    """Where the labels sit: count, first and last labelled position (0-based)
+    of each tokenized conversation."""
+    tok = TK.tokenize_messages(conv_raw_messages(spark, sf), max_length=MAX_LEN)
+    hit = F.transform("labels", lambda x: x != TK.IGNORE_INDEX)
+    first = F.array_position(hit, True)
+    last_from_end = F.array_position(F.reverse(hit), True)
+    return tok.select("conv_id", TK.labeled_count("labels").alias("labeled_tokens"),
+                      F.when(first > 0, first - 1).alias("first_labeled"),
+                      F.when(last_from_end > 0, F.size("labels") - last_from_end).alias("last_labeled"))
+
+
 def q_pad_batches(spark, sf):
     tok = TK.tokenize_messages(conv_raw_messages(spark, sf), max_length=MAX_LEN)
     padded = TK.pad_batches(tok, ["conv_id"], PAD_BATCH, TK.RegexTokenizer().pad_id)
@@ -548,9 +581,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_first": q_dedup_first,
     "clean_outcomes": q_clean_outcomes,
     "clean_rows": q_clean_rows,
+    "manifest_summary": q_manifest_summary,
     "validate_examples": q_validate_examples,
     "cap_per_source": q_cap_per_source,
     "oversample": q_oversample,
+    "oversample_fractional": q_oversample_fractional,
     "mix_split": q_mix_split,
     "source_distribution": q_source_distribution,
     "split_leakage": q_split_leakage,
@@ -558,6 +593,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_stats": q_token_stats,
     "label_coverage": q_label_coverage,
     "label_coverage_arrays": q_label_coverage_arrays,
+    "label_mask": q_label_mask,
     "pad_batches": q_pad_batches,
     "build_choice_prompts": q_build_choice_prompts,
     "extract_code": q_extract_code,
