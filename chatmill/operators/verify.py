@@ -198,3 +198,33 @@ def required_key_check(lines: DataFrame, contracts: DataFrame, name: str = "name
         F.min_by(F.col("first_missing"), F.when(F.col("first_missing").isNotNull(), F.col("line_no")))
          .alias("missing_field"),
     ).withColumn("passed", F.col("first_failing_line").isNull())
+
+
+def line_verdicts(lines: DataFrame, contracts: DataFrame, name: str = "name", order: str = "seq",
+                  value: str = "value", expected: DataFrame | None = None) -> DataFrame:
+    """The file checks V-4..V-7 over a table of lines (one row per line,
+    ``name`` = the file or dataset): first unparsable line within the first
+    100, first missing required key within the first 10 (NULL verdict
+    without a contract), line count against ``expected`` (name,
+    num_examples; 0 or missing = pass) and the overall verdict.  Both
+    samples are ``row_number() <= k`` filters, limited per partition before
+    the shuffle."""
+    w = Window.partitionBy(name).orderBy(order)
+    head = (lines.withColumn("line_no", F.row_number().over(w))
+                 .filter(F.col("line_no") <= PARSE_SAMPLE_LINES))
+    parse = head.groupBy(name).agg(
+        F.min(F.when(F.try_parse_json(value).isNull(), F.col("line_no"))).alias("first_bad_line"))
+    fields = required_key_check(lines, contracts, name, order, value).select(
+        name, F.col("passed").alias("fields_ok"), "missing_field", F.col("first_failing_line").alias("fields_line"))
+    counts = lines.groupBy(name).agg(F.count(F.lit(1)).alias("line_count"))
+    out = counts.join(parse, name, "left").join(fields, name, "left")
+    if expected is not None:
+        out = out.join(expected.select(name, "num_examples"), name, "left")
+        count_ok = F.when(F.coalesce(F.col("num_examples"), F.lit(0)) > 0,
+                          F.col("line_count") == F.col("num_examples")).otherwise(F.lit(True))
+    else:
+        count_ok = F.lit(True)
+    return (out.withColumn("parse_ok", F.col("first_bad_line").isNull())
+               .withColumn("count_ok", count_ok)
+               .withColumn("passed", F.col("parse_ok") & F.coalesce(F.col("fields_ok"), F.lit(True))
+                           & F.col("count_ok")))

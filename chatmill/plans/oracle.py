@@ -532,3 +532,21 @@ SELECT count(*) AS sources, CAST(sum(input) AS BIGINT) AS total_input, CAST(sum(
        CAST(sum(input - output) AS BIGINT) AS total_dropped,
        count(*) FILTER (WHERE input - output = 0) AS sources_without_drops
 FROM cnt"""
+
+SQL["file_verdicts"] = f"""
+WITH {TRIPLES},
+l AS (SELECT d0.doc_id, d0.source AS name,
+             CASE WHEN strpos(d0.text, chr(10)) > 0 THEN TRUE ELSE coalesce(json_valid(d0.text), FALSE) END AS parsed_ok,
+             strpos(d0.text, chr(10)) > 0 AS has_fields,
+             row_number() OVER (PARTITION BY d0.source ORDER BY d0.doc_id) AS line_no
+      FROM d0),
+cnt AS (SELECT name, count(*) AS line_count FROM l GROUP BY name),
+p AS (SELECT name, min(CASE WHEN NOT parsed_ok THEN line_no END) AS first_bad_line FROM l WHERE line_no <= 100 GROUP BY name),
+f AS (SELECT name, min(CASE WHEN NOT has_fields THEN line_no END) AS fields_line FROM l WHERE line_no <= 10 GROUP BY name),
+e AS (SELECT source AS name, count(*) AS num_examples FROM documents GROUP BY source)
+SELECT cnt.name, cnt.line_count, p.first_bad_line, p.first_bad_line IS NULL AS parse_ok,
+       f.fields_line IS NULL AS fields_ok, CASE WHEN f.fields_line IS NOT NULL THEN 'system_prompt' END AS missing_field,
+       f.fields_line, CASE WHEN e.num_examples > 0 THEN cnt.line_count = e.num_examples ELSE TRUE END AS count_ok,
+       p.first_bad_line IS NULL AND f.fields_line IS NULL
+         AND CASE WHEN e.num_examples > 0 THEN cnt.line_count = e.num_examples ELSE TRUE END AS passed
+FROM cnt LEFT JOIN p USING (name) LEFT JOIN f USING (name) LEFT JOIN e USING (name)"""

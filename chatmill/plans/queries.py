@@ -450,6 +450,21 @@ def q_required_fields(spark, sf):
                                                    "missing_field", "passed")
 
 
+def q_file_verdicts(spark, sf):
+    """Each document source as a JSON-lines file (the triple shape): parse
+    check, field contract, line count against the documents per source,
+    verdict."""
+    from ..operators.verify import line_verdicts
+    lines = doc_json_lines(spark, sf).select(F.col("source").alias("name"), F.col("doc_id").alias("seq"), "value")
+    contracts = (lines.select("name").distinct()
+                 .withColumn("required", F.array(*[F.lit(k) for k in ("system_prompt", "question", "response")])))
+    expected = (read_table(spark, sf, "documents").groupBy(F.col("source").alias("name"))
+                .agg(F.count(F.lit(1)).alias("num_examples")))
+    v = line_verdicts(lines, contracts, "name", "seq", "value", expected)
+    return v.select("name", "line_count", "first_bad_line", "parse_ok", "fields_ok", "missing_field", "fields_line",
+                    "count_ok", "passed")
+
+
 def q_file_inventory(spark, sf):
     """Files of the data folder: count and bytes before the ignore filter,
     count after it (file contents are pruned from the scan)."""
@@ -605,6 +620,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "subject_top_bottom": q_subject_top_bottom,
     "pass_at_k": q_pass_at_k,
     "required_fields": q_required_fields,
+    "file_verdicts": q_file_verdicts,
     "file_inventory": q_file_inventory,
     "incremental_clean": q_incremental_clean,
     "holdout_sources": q_holdout_sources,

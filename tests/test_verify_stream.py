@@ -71,3 +71,17 @@ def test_incremental_clean_with_bounded_dedup_state(spark, tmp_path):
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     n = incremental_clean(spark, str(src), "qa", "gsm8k", out, ck, dedup_window="7 days").count()
     assert n == 1
+
+
+def test_line_verdicts(spark):
+    from chatmill.operators.verify import line_verdicts
+    rows = [("a", 1, '{"q": 1, "r": 2}'), ("a", 2, '{"q": 1}'), ("b", 1, "{bad"), ("b", 2, '{"q": 1, "r": 2}'),
+            ("c", 1, '{"x": 1}')]
+    lines = spark.createDataFrame(rows, "name string, seq long, value string")
+    contracts = spark.createDataFrame([("a", ["q", "r"]), ("b", ["q", "r"])], "name string, required array<string>")
+    expected = spark.createDataFrame([("a", 2), ("b", 3)], "name string, num_examples long")
+    v = {r.name: r for r in line_verdicts(lines, contracts, expected=expected).collect()}
+    assert (v["a"].parse_ok, v["a"].fields_ok, v["a"].missing_field, v["a"].fields_line, v["a"].passed) == \
+        (True, False, "r", 2, False)
+    assert (v["b"].first_bad_line, v["b"].count_ok, v["b"].passed) == (1, False, False)
+    assert (v["c"].fields_ok, v["c"].passed) == (None, True)        # no contract, no expected count
