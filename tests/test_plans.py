@@ -26,7 +26,7 @@ def test_no_python_and_no_cartesian(spark, name):
 
 
 @pytest.mark.parametrize("name,unread", [("normalize_text", ["lang", "n_chars", "source"]),
-                                         ("dedup_first", ["lang", "n_chars"]),
+                                         ("convert_triples", ["n_chars"]),
                                          ("cap_per_source", ["text", "lang", "n_chars"])])
 def test_scans_read_only_needed_columns(spark, name, unread):
     scans = [line for line in _plan(spark, name).splitlines() if "ReadSchema" in line and "documents" in line]
