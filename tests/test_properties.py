@@ -141,3 +141,26 @@ def test_turns_converter_matches_spec(spark):
     got = {r.i: (None if r.messages is None else [(m.role, m.content) for m in r.messages])
            for r in convert_turns(df, default_system="SYS").collect()}
     assert [got[i] for i in range(len(convs))] == [spec(c) for c in convs]
+
+
+def test_alternating_converter_matches_spec(spark):
+    from chatmill.operators.convert import convert_alternating
+    rnd = random.Random(8)
+    words = ["hello world", "ok", "valid turn here", "x", "", "  padded  text  ", "#!?"]
+    datas = [None if rnd.random() < 0.05 else [rnd.choice(words + [None]) for _ in range(rnd.randint(0, 5))]
+             for _ in range(800)]
+
+    def spec(data):
+        if not data or len(data) < 2:
+            return None
+        msgs = [("system", "SYS")]
+        for i, val in enumerate(data):
+            text = _spec_normalize(val if isinstance(val, str) else "")
+            if _spec_valid(text):
+                msgs.append(("user" if i % 2 == 0 else "assistant", text))
+        return msgs if len(msgs) >= 3 else None
+
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(datas)], "i int, data array<string>")
+    got = {r.i: (None if r.messages is None else [(m.role, m.content) for m in r.messages])
+           for r in convert_alternating(df, default_system="SYS").collect()}
+    assert [got[i] for i in range(len(datas))] == [spec(d) for d in datas]
