@@ -161,6 +161,7 @@ def source_distribution(df: DataFrame, source: str = "source", total_label: str
     counts = df.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
     rolled = counts.rollup(source).agg(F.sum("n").alias("count"), F.grouping(source).alias("_g"))
     from pyspark.sql import Window
+    # the rolled-up counts have one row per source (+ the total)
     total = F.max(F.when(F.col("_g") == 1, F.col("count"))).over(Window.partitionBy())
     return (rolled.withColumn("percent", F.col("count").cast("double") * 100 / total)
                   .withColumn(source, F.when(F.col("_g") == 1, F.lit(total_label)).otherwise(F.col(source)))

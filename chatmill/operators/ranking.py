@@ -50,6 +50,8 @@ def within_rank(df: DataFrame, groups: list[str], key: str, tiebreak: list[str],
     else:
         hist = staged.groupBy(*groups, b).agg(F.count(F.lit(1)).alias("_cm_n"))
         hist = hist.withColumn(lim, limit_from_total(F.sum("_cm_n").over(Window.partitionBy(*groups))))
+    # prefix sums over the histogram: at most 16 ** hex_digits rows per group
+    # (also when there are no groups, as for a global split)
     w = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = (hist.withColumn("_cm_cum", F.sum("_cm_n").over(w))
                 .withColumn("_cm_before", F.col("_cm_cum") - F.col("_cm_n"))

@@ -54,6 +54,7 @@ def top_bottom_subjects(subjects: DataFrame, k: int = 10) -> DataFrame:
     """Subjects by accuracy descending (ties: first appearance).  Top k, and
     bottom k only when there are more than k subjects (the lists may
     overlap).  One row per (list, subject) with its position."""
+    # one row per subject: a whole-table window over a small aggregate
     total = F.count(F.lit(1)).over(Window.partitionBy())
     ranked = subjects.withColumn("position", F.row_number().over(
         Window.orderBy(F.col("accuracy").desc(), F.col("first_seen"))))
