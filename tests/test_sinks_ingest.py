@@ -193,3 +193,14 @@ def test_small_display_helpers_and_nested_export(spark, tmp_path):
     assert back.split == "train" and back.messages[2].content == "c"
     d = detail_rows(m, {"first": F.col("messages")[0]["content"], "n": F.size("messages")}).first()
     assert (d.first, d.n) == ("a", 3)
+
+
+def test_spread_only_when_fewer_splits_than_cores(spark):
+    from chatmill.sources.tables import spread
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(many, "id") is many                       # enough splits: unchanged
+    few = spark.range(0, 1000, numPartitions=1)
+    spread_few = spread(few, ["id"])
+    assert spread_few.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in spread_few.collect()) == list(range(1000))
