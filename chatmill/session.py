@@ -42,8 +42,9 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting is given and used as is.  Only when it is unset
-    (local tests) do we create one.
+    On a cluster the setting is given and used as is; a cluster without one
+    is an error, since executors could not share a machine-local folder.
+    Only a local session (tests) gets a folder of its own.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local_dir = tempfile.mkdtemp(prefix="chatmill-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local_dir)
     spark.sparkContext.setCheckpointDir(local_dir)
