@@ -30,4 +30,20 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL = {"op7_exact_dedup": _OP7, "op8_decontaminate": _OP8}
+_TAIL = "(?:/?(?:INST|SYS|ANS|ROLE)\\]|:\\]|/?s>)"
+_OP10 = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, regexp_replace(text, '([\\[<])(\\\\*{_TAIL})', '\\1\\\\\\2', 'g') AS safe,
+             regexp_replace(role, '([\\[<])(\\\\*{_TAIL})', '\\1\\\\\\2', 'g') AS safe_role FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(length(safe) + CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 11 WHEN 'assistant' THEN 9
+                    ELSE 16 + length(safe_role) END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+SQL = {"op10_chat_format": _OP10, "op7_exact_dedup": _OP7, "op8_decontaminate": _OP8}

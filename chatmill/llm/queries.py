@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, decontaminate, exact_dedup, simhash, toxicity
-from .common import fold_of, read
+from chatmill.session import scratch_path
+
+from . import bpe, chat_format, decontaminate, exact_dedup, simhash, token_files, toxicity
+from .common import fold_of, read, staged
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +44,22 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_files.read_tokens(spark, path)
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat_format.with_probe(spark, read(spark, sf_dir, "conversations"))
+    out = staged(chat_format.format_turns(turns), "formatted")
+    out = out.withColumn("turns", chat_format.parse(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("formatted"), F.col("loss_spans")))
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
+                      F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                      F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -49,4 +67,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op4_toxicity, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, pipeline)}
+    op2_simhash_near_dedup, op4_toxicity, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, op9_token_files, op10_chat_format, pipeline)}
