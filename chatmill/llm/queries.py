@@ -10,7 +10,7 @@ import public_tokenizers
 
 from chatmill.session import scratch_path
 
-from . import bpe, chat_format, decontaminate, exact_dedup, simhash, token_files, toxicity
+from . import bpe, chat_format, decontaminate, exact_dedup, langid, lm, simhash, token_files, toxicity
 from .common import fold_of, read, staged
 
 
@@ -18,6 +18,14 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    fold = fold_of(F.col("doc_id"), 3)
+    pick = F.coalesce(F.crc32(F.concat(F.lit("pick"), F.col("doc_id").cast("string")).cast("binary")), F.lit(0))
+    model = langid.fit(docs.filter(fold != 1).select("text", "lang", pick.alias("pick")))
+    return langid.identify(docs, model).select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.fit(toxicity.labelled(docs, read(spark, sf_dir, "labels")))
@@ -26,6 +34,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
@@ -67,4 +79,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op4_toxicity, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, op9_token_files, op10_chat_format, pipeline)}
+    op2_simhash_near_dedup, op3_language_id, op4_toxicity, op5_lm_score, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, op9_token_files, op10_chat_format, pipeline)}
