@@ -10,10 +10,14 @@ import public_tokenizers
 
 from chatmill.session import scratch_path
 
-from . import bpe, chat_format, decontaminate, exact_dedup, langid, lm, simhash, token_files, toxicity
+from . import bpe, chat_format, decontaminate, exact_dedup, langid, line_dedup, lm, simhash, token_files, toxicity
 from .common import fold_of, read, staged
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read(spark, sf_dir, "documents")).drop("_row")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -79,4 +83,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op3_language_id, op4_toxicity, op5_lm_score, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, op9_token_files, op10_chat_format, pipeline)}
+    op1_line_dedup, op2_simhash_near_dedup, op3_language_id, op4_toxicity, op5_lm_score, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, op9_token_files, op10_chat_format, pipeline)}
