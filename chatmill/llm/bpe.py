@@ -17,6 +17,7 @@ import codecs
 import os
 import re
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,12 @@ from pyspark.sql import types as T
 
 from .common import map_arrow
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 #: white space as the pretokenizer's pattern sees it
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+#: a piece that is one word to the pretokenizer
+LETTERS_ONLY = re.compile(f" ?[{LETTERS}]+")
 PIECES = re.compile(f" ?[{LETTERS}]+(?=[.,!?;:{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
@@ -83,21 +86,44 @@ class Codec:
             tokens = {i: t for t, i in ranks.items()}
         self.tokens = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
         self.lengths = np.array([len(t) for t in self.tokens])
+        self.model = self.tokenizer.model
+        self.spelling = dict(enumerate(byte_alphabet()))
+        # pieces met of late, and those before them: a full cache becomes the old one
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encode_new(self, pieces: set[str]) -> dict[str, bytes]:
+        out, rest = {}, []
+        for piece in pieces:
+            ids = self.old.get(piece)
+            if ids is not None:
+                out[piece] = ids
+            elif LETTERS_ONLY.fullmatch(piece):
+                # letters after at most one space are one word to the model: no need to cut them again
+                word = piece.encode().decode("latin-1").translate(self.spelling)
+                out[piece] = pack(f"<{len(ids := [t.id for t in self.model.tokenize(word)])}I", *ids)
+            else:
+                rest.append(piece)
+        for at in range(0, len(rest), 10_000):
+            some = rest[at:at + 10_000]
+            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                out[piece] = pack(f"<{len(e.ids)}I", *e.ids)
+        return out
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        cut = [PIECES.findall(t) for t in texts]
         if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        new = list({p for pieces in cut for p in pieces if p not in self.cache})
-        own = self.cache
-        if len(new) > CACHE_PIECES:  # a huge text of unseen pieces: keep them for this call only
-            own = dict(self.cache)
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                own[piece] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([own[p] for p in pieces]) for pieces in cut]
+            self.cache, self.old = {}, self.cache
+        rows, new = [], set()
+        for text in texts:
+            pieces = PIECES.findall(text)
+            ids = list(map(self.cache.get, pieces))
+            if None in ids:
+                new.update(p for p, i in zip(pieces, ids) if i is None)
+            rows.append((pieces, ids))
+        found = self._encode_new(new)
+        if len(found) <= CACHE_PIECES:  # else a huge text of unseen pieces: not kept
+            self.cache.update(found)
+        return [b"".join([found[p] if i is None else i for p, i in zip(pieces, ids)] if None in ids else ids) for pieces, ids in rows]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])

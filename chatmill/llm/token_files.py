@@ -37,7 +37,7 @@ MAX_ROUNDS = 6
 MIN_COUNT = 8
 PAIRS_A_ROUND = 1 << 14
 NULL_ID = -(1 << 63)
-_SLOTS = 22
+_SLOTS = 20
 _FIELDS = ("part", "shard", "doc_ids", "sizes", "base", "rules", "lengths", "sequence", "n_ids")
 _SHARD = "part int, shard int, doc_ids binary, sizes binary, base int, rules binary, lengths binary, sequence binary, n_ids long"
 
