@@ -33,6 +33,7 @@ THRESHOLD = 2
 MIN_CHARS = 20
 HOT = 64
 BLOCK = 2000
+BITMAP = 1 << 26
 _WORD = 64
 _MASK = (1 << _WORD) - 1
 
@@ -217,6 +218,18 @@ def clusters(ids: list[int], texts: list[str], side: list[int], k: int) -> list[
     return out
 
 
+def _bitmap(wanted: DataFrame) -> np.ndarray:
+    """A bit for each slot that a wanted line falls in: BITMAP / 8 bytes at any
+    size of the data.  It keeps most other lines out of the join that follows,
+    which decides; as it fills up, more of them reach that join."""
+    slot = F.col("line").bitwiseAND(F.lit(BITMAP - 1))
+    words = (wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).toArrow())
+    out = np.zeros(BITMAP // 64, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
 def links(docs: DataFrame, seed: int, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """Links (u, v) between different lines that join all lines within the threshold."""
     entries = _entries(docs, seed, threshold, min_chars)
@@ -225,10 +238,15 @@ def links(docs: DataFrame, seed: int, threshold: int = THRESHOLD, min_chars: int
     crowds = met.filter("hot_key IS NOT NULL").select("hot_key", F.col("a").alias("line")).distinct()
     wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("line")).unionByName(crowds.select("line")).distinct(), "lines-wanted")
 
+    seen = _bitmap(wanted)
+
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = list({s for t in texts_of(batch.column(2)) for _, s in lines_of(t) if len(s) >= min_chars})
-            yield pa.RecordBatch.from_arrays([pa.array([line_id(s, seed) for s in some], pa.int64()), pa.array(some, pa.string())], names=["line", "content"])
+            ids = np.array([line_id(s, seed) for s in some], np.int64)
+            slot = ids.view(np.uint64) & np.uint64(BITMAP - 1)
+            likely = (seen[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[likely]), pa.array([s for s, x in zip(some, likely) if x], pa.string())], names=["line", "content"])
 
     every = map_arrow(_bytes(docs), contents, "line long, content string")
     texts = staged(every.join(wanted, "line", "left_semi").groupBy("line").agg(F.min("content").alias("content")), "line-texts")
