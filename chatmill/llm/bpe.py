@@ -178,7 +178,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", with_offset
         own = codec(vocabulary)
         for batch in batches:
             for part in _some(batch):
-                texts = texts_of(part.column("_text"))
+                texts = texts_of(part.column(len(kept)))
                 ids = own.encode_many(texts)
                 found = [own.offsets(t.encode(), i) for t, i in zip(texts, ids)]
                 columns = [part.column(n) for n in kept] + [

@@ -31,6 +31,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def with_row_id(docs: DataFrame, name: str = "_row") -> DataFrame:
     """Number the rows.  ``docs`` must be a table as read (scan, projections,
     filters), for which every pass yields the same numbers; write anything

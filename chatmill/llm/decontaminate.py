@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_ascii, staged, with_row_id
+from .common import fold_ascii, free_name, staged, with_row_id
 
 WINDOW = 10
 SET_LIMIT = 200_000
@@ -128,8 +128,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns stay."""
-    gone = contamination(docs, benchmark, window).filter("contaminated").select(F.col("_row").alias("_leak_row"))
-    return with_row_id(docs, "_leak_row").join(gone, "_leak_row", "left_anti").drop("_leak_row")
+    row = free_name(docs, "_leak_row")
+    gone = contamination(docs, benchmark, window).filter("contaminated").select(F.col("_row").alias(row))
+    return with_row_id(docs, row).join(gone, row, "left_anti").drop(row)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, staged, text_bytes, with_row_id
+from .common import free_name, map_arrow, staged, text_bytes, with_row_id
 
 CHUNK = 1 << 16
 PRIMES = (2147483647, 2147483629)
@@ -165,5 +165,6 @@ def _folded(rows: DataFrame) -> DataFrame:
 
 def drop_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; all columns stay."""
-    gone = duplicates(docs, **options).filter("NOT kept").select(F.col("_row").alias("_exact_row"))
-    return with_row_id(docs, "_exact_row").join(gone, "_exact_row", "left_anti").drop("_exact_row")
+    row = free_name(docs, "_exact_row")
+    gone = duplicates(docs, **options).filter("NOT kept").select(F.col("_row").alias(row))
+    return with_row_id(docs, row).join(gone, row, "left_anti").drop(row)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from .bpe import texts_of
-from .common import map_arrow, staged, with_row_id
+from .common import free_name, map_arrow, staged, with_row_id
 from .components import components
 
 THRESHOLD = 2
@@ -313,7 +313,8 @@ def line_report(docs: DataFrame, **options) -> DataFrame:
 
 def drop_lines(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; every row and other column stays."""
-    gone = line_report(docs, **options).filter("n_dropped > 0").select(F.col("_row").alias("_line_row"), F.col("dropped").alias("_dropped"))
-    rows = with_row_id(docs, "_line_row").join(gone, "_line_row", "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_dropped", i))
-    return rows.withColumn("text", F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)
+    row, dropped = free_name(docs, "_line_row"), free_name(docs, "_dropped")
+    gone = line_report(docs, **options).filter("n_dropped > 0").select(F.col("_row").alias(row), F.col("dropped").alias(dropped))
+    rows = with_row_id(docs, row).join(gone, row, "left")
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(dropped, i))
+    return rows.withColumn("text", F.when(F.col(dropped).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import map_arrow, staged, text_bytes, with_row_id
+from .common import free_name, map_arrow, staged, text_bytes, with_row_id
 from .components import components
 
 BITS = 64
@@ -230,5 +230,6 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3,
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each component; all columns stay."""
-    gone = near_duplicates(docs, **options).filter("NOT kept").select(F.col("_row").alias("_simhash_row"))
-    return with_row_id(docs, "_simhash_row").join(gone, "_simhash_row", "left_anti").drop("_simhash_row")
+    row = free_name(docs, "_simhash_row")
+    gone = near_duplicates(docs, **options).filter("NOT kept").select(F.col("_row").alias(row))
+    return with_row_id(docs, row).join(gone, row, "left_anti").drop(row)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, map_arrow, ship, staged
+from .common import fold_of, free_name, map_arrow, ship, staged
 
 SAMPLE_ROWS = 20_000
 FEATURES = 4096
@@ -210,4 +210,5 @@ def with_score(docs: DataFrame, model: Model, name: str = "score", text: Column
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
-    return with_score(docs, model, "_toxic_score").filter(F.col("_toxic_score") < threshold).drop("_toxic_score")
+    score = free_name(docs, "_toxic_score")
+    return with_score(docs, model, score).filter(F.col(score) < threshold).drop(score)
