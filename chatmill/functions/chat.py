@@ -19,7 +19,6 @@ MESSAGES_TYPE = T.ArrayType(MESSAGE_TYPE)
 # --- fixed values: ChatML markers and the dedup key layout ----------------
 IM_START = "<|im_start|>"
 IM_END = "<|im_end|>"
-KEY_PREFIX_CHARS = 200      # code points of each turn that enter the key
 KEY_TURN_SEPARATOR = "|"    # between turns of the key
 KEY_ROLE_SEPARATOR = ":"    # between role and content prefix
 # ---------------------------------------------------------------------------
@@ -46,20 +45,21 @@ def distinct_roles(messages) -> Column:
     return F.array_distinct(F.transform(col_of(messages), lambda m: m["role"]))
 
 
-def content_key(messages) -> Column:
-    """``role:content[:200]`` of user and assistant turns joined by ``|``;
-    system turns do not count."""
+def content_key(messages, prefix_chars: int | None = None) -> Column:
+    """``role:content`` of user and assistant turns joined by ``|``; system
+    turns do not count.  With ``prefix_chars`` only that many code points of
+    each turn enter the key."""
     kept = F.filter(col_of(messages), lambda m: m["role"].isin("user", "assistant"))
     parts = F.transform(
         kept,
-        lambda m: F.concat(m["role"], F.lit(KEY_ROLE_SEPARATOR), prefix(m["content"], KEY_PREFIX_CHARS)),
+        lambda m: F.concat(m["role"], F.lit(KEY_ROLE_SEPARATOR), m["content"] if prefix_chars is None else prefix(m["content"], prefix_chars)),
     )
     return F.array_join(parts, KEY_TURN_SEPARATOR)
 
 
-def content_hash(messages) -> Column:
+def content_hash(messages, prefix_chars: int | None = None) -> Column:
     """SHA-256 (hex) of :func:`content_key`: a stable 256-bit dedup key."""
-    return F.sha2(content_key(messages), 256)
+    return F.sha2(content_key(messages, prefix_chars), 256)
 
 
 def render_turn(m: Column) -> Column:

@@ -212,7 +212,7 @@ WITH o AS (SELECT o_orderkey,
            FROM orders)
 SELECT o_orderkey, {fp3(DEF, 'q', 'a')} AS fingerprint FROM o WHERE {valid('q')} AND {valid('a')}"""
 
-KEY = "sha256('user:' || left(q, 200) || '|assistant:' || left(r, 200))"
+KEY = "sha256('user:' || q || '|assistant:' || r)"
 
 SQL["dedup_first"] = f"""
 WITH {TRIPLES},
@@ -505,7 +505,7 @@ v AS (SELECT *, coalesce(
 SELECT event_id, temperature, max_tokens, top_p, repetition_penalty, reason IS NULL AS valid, reason FROM v"""
 
 SQL["usage"] = f"""
-WITH {CONV_TOKENS},
+WITH {CONV_TOKENS.replace(str(L), str(1 << 40))},
 n AS (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id)
 SELECT g.conv_id, total_tokens - labeled_tokens AS prompt_tokens, labeled_tokens AS completion_tokens,
        total_tokens, CASE WHEN turns - 2 > 0 THEN CAST(labeled_tokens AS DOUBLE) / (turns - 2) ELSE 0.0::DOUBLE END

@@ -465,16 +465,6 @@ def q_file_verdicts(spark, sf):
                     "count_ok", "passed")
 
 
-def q_file_inventory(spark, sf):
-    """Files of the data folder: count and bytes before the ignore filter,
-    count after it (file contents are pruned from the scan)."""
-    f = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf)
-         .select("path", "length"))
-    ignored = F.col("path").rlike(r"(\.pyc$|/__pycache__/|\.log$|/\.DS_Store$)")
-    return f.agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("total_bytes"),
-                 F.count_if(~ignored).alias("kept_files"))
-
-
 # --- ingest, holdout, reports, re-aimed stages ---------------------------------
 
 def doc_registry(spark, sf) -> DataFrame:
@@ -570,7 +560,7 @@ def q_request_validation(spark, sf):
 
 def q_usage(spark, sf):
     from ..operators.serving import usage
-    cov = TK.turn_label_coverage(_t(spark, sf, "conversations"), "conv_id", "turn", "role", "text", max_length=MAX_LEN)
+    cov = TK.turn_label_coverage(_t(spark, sf, "conversations"), "conv_id", "turn", "role", "text", max_length=1 << 40)  # whole conversations
     base = cov.select("conv_id", F.col("masked_tokens").alias("prompt_tokens"),
                       F.col("labeled_tokens").alias("completion_tokens"),
                       (F.col("turns") - 2).alias("elapsed"))
@@ -621,7 +611,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pass_at_k": q_pass_at_k,
     "required_fields": q_required_fields,
     "file_verdicts": q_file_verdicts,
-    "file_inventory": q_file_inventory,
     "incremental_clean": q_incremental_clean,
     "holdout_sources": q_holdout_sources,
     "capped_ingest": q_capped_ingest,

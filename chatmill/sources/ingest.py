@@ -14,27 +14,21 @@ IGNORE_PATTERNS_RE = r"(\.pyc$|/__pycache__/|\.log$|/\.DS_Store$)"
 # ---------------------------------------------------------------------------
 
 
-# row_number() <= k with a literal k up to this size gets a per-partition
-# group limit before the shuffle (Spark's windowGroupLimitThreshold default)
-GROUP_LIMIT_MAX = 1000
-
-
 def capped_ingest(df: DataFrame, groups: list[str], order: str, cap) -> DataFrame:
     """First ``cap`` rows per group in stream order (not a random sample).
 
     ``cap`` is an int, or a column name holding a per-group cap (NULL = all
-    rows).  A small literal cap is a ``row_number() <= k`` filter, which Spark
-    turns into a per-partition group limit ahead of the shuffle, so a hot
-    group never reaches one task whole.  Larger or per-group caps use block-
-    wise running counts (no task holds more than one block of a group).
+    rows).  NULL is a group like any other; ``order`` may be any orderable
+    column.  Rows are ranked within each input partition first and those past
+    the cap dropped there, so a hot group is spread over as many tasks as it
+    came from, and only survivors meet for the final rank.
     """
-    if isinstance(cap, int) and cap <= GROUP_LIMIT_MAX:
-        w = Window.partitionBy(*groups).orderBy(order)
-        return df.withColumn("_cm_rn", F.row_number().over(w)).filter(F.col("_cm_rn") <= cap).drop("_cm_rn")
-    from ..operators.ranking import running_totals
     limit = F.lit(cap) if isinstance(cap, int) else F.col(cap)
-    ranked = running_totals(df, groups, order, {})
-    return ranked.filter(limit.isNull() | (F.col("running_rows") <= limit)).drop("running_rows")
+    within = limit.isNull() | (F.col("_cm_rn") <= limit)
+    out = df.withColumn("_cm_part", F.spark_partition_id())
+    for keys in (["_cm_part", *groups], groups):
+        out = out.withColumn("_cm_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter(within)
+    return out.drop("_cm_rn", "_cm_part")
 
 
 def head(df: DataFrame, order: str, max_samples: int | None) -> DataFrame:
