@@ -28,7 +28,7 @@ SAMPLE_ROWS = 20_000
 FEATURES = 4096
 BUCKETS = 1 << 22
 MIN_ROWS = 4
-CACHE_WORDS = 400_000
+CACHE_WORDS = 60_000
 WORDS = re.compile(r"[^\W\d_]+")
 #: terms that name groups; swapped for each other
 IDENTITY = tuple("women men woman man girls boys female male muslim muslims christian christians jewish jews hindu buddhist atheist "
