@@ -17,6 +17,7 @@ import codecs
 import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from struct import pack
 
 import numpy as np
@@ -27,7 +28,9 @@ from pyspark.sql import types as T
 
 from .common import map_arrow
 
+#: pieces in each of a codec's two cache generations; ``encode``'s workers are many, so theirs are smaller
 CACHE_PIECES = 300_000
+ENCODE_CACHE_PIECES = 120_000
 #: white space as the pretokenizer's pattern sees it
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
@@ -72,26 +75,32 @@ def file_tokenizer(path: str):
 
 
 class Codec:
-    """Encodes texts to ids (little-endian unsigned 32-bit) and back."""
+    """Encodes texts to ids (little-endian unsigned 32-bit) and back.  The
+    library's tokenizer is made when first needed: decoding does without."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.path, self.cache_pieces = path, cache_pieces
         if path.endswith(".json"):
-            self.tokenizer = file_tokenizer(path)
             of = {c: b for b, c in enumerate(byte_alphabet())}
             tokens = {i: bytes(of[c] for c in t) if all(c in of for c in t) else t.encode() for t, i in self.tokenizer.get_vocab().items()}
         else:
-            ranks = load_ranks(path)
-            self.tokenizer = rank_tokenizer(ranks)
-            tokens = {i: t for t, i in ranks.items()}
+            tokens = {i: t for t, i in load_ranks(path).items()}
         self.tokens = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
         self.lengths = np.array([len(t) for t in self.tokens])
-        self.model = self.tokenizer.model
         self.spelling = dict(enumerate(byte_alphabet()))
         # pieces met of late, and those before them: a full cache becomes the old one
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    @cached_property
+    def tokenizer(self):
+        return file_tokenizer(self.path) if self.path.endswith(".json") else rank_tokenizer(load_ranks(self.path))
+
+    @cached_property
+    def model(self):
+        return self.tokenizer.model
+
     def _encode_new(self, pieces: set[str]) -> dict[str, bytes]:
         out, rest = {}, []
         for piece in pieces:
@@ -111,7 +120,7 @@ class Codec:
         return out
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_PIECES:
+        if len(self.cache) > self.cache_pieces:
             self.cache, self.old = {}, self.cache
         rows, new = [], set()
         for text in texts:
@@ -121,31 +130,41 @@ class Codec:
                 new.update(p for p, i in zip(pieces, ids) if i is None)
             rows.append((pieces, ids))
         found = self._encode_new(new)
-        if len(found) <= CACHE_PIECES:  # else a huge text of unseen pieces: not kept
+        if len(found) <= self.cache_pieces:  # else a huge text of unseen pieces: not kept
             self.cache.update(found)
         return [b"".join([found[p] if i is None else i for p, i in zip(pieces, ids)] if None in ids else ids) for pieces, ids in rows]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
-    def offsets(self, data: bytes, ids: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First and one-past-last character of each token, and whether it
-        begins or ends inside a character."""
+    def _bounds(self, data: bytes, ids: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and one-past-last byte of each token, and whether each byte is a character's first."""
         ends = np.cumsum(self.lengths[np.frombuffer(ids, "<u4")])
-        starts = np.r_[0, ends[:-1]] if len(ends) else ends
-        lead = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80  # first byte of a character
-        number = np.cumsum(lead) - 1
+        return np.r_[0, ends[:-1]] if len(ends) else ends, ends, (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+
+    def n_split(self, data: bytes, ids: bytes) -> int:
+        """How many tokens begin or end inside a character."""
+        if data.isascii():
+            return 0
+        starts, ends, lead = self._bounds(data, ids)
         begins = np.r_[lead, True]
-        return number[starts], number[ends - 1] + 1, ~begins[starts] | ~begins[ends]
+        return int((~begins[starts] | ~begins[ends]).sum())
+
+    def offsets(self, data: bytes, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """First and one-past-last character of each token."""
+        starts, ends, lead = self._bounds(data, ids)
+        number = np.cumsum(lead) - 1
+        return number[starts].astype(np.int32), (number[ends - 1] + 1).astype(np.int32)
 
 
-_codecs: dict[str, Codec] = {}
+_codecs: dict[tuple[str, int], Codec] = {}
 
 
-def codec(path: str) -> Codec:
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+def codec(path: str, cache_pieces: int = CACHE_PIECES) -> Codec:
+    key = (path, cache_pieces)
+    if key not in _codecs:
+        _codecs[key] = Codec(path, cache_pieces)
+    return _codecs[key]
 
 
 def _some(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
@@ -175,16 +194,18 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", with_offset
     schema, kept = _extended(docs.schema, extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(vocabulary)
+        own = codec(vocabulary, ENCODE_CACHE_PIECES)
         for batch in batches:
             for part in _some(batch):
                 texts = texts_of(part.column(len(kept)))
                 ids = own.encode_many(texts)
-                found = [own.offsets(t.encode(), i) for t, i in zip(texts, ids)]
+                data = [t.encode() for t in texts]
                 columns = [part.column(n) for n in kept] + [
-                    pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([int(x[2].sum()) for x in found], pa.int64())]
+                    pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()),
+                    pa.array([own.n_split(d, i) for d, i in zip(data, ids)], pa.int64())]
                 if with_offsets:
-                    columns += [pa.array([x[k].astype(np.int32) for x in found], pa.list_(pa.int32())) for k in (0, 1)]
+                    found = [own.offsets(d, i) for d, i in zip(data, ids)]
+                    columns += [pa.array([x[k] for x in found], pa.list_(pa.int32())) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_arrow(docs.select(*(F.col(f"`{n}`") for n in kept), F.col(text_col).cast("binary").alias("_text")), run, schema)
@@ -198,7 +219,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     schema, kept = _extended(encoded.schema, [T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(vocabulary)
+        own = codec(vocabulary, ENCODE_CACHE_PIECES)
         for batch in batches:
             for part in _some(batch):
                 data = [None if i is None else own.decode(i) for i in part.column("ids").to_pylist()]
