@@ -23,7 +23,7 @@ from .operators.convert import convert_parsed
 from .operators.dedup import keep_first
 from .operators.outcomes import outcome_counts_single_pass, outcome_summary
 from .operators.verify import verdicts, verify_files
-from .session import materialize
+from .session import materialize, write_once
 from .sinks import writers as W
 from .sources import ingest as I
 from .sources.jsonl import MESSAGES_ROW, empty_like, messages_from_json, read_lines
@@ -86,17 +86,28 @@ def clean_job(spark: SparkSession, raw_root: str, out_dir: str, sources: list[st
 
 def read_cleaned(spark: SparkSession, cleaned_dir: str) -> DataFrame:
     """Cleaned rows (bad lines dropped) with their source from the folder
-    layout; a missing folder is an empty dataset."""
+    layout; a missing folder is an empty dataset.
+
+    ``row_key`` depends on the source and the content only (repeated rows are
+    numbered), so a seed draws the same rows however the files are named,
+    split and ordered."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(cleaned_dir)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return (empty_like(spark, MESSAGES_ROW).withColumn("source", F.lit(None).cast("string"))
                 .withColumn("row_key", F.lit(None).cast("string")))
-    schema = T.StructType(MESSAGES_ROW.fields + [T.StructField("source", T.StringType())])
-    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(cleaned_dir)
-    # a key per line, assigned at the scan (same files -> same keys on retry)
-    key = F.concat_ws(":", F.col("_metadata.file_path"), F.monotonically_increasing_id().cast("string"))
-    return rows.withColumn("row_key", F.sha2(key, 256))
+    schema = T.StructType(MESSAGES_ROW.fields + [T.StructField("source", T.StringType()),
+                                                 T.StructField("_bad_line", T.StringType())])
+    lines = (spark.read.schema(schema).option("columnNameOfCorruptRecord", "_bad_line").json(cleaned_dir)
+             .filter(F.col("_bad_line").isNull()))
+    # equal rows are counted map-side and numbered in blocks, so that one row
+    # repeated very often is neither one group's task nor one huge array
+    counted = lines.groupBy("source", F.to_json("messages").alias("_text")).agg(F.count(F.lit(1)).alias("_n"))
+    size = F.lit(10_000).cast("long")
+    blocks = counted.withColumn("_first", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"), size)))
+    rows = blocks.withColumn("_no", F.explode(F.sequence("_first", F.least(F.col("_n"), F.col("_first") + size - 1))))
+    key = F.concat_ws(":", F.sha2(F.coalesce("_text", F.lit("")), 256), F.col("_no").cast("string"))
+    return rows.select(messages_from_json("_text").alias("messages"), "source", F.sha2(key, 256).alias("row_key"))
 
 
 def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: str = "local",
@@ -106,6 +117,8 @@ def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: st
     Returns the train-split source distribution."""
     cfg = sampling_config_df(spark, profile)
     rows = read_cleaned(spark, cleaned_dir).join(F.broadcast(cfg.select("source")), "source", "left_semi")
+    # each line is parsed once; the light passes below read only the keys
+    rows = write_once(rows, "cleaned-rows")
     # the profile is a literal table: its row count is a proven bound
     sampled, mixed = M.mix_sources(rows, cfg, "row_key", seed, return_sampled=True,
                                    n_sources=len([r for r in SAMPLING_PROFILES if r[0] == profile]))

@@ -26,13 +26,13 @@ def cap_per_source(df: DataFrame, config: DataFrame, id_col: str, seed: int = RA
                    source: str = "source", n_sources: int | None = None,
                    hex_digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
     """Exact random cap without replacement per source.  ``max_samples``
-    NULL or 0 means no cap; a cap >= the source size keeps everything.
+    NULL or 0 means no cap; a cap >= the source size keeps everything.  A
+    source without a config row (NULL included) is not part of the mix.
     ``n_sources``, when the caller knows it (a literal config), proves the
     histogram bound and lets it be broadcast up front; otherwise AQE decides
     from the histogram's measured size at run time."""
     cfg = F.broadcast(config.select(F.col("source").alias(source), "max_samples"))
-    staged = (df.join(cfg, source, "left")
-                .withColumn("_cm_key", seeded_key(seed, id_col)))
+    staged = df.join(cfg, source).withColumn("_cm_key", seeded_key(seed, id_col))
     limit = F.when(F.col("max_samples") > 0, F.col("max_samples"))
     ranked = within_rank(staged, [source], "_cm_key", [id_col], limit, out="_cm_in",
                          max_groups=n_sources, hex_digits=hex_digits)
@@ -46,7 +46,7 @@ def oversample(df: DataFrame, config: DataFrame, id_col: str, seed: int = RANDOM
     ``floor(n * frac)`` distinct rows (seed + 1) as copy k.  Weight <= 1 is a
     no-op (copy 0)."""
     cfg = F.broadcast(config.select(F.col("source").alias(source), "weight"))
-    staged = df.join(cfg, source, "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+    staged = df.join(cfg, source).withColumn("weight", F.coalesce("weight", F.lit(1.0)))
     whole = F.when(F.col("weight") > 1, F.floor("weight")).otherwise(F.lit(1)).cast("int")
     copies = staged.withColumn("copy", F.explode(F.sequence(F.lit(0), whole - 1)))
     frac = lambda: F.col("weight") - F.floor("weight")

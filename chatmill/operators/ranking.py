@@ -15,9 +15,13 @@ window.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_once
+
 # histogram buckets per group = 16 ** BUCKET_HEX_DIGITS
 BUCKET_HEX_DIGITS = 4
 # broadcast the histogram only below this many rows (groups x buckets)
@@ -28,6 +32,14 @@ def _maybe_broadcast(df: DataFrame, bound_rows: int | None) -> DataFrame:
     return F.broadcast(df) if bound_rows is not None and bound_rows <= BROADCAST_ROW_LIMIT else df
 
 
+def _left_join(left: DataFrame, right: DataFrame, keys: list[str], bound_rows: int | None) -> DataFrame:
+    """Left join in which NULL keys meet; the keys stay once."""
+    other = {k: f"_cm_k{i}" for i, k in enumerate(keys)}
+    right = _maybe_broadcast(right.withColumnsRenamed(other), bound_rows)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()])
+    return left.join(right, same, "left").drop(*other.values())
+
+
 def within_rank(df: DataFrame, groups: list[str], key: str, tiebreak: list[str], limit: Column | None = None,
                 out: str = "in_rank", max_groups: int | None = None,
                 hex_digits: int = BUCKET_HEX_DIGITS, limit_from_total=None) -> DataFrame:
@@ -63,7 +75,7 @@ def within_rank(df: DataFrame, groups: list[str], key: str, tiebreak: list[str],
     bound = None if max_groups is None else max_groups * 16 ** hex_digits
     if limit_from_total is None:
         staged = staged.drop(lim)
-    joined = staged.join(_maybe_broadcast(hist, bound), [*groups, b], "left")
+    joined = _left_join(staged, hist, [*groups, b], bound)
     # rows of whole buckets are decided by the histogram alone
     decided = (joined.filter(F.col("_cm_status") != 1)
                      .withColumn(out, F.col("_cm_status") == 2))
@@ -110,7 +122,7 @@ def running_totals(df: DataFrame, groups: list[str], order: str, values: dict[st
         *groups, blk,
         F.coalesce(F.sum("_cm_bn").over(wprev), F.lit(0)).alias("_cm_off_n"),
         *[F.coalesce(F.sum(f"_cm_bs_{n}").over(wprev), F.lit(0)).alias(f"_cm_off_{n}") for n in values])
-    joined = staged.join(_maybe_broadcast(offsets, max_blocks), [*groups, blk], "left")
+    joined = _left_join(staged, offsets, [*groups, blk], max_blocks)
     wlocal = (Window.partitionBy(*groups, blk).orderBy(order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = joined.withColumn("running_rows", F.col("_cm_off_n") + F.count(F.lit(1)).over(wlocal))
@@ -129,11 +141,15 @@ def dense_index(df: DataFrame, order: list[str], out: str = "row_index",
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("_cm_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_cm_pid", F.shiftright(F.col("_cm_mid"), 33))
-                    .withColumn("_cm_local", F.col("_cm_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+                    .withColumn("_cm_local", F.col("_cm_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+                    .drop("_cm_mid"))
+    # counts and rows must come from one evaluation: range bounds are sampled,
+    # and a second evaluation would cut elsewhere
+    ranged = write_once(ranged, "dense-index")
     counts = ranged.groupBy("_cm_pid").agg(F.count(F.lit(1)).alias("_cm_pn"))
     wprev = Window.orderBy("_cm_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_cm_pid", F.coalesce(F.sum("_cm_pn").over(wprev), F.lit(0)).alias("_cm_poff"))
     # one row per partition: a proven small broadcast
     return (ranged.join(F.broadcast(offsets), "_cm_pid")
                   .withColumn(out, F.col("_cm_poff") + F.col("_cm_local"))
-                  .drop("_cm_mid", "_cm_pid", "_cm_local", "_cm_poff"))
+                  .drop("_cm_pid", "_cm_local", "_cm_poff"))

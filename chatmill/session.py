@@ -75,3 +75,12 @@ def materialize(df):
     whose input would otherwise be recomputed by several passes."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_once(df, name: str):
+    """Like :func:`materialize`, but as a Parquet table: later passes read
+    only the columns they need."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -107,9 +107,9 @@ def checksum_display(c) -> Column:
 
 
 def report_timestamp(ts: Column) -> Column:
-    """ISO-8601 UTC with a trailing Z (pass the run time in as a literal for
-    deterministic output)."""
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    """ISO-8601 UTC with a trailing Z, whatever the session's zone (pass the
+    run time in as a literal for deterministic output)."""
+    return F.concat(F.date_format(F.to_utc_timestamp(ts, F.current_timezone()),"yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
 
 
 def write_jsonl(df: DataFrame, path: str) -> int:

@@ -60,6 +60,52 @@ def test_stage_jobs_end_to_end(spark, tmp_path):
     assert spark.read.text(str(out / "report" / "report_lines")).count() == 1
 
 
+def _prepared(spark, path):
+    rows = spark.read.parquet(str(path / "dataset")).select("split", "source", "messages").collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def test_prepare_draws_the_same_rows_however_the_files_are_laid_out(spark, tmp_path):
+    raw = tmp_path / "raw"
+    _raw(raw, "math", "gsm8k", [{"question": f"What is {i} plus {i}?", "answer": f"It is {2 * i}.\n#### {2 * i}"} for i in range(3000)])
+    _raw(raw, "instruction", "openorca", [{"system_prompt": "", "question": f"why is {i} so", "response": "because it is"}
+                                          for i in range(40)])
+    for run in ("a", "b"):
+        jobs.clean_job(spark, str(raw), str(tmp_path / run))
+        jobs.prepare_job(spark, str(tmp_path / run / "cleaned"), str(tmp_path / run / "prep"))
+    first = _prepared(spark, tmp_path / "a" / "prep")
+    assert first and first == _prepared(spark, tmp_path / "b" / "prep")
+    # other files, other order, a bad line in one of them
+    moved = tmp_path / "moved"
+    (spark.read.json(str(tmp_path / "a" / "cleaned")).orderBy(F.xxhash64(F.to_json("messages"))).repartition(5)
+     .write.partitionBy("source").json(str(moved)))
+    (moved / "source=gsm8k" / "part-bad.json").write_text('{"messages": [\n{"messages": 5}\n')
+    jobs.prepare_job(spark, str(moved), str(tmp_path / "c"))
+    assert _prepared(spark, tmp_path / "c") == first
+
+
+def test_repeated_cleaned_rows_keep_keys_of_their_own(spark, tmp_path):
+    folder = tmp_path / "cleaned" / "source=s"
+    folder.mkdir(parents=True)
+    line = json.dumps({"messages": [{"role": "user", "content": "hello there"}, {"role": "assistant", "content": "well met"}]})
+    (folder / "a.json").write_text((line + "\n") * 10_001 + '{"other": 1}\n')
+    rows = jobs.read_cleaned(spark, str(tmp_path / "cleaned"))
+    assert rows.count() == rows.select("row_key").distinct().count() == 10_002
+    assert rows.filter("messages IS NULL").count() == 1
+    assert rows.filter("messages[1].content = 'well met' AND source = 's'").count() == 10_001
+
+
+def test_report_time_is_utc_in_any_session_zone(spark):
+    from chatmill.sinks.writers import report_timestamp
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        shown = spark.range(1).select(report_timestamp(F.timestamp_micros(F.lit(1_767_225_600_000_001).cast("long"))).alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert shown == "2026-01-01T00:00:00.000001Z"
+
+
 def test_verify_job_and_cli(spark, tmp_path, capsys):
     from chatmill.__main__ import main
     f = tmp_path / "raw" / "math" / "gsm8k"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chatmill.operators.mix import cap_per_source, exact_split, oversample, seeded_key, split_leakage
 from chatmill.operators.ranking import dense_index, running_totals, within_rank
+from chatmill.operators.tokens import pad_batches
 
 CFG = "source string, weight double, max_samples bigint, category string"
 
@@ -95,6 +96,38 @@ def test_dense_index(spark):
     assert [i for _, i in out] == list(range(700))
 
 
+def test_batches_of_many_rows_with_payload(spark, tmp_path):
+    # written and read back: an aggregate over the index alone prunes the payload
+    n = 300_000
+    ids = F.array_repeat(F.lit(7), (F.col("id") % 20 + 1).cast("int"))
+    df = spark.range(n).select("id", F.xxhash64("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+                               ids.alias("input_ids"), ids.alias("attention_mask"), ids.alias("labels")).repartition(13)
+    dense_index(df.select("k", "payload"), ["k"]).write.parquet(str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
+    want = F.row_number().over(Window.orderBy("k")) - 1
+    assert index.count() == n and index.withColumn("want", want).filter("want <> row_index").count() == 0
+
+    pad_batches(df, ["k"], 8, 0).write.parquet(str(tmp_path / "padded"))
+    padded = spark.read.parquet(str(tmp_path / "padded"))
+    per = padded.groupBy("batch").agg(
+        F.count("*").alias("rows"), F.max(F.col("id") % 20 + 1).alias("longest"),
+        F.min("padded_length").alias("least"), F.max("padded_length").alias("most"), F.max(F.size("input_ids")).alias("size"))
+    assert padded.select("id").distinct().count() == padded.count() == n
+    assert per.count() == n // 8 and per.filter("rows <> 8").isEmpty()
+    assert per.filter("least <> most OR most <> size OR most < longest OR most - longest >= 8 OR most % 8 <> 0").isEmpty()
+
+
+def test_null_groups_are_ranked_and_unconfigured_sources_left_out(spark):
+    df = spark.range(10).select("id", F.when(F.col("id") % 2 == 0, "s").alias("source"))
+    ranked = within_rank(df.withColumn("k", seeded_key(1, "id")), ["source"], "k", ["id"], F.lit(3)).filter("in_rank")
+    assert {r.source: r["count"] for r in ranked.groupBy("source").count().collect()} == {"s": 3, None: 3}
+    totals = running_totals(df, ["source"], "id", {"v": F.lit(1)}, block_width=3)
+    assert {r.id: (r.running_rows, r.running_v) for r in totals.collect()} == {i: (i // 2 + 1, i // 2 + 1) for i in range(10)}
+    cfg = spark.createDataFrame([("s", 2.0, None, "x"), ("t", 1.0, None, "x")], CFG)
+    assert _ids(cap_per_source(df, cfg, "id")) == [0, 2, 4, 6, 8]
+    assert oversample(df, cfg, "id").count() == 10
+
+
 def test_split_by_id_keeps_copies_together(spark):
     df = spark.range(400).select(F.col("id"), F.explode(F.sequence(F.lit(0), (F.col("id") % 3).cast("int"))).alias("copy"))
     out = exact_split(df, seeded_key(42, "id"), ["id", "copy"], by=["id"])
