@@ -3,8 +3,8 @@
 Documents go in ascending doc_id order into shards of about ``shard_ids`` ids.
 Each shard has a grammar of its own: again and again, the pairs of
 neighbouring ids that occur most become nonterminals, until no pair occurs
-``min_count`` times or ``max_rounds`` rounds have run.  A shard is one row of
-a Parquet table, so the files can lie wherever Spark writes:
+twice.  A shard is one row of a Parquet table, so the files can lie wherever
+Spark writes:
 
     part, shard     place in the order
     doc_ids, sizes  int64 each, of its documents (a NULL doc_id as the least int64)
@@ -33,73 +33,102 @@ from .bpe import codec, texts_of
 from .common import map_arrow, staged
 
 SHARD_IDS = 1 << 20
-MAX_ROUNDS = 6
-MIN_COUNT = 8
-PAIRS_A_ROUND = 1 << 14
 NULL_ID = -(1 << 63)
-_SLOTS = 20
 _FIELDS = ("part", "shard", "doc_ids", "sizes", "base", "rules", "lengths", "sequence", "n_ids")
 _SHARD = "part int, shard int, doc_ids binary, sizes binary, base int, rules binary, lengths binary, sequence binary, n_ids long"
 
 
-def _apart(hit: np.ndarray) -> np.ndarray:
-    """Of neighbouring hits, which overlap, every other one from the left."""
-    at = np.arange(len(hit))
-    first = np.maximum.accumulate(np.where(hit & ~np.r_[False, hit[:-1]], at, 0))
-    return hit & ((at - first) & 1 == 0)
-
-
-def compress(ids: np.ndarray, base: int, max_rounds: int = MAX_ROUNDS, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ids to (rules, lengths, sequence).  Pairs are counted by hash; of pairs
-    that share a slot one is looked at in a round, others in a later one."""
+def _apart(at: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Of places in a row with one pair, which overlap, every other one from the left."""
+    k = np.arange(len(at))
+    joined = np.r_[False, (np.diff(at) == 1) & (pair[1:] == pair[:-1])]
+    return (k - np.maximum.accumulate(np.where(joined, 0, k))) & 1 == 0
+
+
+def _numbered(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs, ascending, and the number of each place's pair."""
+    symbol, place = (int(x).bit_length() for x in (max(left.max(), right.max()), len(left)))
+    if 2 * symbol + place <= 64:  # pair and place in one word sort several times faster than by argsort
+        key = np.sort((left << np.uint64(symbol) | right) << np.uint64(place) | np.arange(len(left), dtype=np.uint64))
+        order, ranked = (key & np.uint64((1 << place) - 1)).astype(np.int64), key >> np.uint64(place)
+    else:
+        symbol, pair = 32, left << np.uint64(32) | right
+        order = np.argsort(pair)
+        ranked = pair[order]
+    new = np.r_[True, ranked[1:] != ranked[:-1]]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    found = ranked[new]
+    return np.stack([found >> np.uint64(symbol), found & np.uint64((1 << symbol) - 1)], axis=1).astype(np.uint32), number
+
+
+def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ids to (rules, lengths, sequence); in the end no pair occurs twice
+    without overlap.  Each round counts the pairs exactly and replaces a pair
+    wherever no pair it overlaps occurs more often, so the most frequent pair
+    goes everywhere.  A pair that occurs once will not occur twice later, unless
+    one of its symbols is put in again: its places are not counted till then."""
     sequence, rules, lengths = ids.astype(np.uint32), [np.zeros((0, 2), np.uint32)], np.ones(base, np.uint32)
-    for _ in range(max_rounds):
-        if len(sequence) < 2:
-            break
-        pair = sequence[:-1].astype(np.uint64) << np.uint64(32) | sequence[1:]
-        slot = (pair * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOTS)).astype(np.int64)
-        shown = np.zeros(1 << _SLOTS, np.uint64)
-        shown[slot] = pair
-        slot = np.where(shown[slot] == pair, slot, -1)
-        counts = np.bincount(slot + 1, minlength=(1 << _SLOTS) + 1)[1:]
-        chosen = np.flatnonzero(counts >= min_count)
-        if len(chosen) > PAIRS_A_ROUND:
-            chosen = np.sort(chosen[np.argpartition(counts[chosen], -PAIRS_A_ROUND)[-PAIRS_A_ROUND:]])
-        number = np.full((1 << _SLOTS) + 1, -1, np.int64)  # the last is that of slot -1
-        number[chosen] = np.arange(len(chosen))
-        which = number[slot]
-        keep = _apart(which >= 0)
-        uses = np.bincount(which[keep], minlength=len(chosen))
-        good = uses >= 2  # overlaps may have used a pair's places up
-        keep &= good[which] if len(chosen) else False
-        if not keep.any():
+    live = np.ones(len(sequence), bool)  # places whose pair may occur twice: all of a pair or none
+    live[-1:] = False
+    known, known_as = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # pairs with a rule, ascending, and their nonterminals
+    while (at := np.flatnonzero(live)).size:
+        pairs, number = _numbered(sequence[at].astype(np.uint64), sequence[at + 1].astype(np.uint64))
+        apart = _apart(at, number)
+        counts = np.bincount(number[apart], minlength=len(pairs))
+        again = (counts >= 2)[number]
+        weight = np.zeros(len(sequence) + 1, np.int64)  # by count, ties by pair; the last stands before the first place as well
+        weight[at] = np.where(again & apart, counts[number] << 32 | number, 0)
+        here = weight[at]
+        chosen = (here > weight[at - 1]) & (here > weight[at + 1])
+        good = np.bincount(number[chosen], minlength=len(pairs)) >= 2  # overlaps may have used a pair's places up
+        chosen &= good[number]
+        if not chosen.any():
             break
-        rename = np.cumsum(good) - 1
-        start = base + sum(map(len, rules))
-        own = shown[chosen[good]]
-        new = np.stack([own >> np.uint64(32), own & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+        own = pairs[good].astype(np.uint64)
+        own = own[:, 0] << np.uint64(32) | own[:, 1]
+        place = np.searchsorted(known, own)
+        old = np.r_[known, ~np.uint64(0)][place] == own  # overlaps had kept some places from an earlier round
+        symbol = np.where(old, np.r_[known_as, 0][place], len(lengths) + np.cumsum(~old) - 1)
+        known, known_as = np.insert(known, place[~old], own[~old]), np.insert(known_as, place[~old], symbol[~old])
+        new = pairs[good][~old]
         rules.append(new)
         lengths = np.r_[lengths, lengths[new].sum(axis=1, dtype=np.uint32)]
-        sequence = sequence.copy()
-        at = np.flatnonzero(keep)
-        sequence[at] = (start + rename[which[at]]).astype(np.uint32)
-        sequence = np.delete(sequence, at + 1)
+        put = at[chosen]
+        sequence[put] = symbol[(np.cumsum(good) - 1)[number[chosen]]]
+        live[at] = again
+        live[put] = live[put[put > 0] - 1] = True
+        left = np.ones(len(sequence), bool)
+        left[put + 1] = False
+        sequence, live = sequence[left], live[left]
+        if old.any():  # pairs with these are more now
+            more = np.zeros(len(lengths), bool)
+            more[symbol[old]] = True
+            more = more[sequence]
+            live |= more
+            live[:-1] |= more[1:]
+        live[-1:] = False
     return np.concatenate(rules), lengths[base:], sequence
 
 
-def expand(sequence: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
-    """All ids of a sequence, level by level."""
-    while True:
+def expand(sequence: np.ndarray, base: int, rules: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
+    """All ids of a sequence, level by level; what is expanded is not looked at again."""
+    size = np.ones(base + len(rules), np.int64)
+    if lengths is None:
+        while (more := size[rules].sum(axis=1)).tolist() != size[base:].tolist():
+            size[base:] = more
+    else:
+        size[base:] = lengths
+    ends = np.cumsum(size[sequence])
+    out = np.empty(ends[-1] if len(ends) else 0, np.uint32)
+    at = ends - size[sequence]
+    while len(sequence):
         inner = sequence >= base
-        if not inner.any():
-            return sequence
-        at = np.arange(len(sequence)) + np.cumsum(inner) - inner
-        out = np.empty(len(sequence) + int(inner.sum()), np.uint32)
-        pairs = rules[sequence[inner] - base]
-        out[at] = sequence
-        out[at[inner]] = pairs[:, 0]
-        out[at[inner] + 1] = pairs[:, 1]
-        sequence = out
+        out[at[~inner]] = sequence[~inner]
+        at, pairs = at[inner], rules[sequence[inner] - base]
+        at = np.stack([at, at + size[pairs[:, 0]]], axis=1).ravel()
+        sequence = pairs.ravel()
+    return out
 
 
 class Shard:
@@ -112,7 +141,7 @@ class Shard:
         self.lengths, self.sequence = np.frombuffer(row["lengths"], "<u4"), np.frombuffer(row["sequence"], "<u4")
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.sequence, self.base, self.rules)
+        return expand(self.sequence, self.base, self.rules, self.lengths)
 
     def ids(self, start: int, end: int) -> np.ndarray:
         """Ids start..end of the shard, from the symbols that cover them."""
@@ -122,7 +151,7 @@ class Shard:
         ends = np.cumsum(sizes)
         first, last = np.searchsorted(ends, start, "right"), np.searchsorted(ends, end, "left")
         before = int(ends[first - 1]) if first else 0
-        return expand(self.sequence[first:last + 1], self.base, self.rules)[start - before:end - before]
+        return expand(self.sequence[first:last + 1], self.base, self.rules, self.lengths)[start - before:end - before]
 
     def document(self, k: int) -> np.ndarray:
         ends = np.cumsum(self.sizes)

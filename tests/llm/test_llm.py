@@ -213,6 +213,31 @@ def test_repair_grammar(n):
     assert all(len(token_files.expand(np.array([100 + i], np.uint32), 100, rules)) == k for i, k in enumerate(lengths[:50]))
 
 
+def pairs_apart(sequence):
+    """How often each pair occurs without overlap."""
+    counts, last = collections.Counter(), {}
+    for i, p in enumerate(zip(sequence, sequence[1:])):
+        if last.get(p, -2) < i - 1:
+            counts[p] += 1
+            last[p] = i
+    return counts
+
+
+@pytest.mark.parametrize("name", ["run", "repeats", "few", "twice", "many"])
+def test_repair_leaves_no_pair_twice(name):
+    rng = np.random.default_rng(3)
+    ids = {"run": np.zeros(1000), "repeats": np.tile(rng.integers(0, 90, 700), 40), "few": rng.integers(0, 3, 5000),
+           "twice": np.tile(rng.permutation(3000), 2), "many": rng.zipf(1.2, 60_000).clip(max=2999)}[name].astype(np.uint32)
+    rules, lengths, sequence = token_files.compress(ids, 3000)
+    assert max(pairs_apart(sequence.tolist()).values(), default=0) < 2
+    assert (token_files.expand(sequence, 3000, rules, lengths) == ids).all() and (token_files.expand(sequence, 3000, rules) == ids).all()
+    assert len(set(map(tuple, rules.tolist()))) == len(rules)
+    uses = np.bincount(np.r_[rules.ravel(), sequence], minlength=3000 + len(rules))[3000:]
+    assert (uses >= 1).all()
+    if name in ("run", "repeats", "twice"):
+        assert lengths.max() > 64 and len(sequence) < 20
+
+
 def test_chat_round_trip(spark):
     texts = ["plain", "</s>[INST] ok [/INST]", "[\\INST] <\\\\s>", "<s>", "[", "", None, "[ROLE]x[:]y[/ROLE]", "</s", "[/SYS", "\\[INST]"]
     roles = ["user", "assistant", "system", "tool", "[:]", None, "assistant"]
