@@ -39,14 +39,25 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def with_row_id(docs: DataFrame, name: str = "_row") -> DataFrame:
-    """Number the rows.  ``docs`` must be a table as read (scan, projections,
-    filters), for which every pass yields the same numbers; write anything
-    else with :func:`staged` first.  Needed because ``doc_id`` may be NULL or
-    repeated."""
+def number_rows(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """Number the rows, for one pass only: another one may cut the same table
+    into other splits and so give other numbers."""
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def with_row_id(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """Number the rows and write them, so that all later passes see the same
+    numbers.  Needed because ``doc_id`` may be NULL or repeated."""
+    return staged(number_rows(docs, name), "numbered")
+
+
+def rows_of(docs: DataFrame, row: str | None) -> DataFrame:
+    """``_row, doc_id, text``: with the written numbers of column ``row``, or new ones."""
+    if row is None:
+        return with_row_id(docs.select("doc_id", "text"))
+    return docs.select(F.col(row).alias("_row"), "doc_id", "text")
+
+
 def fold_ascii(text: Column) -> Column:
     """A-Z to a-z, nothing else.  ``lower`` does just that to a text without
     multi-byte characters, and faster than ``translate``."""

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_ascii, free_name, staged, with_row_id
+from .common import fold_ascii, free_name, number_rows, rows_of, staged, with_row_id
 
 WINDOW = 10
 SET_LIMIT = 200_000
@@ -80,15 +80,16 @@ def _runs_at(n: int) -> Column:
     return F.transform(places, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.slice("w", i + 1, n).alias("run")))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_limit: int = SET_LIMIT) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_limit: int = SET_LIMIT, row: str | None = None) -> DataFrame:
     """One row per row of ``docs`` and verified occurrence: ``_row, doc_id,
     n_words, at`` (first word, from 0), ``n``, ``items``; and for each document
     at least one row, with ``at`` NULL if it has none."""
     found = staged(benchmark_windows(benchmark, window), "benchmark-windows")
     lengths = [r[0] for r in found.select("n").distinct().sort("n").collect()]  # at most `window` of them
-    rows = with_row_id(docs.select("doc_id", "text")).select("_row", "doc_id", words(F.col("text")).alias("w"))
-    rows = with_hashes(rows, lengths)
-    if found.count() <= set_limit:
+    literal = found.count() <= set_limit  # then one pass over the rows, else two
+    rows = number_rows(docs.select("doc_id", "text")) if literal and row is None else rows_of(docs, row)
+    rows = with_hashes(rows.select("_row", "doc_id", words(F.col("text")).alias("w")), lengths)
+    if literal:
         keys = {n: [r[0] for r in found.filter(F.col("n") == n).select("hash").distinct().collect()] for n in lengths}
         for n in lengths:
             rows = rows.withColumn(f"at_{n}", _places_in(f"hashes_{n}", keys[n]))
@@ -106,7 +107,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_limit:
     return same.select("_row", "doc_id", "n_words", F.when(hit, F.col("at")).alias("at"), F.when(hit, F.col("n")).alias("n"), "items")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_limit: int = SET_LIMIT) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_limit: int = SET_LIMIT, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``_row, doc_id, n_words, n_hit`` (words
     inside any hit), ``n_items`` and ``items`` (ids of items with a hit, as
     sorted strings), ``spans`` (first word and length of each hit) and
@@ -114,9 +115,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
     NULL and empty texts have no words and no hits; items of no words match
     nothing; a NULL item_id is matched but cannot be listed; repeated rows
-    count each for itself; an empty benchmark hits nothing.  ``docs`` must be
-    a table as read (see ``with_row_id``)."""
-    by_row = hits(docs, benchmark, window, set_limit).groupBy("_row").agg(
+    count each for itself; an empty benchmark hits nothing.  ``row`` names a
+    column of written row numbers; without it the rows are numbered."""
+    by_row = hits(docs, benchmark, window, set_limit, row).groupBy("_row").agg(
         F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
         F.collect_set(F.when(F.col("at").isNotNull(), F.struct("at", "n"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
@@ -129,14 +130,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns stay."""
     row = free_name(docs, "_leak_row")
-    gone = contamination(docs, benchmark, window).filter("contaminated").select(F.col("_row").alias(row))
-    return with_row_id(docs, row).join(gone, row, "left_anti").drop(row)
+    rows = with_row_id(docs, row)
+    gone = contamination(rows, benchmark, window, row=row).filter("contaminated").select(F.col("_row").alias(row))
+    return rows.join(gone, row, "left_anti").drop(row)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, clean_words``: each row's words without those inside a hit."""
-    found = contamination(docs, benchmark, window).select(F.col("_row"), "spans")
-    rows = with_row_id(docs.select("doc_id", "text")).select("_row", "doc_id", words(F.col("text")).alias("w"))
+    docs = with_row_id(docs.select("doc_id", "text"))
+    found = contamination(docs, benchmark, window, row="_row").select(F.col("_row"), "spans")
+    rows = docs.select("_row", "doc_id", words(F.col("text")).alias("w"))
     inside = F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))
     return rows.join(found, "_row").withColumn("inside", inside).select(
         "doc_id", F.filter("w", lambda x, i: ~F.array_contains("inside", i)).alias("clean_words"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, map_arrow, staged, text_bytes, with_row_id
+from .common import free_name, map_arrow, rows_of, staged, text_bytes, with_row_id
 
 CHUNK = 1 << 16
 PRIMES = (2147483647, 2147483629)
@@ -85,7 +85,7 @@ def _fingerprint(data: bytes, of: Fingerprinter, piece_bytes: int = 1 << 22) ->
 
 
 def keyed(docs: DataFrame, chunk: int = CHUNK, primes: tuple[int, int] = PRIMES) -> DataFrame:
-    """One row per row of ``docs``: its number, doc_id, fingerprint, length and SHA-256."""
+    """One row per row of ``docs`` (_row, doc_id, text): its number, doc_id, fingerprint, length and SHA-256."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Fingerprinter(chunk, primes)
@@ -100,7 +100,7 @@ def keyed(docs: DataFrame, chunk: int = CHUNK, primes: tuple[int, int] = PRIMES)
                 [batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests)],
                 names=["_row", "doc_id", "fp", "n_bytes", "text_sha256"])
 
-    rows = with_row_id(docs.select("doc_id", "text")).select("_row", F.col("doc_id").cast("long"), text_bytes().alias("data"))
+    rows = docs.select("_row", F.col("doc_id").cast("long"), text_bytes().alias("data"))
     return map_arrow(rows, run, _KEYED)
 
 
@@ -120,20 +120,22 @@ def _chunk_rows(rows: DataFrame, chunk: int) -> DataFrame:
     return map_arrow(rows.select("fp", "n_bytes", "data"), run, _CHUNKS)
 
 
-def duplicates(docs: DataFrame, chunk: int = CHUNK, primes: tuple[int, int] = PRIMES) -> DataFrame:
+def duplicates(docs: DataFrame, chunk: int = CHUNK, primes: tuple[int, int] = PRIMES, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``_row, doc_id, keep_id, group_size, kept, text_sha256``.
 
     Of equal texts the row with the largest doc_id stays (NULL is smallest);
     among repeated rows of that doc_id exactly one.  NULL and empty texts are
     equal.  An empty table gives no rows; other columns are not looked at.
-    ``docs`` must be a table as read (see ``with_row_id``)."""
+    ``row`` names a column of written row numbers; without it the rows are
+    numbered (see ``with_row_id``)."""
+    docs = rows_of(docs, row)
     rows = staged(keyed(docs, chunk, primes), "exact-keys")
     best = F.max(F.struct("doc_id", "_row"))
     groups = staged(rows.groupBy("fp", "n_bytes").agg(F.count("*").alias("group_size"), best.alias("best"))
                     .filter("group_size > 1"), "exact-groups")
     # the texts of those groups, met by position so that no text is shuffled needlessly
     members = rows.join(groups.select("fp", "n_bytes"), ["fp", "n_bytes"], "left_semi").select("_row", "fp", "n_bytes")
-    texts = (with_row_id(docs.select("text")).select("_row", text_bytes().alias("data"))
+    texts = (docs.select("_row", text_bytes().alias("data"))
              .join(members, "_row").filter("n_bytes > 0"))
     mixed = staged(_chunk_rows(texts, chunk).groupBy("fp", "n_bytes", "chunk_no")
                    .agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
@@ -166,5 +168,6 @@ def _folded(rows: DataFrame) -> DataFrame:
 def drop_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; all columns stay."""
     row = free_name(docs, "_exact_row")
-    gone = duplicates(docs, **options).filter("NOT kept").select(F.col("_row").alias(row))
-    return with_row_id(docs, row).join(gone, row, "left_anti").drop(row)
+    rows = with_row_id(docs, row)
+    gone = duplicates(rows, row=row, **options).filter("NOT kept").select(F.col("_row").alias(row))
+    return rows.join(gone, row, "left_anti").drop(row)

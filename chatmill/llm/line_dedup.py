@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from .bpe import texts_of
-from .common import free_name, map_arrow, staged, with_row_id
+from .common import free_name, map_arrow, rows_of, staged, with_row_id
 from .components import components
 
 THRESHOLD = 2
@@ -130,7 +130,7 @@ def _occurrences(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def _bytes(docs: DataFrame) -> DataFrame:
-    return with_row_id(docs.select("doc_id", "text")).select("_row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"))
+    return docs.select("_row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"))
 
 
 def _entries(docs: DataFrame, seed: int, threshold: int, min_chars: int) -> DataFrame:
@@ -275,7 +275,7 @@ def links(docs: DataFrame, seed: int, threshold: int = THRESHOLD, min_chars: int
 
 
 def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, hot: int = HOT, block: int = BLOCK, seed: int = 7) -> DataFrame:
-    """One row per line that is not blank: ``_row, doc_id, line_no, line,
+    """``docs``: ``_row`` (written numbers), ``doc_id, text``.  One row per line that is not blank: ``_row, doc_id, line_no, line,
     first`` (doc_id, _row, line_no of its class's first occurrence), ``kept``."""
     lines = staged(_occurrences(docs, seed), "lines")
     first = F.min(F.struct("doc_id", "_row", "line_no")).alias("first")
@@ -290,21 +290,23 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = M
     return lines.drop("check").join(firsts, "line").withColumn("kept", (F.col("first._row") == F.col("_row")) & (F.col("first.line_no") == F.col("line_no")))
 
 
-def line_report(docs: DataFrame, **options) -> DataFrame:
+def line_report(docs: DataFrame, row: str | None = None, **options) -> DataFrame:
     """One row per row of ``docs``: ``_row, doc_id, n_lines`` (not blank),
     ``n_dropped``, ``dropped`` (line numbers from 0) and ``copies_of`` (doc_ids
     that hold the lines kept instead).
 
     NULL, empty and blank texts have no lines; the smallest doc_id's occurrence
     stays (NULL is smallest); lines repeated in one document count as copies;
-    an empty table gives no rows; other columns are not looked at.  ``docs``
-    must be a table as read (see ``with_row_id``)."""
+    an empty table gives no rows; other columns are not looked at.  ``row``
+    names a column of written row numbers; without it the rows are numbered
+    (see ``with_row_id``)."""
+    docs = rows_of(docs, row)
     lines = line_classes(docs, **options)
     by_row = lines.groupBy("_row").agg(
         F.count("*").alias("n_lines"), F.count(F.when(~F.col("kept"), 1)).alias("n_dropped"),
         F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no")))).alias("dropped"),
         F.array_sort(F.collect_set(F.when(~F.col("kept"), F.col("first.doc_id")))).alias("copies_of"))
-    rows = with_row_id(docs.select("doc_id")).select("_row", F.col("doc_id").cast("long").alias("doc_id"))
+    rows = docs.select("_row", F.col("doc_id").cast("long").alias("doc_id"))
     none = F.array()
     return rows.join(by_row, "_row", "left").select(
         "_row", "doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"),
@@ -314,7 +316,8 @@ def line_report(docs: DataFrame, **options) -> DataFrame:
 def drop_lines(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; every row and other column stays."""
     row, dropped = free_name(docs, "_line_row"), free_name(docs, "_dropped")
-    gone = line_report(docs, **options).filter("n_dropped > 0").select(F.col("_row").alias(row), F.col("dropped").alias(dropped))
-    rows = with_row_id(docs, row).join(gone, row, "left")
+    rows = with_row_id(docs, row)
+    gone = line_report(rows, row, **options).filter("n_dropped > 0").select(F.col("_row").alias(row), F.col("dropped").alias(dropped))
+    rows = rows.join(gone, row, "left")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(dropped, i))
     return rows.withColumn("text", F.when(F.col(dropped).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)

@@ -8,7 +8,7 @@ of them, held out, with counts of the other nine tenths.  Tokens are words
 and one end per document, which is also the context of the first word;
 unseen words share the last term's extra place.
 
-Documents are read in blocks of bounded size.  A block's different words and
+Documents are written in blocks of bounded size.  A block's different words and
 word pairs (64-bit hashes, sorted) travel once to the ranges of the hash space,
 where the counts of all blocks meet, and the totals travel back to the block
 in the same order; there they are put to the documents' tokens.  No task holds
@@ -70,8 +70,8 @@ class Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list, list[bytes]]]:
-    """(block, part of the data, doc_ids, texts); the same in every pass over
-    the same scan.  A document is never divided."""
+    """(block, part of the data, doc_ids, texts).  A document is never divided.
+    The numbers hold for one pass, which is written."""
     part, number = TaskContext.get().partitionId(), 0
     held: dict[int, tuple[list, list, int]] = {k: ([], [], 0) for k in (TRAIN, TUNE, TEST)}
     for batch in batches:
@@ -89,11 +89,26 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list,
             number += 1
 
 
+def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(block, part of the data, texts) of the written documents, a block's
+    together; a scan that splits a file may give a block in pieces."""
+    held, texts = None, []
+    for batch in batches:
+        for block, kind, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if held != (block, kind) and texts:
+                yield *held, texts
+                texts = []
+            held = block, kind
+            texts.append(text)
+    if texts:
+        yield *held, texts
+
+
 def _entries(ranges: int):
     """Each block's different words and pairs, cut by ranges of the hash space."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
-        for block, kind, _, texts in _blocks(batches):
+        for block, kind, texts in _written(batches):
             b = Block(texts)
             for order, (keys, place) in enumerate(zip(b.keys, b.place)):
                 counts = np.bincount(place, minlength=len(keys)).astype("<u4")
@@ -117,8 +132,13 @@ def _totals(group: pa.Table) -> pa.Table:
         sums.append(np.bincount(place, weights, len(unique)).astype("<u4"))
     both = sums[0] + sums[1]
     starts = np.cumsum([0] + [len(k) for k in keys])
-    out = [(r["range"], r["block"], r["kind"], r["gram"], both[place[s:e]].tobytes(), sums[0][place[s:e]].tobytes() if r["kind"] == TUNE else None, None, None, None, None)
-           for r, s, e in zip(rows, starts, starts[1:])]
+    blocks: dict[int, tuple[dict, list]] = {}
+    for r, s, e in zip(rows, starts, starts[1:]):
+        blocks.setdefault(r["block"], (r, []))[1].append(place[s:e])
+    out = []
+    for r, pieces in blocks.values():
+        own = pieces[0] if len(pieces) == 1 else np.unique(np.concatenate(pieces))  # in the order of the keys
+        out.append((r["range"], r["block"], r["kind"], r["gram"], both[own].tobytes(), sums[0][own].tobytes() if r["kind"] == TUNE else None, None, None, None, None))
     stats = (rows[0]["range"], None, None, rows[0]["gram"], None, None, *(int(x) for s in (both, sums[0]) for x in (np.count_nonzero(s), s.sum(dtype=np.int64))))
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, stats), _ARROW)], schema=_ARROW)
 
@@ -184,24 +204,25 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, tune_every: int =
     NULL counts as empty: its only token is the end.  A NULL doc_id is a
     training document.  Repeated rows count each for itself.  An empty table
     gives no rows; without training documents every token is unseen.  Other
-    columns are not looked at.  ``docs`` must be a table as read."""
+    columns are not looked at."""
     doc_id = F.col("doc_id").cast("long")
     test = fold_of(doc_id, folds) == held_out
     tune = F.coalesce((F.crc32(F.concat(F.lit("tune"), doc_id.cast("string")).cast("binary")) % tune_every) == 0, F.lit(False))
     rows = docs.select(doc_id.alias("doc_id"), text_bytes().alias("data"), F.when(test, TEST).when(tune, TUNE).otherwise(TRAIN).alias("kind"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(4, math.ceil(size / RANGE_BYTES))
-    entries = map_arrow(rows, _entries(ranges), "range int, block long, kind int, gram int, keys binary, counts binary")
-    totals = staged(entries.groupBy("range", "gram").applyInArrow(_totals, _TOTALS), "lm-totals")
-    types, tokens, train_types, train_tokens = (x or 0 for x in totals.filter("block IS NULL AND gram = 0").agg(
-        *(F.sum(c) for c in ("types", "tokens", "train_types", "train_tokens"))).first())
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, kind, ids, texts in _blocks(batches):
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(ids), pa.int64()), pa.array([kind] * len(ids), pa.int32()), pa.array(ids, pa.int64()),
                                               pa.array(texts, pa.binary())], names=["block", "kind", "doc_id", "data"])
 
-    placed = map_arrow(rows, place, "block long, kind int, doc_id long, data binary")
+    placed = staged(map_arrow(rows, place, "block long, kind int, doc_id long, data binary"), "lm-blocks")
+    entries = map_arrow(placed.select("block", "kind", "data"), _entries(ranges), "range int, block long, kind int, gram int, keys binary, counts binary")
+    totals = staged(entries.groupBy("range", "gram").applyInArrow(_totals, _TOTALS), "lm-totals")
+    types, tokens, train_types, train_tokens = (x or 0 for x in totals.filter("block IS NULL AND gram = 0").agg(
+        *(F.sum(c) for c in ("types", "tokens", "train_types", "train_tokens"))).first())
+
     back = totals.filter("block IS NOT NULL")
 
     def cells(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import free_name, map_arrow, staged, text_bytes, with_row_id
+from .common import free_name, map_arrow, number_rows, rows_of, staged, text_bytes, with_row_id
 from .components import components
 
 BITS = 64
@@ -52,14 +52,14 @@ def fingerprint(data: bytes, shingle_words: int = 3, block: int = 1 << 18) -> in
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """One row per row of ``docs``: _row, doc_id, fp (signed 64 bits).  NULL text counts as empty."""
+    """One row per row of ``docs`` (_row, doc_id, text): _row, doc_id, fp (signed 64 bits).  NULL text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(x.as_py(), shingle_words) for x in batch.column(2)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["_row", "doc_id", "fp"])
 
-    rows = with_row_id(docs.select("doc_id", "text")).select("_row", F.col("doc_id").cast("long"), text_bytes().alias("data"))
+    rows = docs.select("_row", F.col("doc_id").cast("long"), text_bytes().alias("data"))
     return map_arrow(rows, run, "_row long, doc_id long, fp long")
 
 
@@ -210,12 +210,15 @@ def links(codes: DataFrame, max_bits: int = 3, hot: int = HOT) -> DataFrame:
         rows = staged(dealt.join(large, ["path", "top"], "left_semi").select("fp", "path", "code"), "hot-rows")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, hot: int = HOT) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, hot: int = HOT, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``_row, doc_id, fingerprint`` (16 hex
     digits) and ``component_id``, the smallest doc_id reachable over links of
     at most ``max_bits`` differing bits (NULL if all of them are NULL), and
     ``kept``: the one row of each component that stays, the smallest doc_id's
-    (then the first row).  An empty table gives no rows."""
+    (then the first row).  An empty table gives no rows.  ``row`` names a
+    column of written row numbers; without it the one pass over ``docs`` makes
+    and writes them."""
+    docs = rows_of(docs, row) if row else number_rows(docs.select("doc_id", "text"))
     rows = staged(fingerprints(docs, shingle_words), "fingerprints")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_row"))
     codes = staged(rows.groupBy("fp").agg(least.alias("least")), "codes")
@@ -231,5 +234,6 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3,
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each component; all columns stay."""
     row = free_name(docs, "_simhash_row")
-    gone = near_duplicates(docs, **options).filter("NOT kept").select(F.col("_row").alias(row))
-    return with_row_id(docs, row).join(gone, row, "left_anti").drop(row)
+    rows = with_row_id(docs, row)
+    gone = near_duplicates(rows, row=row, **options).filter("NOT kept").select(F.col("_row").alias(row))
+    return rows.join(gone, row, "left_anti").drop(row)

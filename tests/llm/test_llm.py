@@ -317,6 +317,29 @@ def test_lm_scores_are_plausible(spark, tmp_path):
     assert 0 < s[probes[0]] < 1 and all(0 < s[p] < s[probes[0]] * 10 for p in probes[1:6]) and s[probes[6]] < min(s[p] for p in probes[1:6])
 
 
+def test_results_do_not_depend_on_splits(spark, documents, benchmark, tmp_path):
+    """The cores of a cluster, and with them the splits, may change between two passes over a table."""
+    path = str(tmp_path / "documents.parquet")
+    documents.repartition(12).write.parquet(path)
+    name = "spark.sql.files.maxPartitionBytes"
+    kept = {"exact": lambda d: exact_dedup.drop_duplicates(d), "simhash": lambda d: simhash.drop_near_duplicates(d),
+            "leaks": lambda d: decontaminate.drop_contaminated(d, benchmark), "lines": lambda d: line_dedup.drop_lines(d),
+            "report": lambda d: line_dedup.line_report(d).select("doc_id", "n_lines", "dropped"), "lm": lm.score}
+    for key, run in kept.items():
+        found = []
+        for later in (1 << 27, 100_000):
+            spark.conf.set(name, 1 << 27)
+            spark.conf.set("spark.sql.files.minPartitionNum", 1)
+            try:
+                df = run(spark.read.parquet(path))
+                spark.conf.set(name, later)
+                found.append(sorted(str((r.doc_id, *(round(x, 6) if isinstance(x, float) else x for x in r))) for r in df.collect()))
+            finally:
+                spark.conf.unset(name)
+                spark.conf.unset("spark.sql.files.minPartitionNum")
+        assert found[0] == found[1], key
+
+
 def test_lm_weights_by_em():
     """Held-out tokens that pairs explain get weight on pairs, others on words."""
     w = lm.learn_weights([(5, 1 + 4, 1 + 40, 900), (5, 0, 1 + 40, 100), (2, 0, 1 + 8, 1000)], 1e-6)
