@@ -120,18 +120,25 @@ def _entries(ranges: int):
     return run
 
 
+def _values(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
+    """The numbers in each value of a binary column, not copied."""
+    return [np.frombuffer(x.as_buffer(), kind) for x in column]
+
+
 def _totals(group: pa.Table) -> pa.Table:
     """Counts over all blocks of one range and order, back to each block."""
-    rows = group.to_pylist()
-    keys = [np.frombuffer(r["keys"], "<u8") for r in rows]
-    counts = [np.frombuffer(r["counts"], "<u4") for r in rows]
+    rows = group.select(["range", "block", "kind", "gram"]).to_pylist()
+    keys, counts = _values(group.column("keys"), "<u8"), _values(group.column("counts"), "<u4")
+    starts = np.cumsum([0] + [len(k) for k in keys])
     unique, place = np.unique(np.concatenate(keys), return_inverse=True)
     sums = []
     for kind in (TRAIN, TUNE):
-        weights = np.concatenate([c if r["kind"] == kind else np.zeros(len(c)) for c, r in zip(counts, rows)])
-        sums.append(np.bincount(place, weights, len(unique)).astype("<u4"))
+        total = np.zeros(len(unique), "<u8")  # a block's count has 32 bits, a total may need more
+        for r, c, s, e in zip(rows, counts, starts, starts[1:]):
+            if r["kind"] == kind:
+                total[place[s:e]] += c  # a key is there once
+        sums.append(total)
     both = sums[0] + sums[1]
-    starts = np.cumsum([0] + [len(k) for k in keys])
     blocks: dict[int, tuple[dict, list]] = {}
     for r, s, e in zip(rows, starts, starts[1:]):
         blocks.setdefault(r["block"], (r, []))[1].append(place[s:e])
@@ -160,7 +167,7 @@ def _token_counts(texts: list[bytes], totals: list[dict], column: str):
     c = []
     for order in (0, 1):
         parts = sorted((r["range"], r[column]) for r in totals if r["gram"] == order)
-        c.append(np.frombuffer(b"".join(p for _, p in parts), "<u4").astype(np.int64))
+        c.append(np.frombuffer(b"".join(p for _, p in parts), "<u8").astype(np.int64))
     word = c[0][b.place[0]]
     at = np.searchsorted(b.keys[0], END)
     first = c[0][at]  # every block has an end

@@ -11,6 +11,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -340,6 +341,19 @@ def test_results_do_not_depend_on_splits(spark, documents, benchmark, tmp_path):
         assert found[0] == found[1], key
 
 
+def test_lm_totals_beyond_32_bits():
+    """Three blocks, one of them in two pieces; one word occurs 9e9 times."""
+    names = ("range", "block", "kind", "gram", "keys", "counts")
+    rows = [(0, 1, lm.TRAIN, 0, [5, 9], [3_000_000_000, 1]), (0, 2, lm.TUNE, 0, [5], [3_000_000_000]), (0, 3, lm.TEST, 0, [7, 9], [1, 1]),
+            (0, 1, lm.TRAIN, 0, [5, 7], [3_000_000_000, 2])]
+    table = pa.Table.from_pylist([dict(zip(names, (*r[:4], np.array(r[4], "<u8").tobytes(), np.array(r[5], "<u4").tobytes()))) for r in rows])
+    out = lm._totals(table).to_pylist()
+    totals = {r["block"]: np.frombuffer(r["totals"], "<u8").tolist() for r in out if r["block"]}
+    assert totals == {1: [9_000_000_000, 2, 1], 2: [9_000_000_000], 3: [2, 1]}
+    assert np.frombuffer(next(r for r in out if r["block"] == 2)["train_totals"], "<u8").tolist() == [6_000_000_000]
+    assert out[-1]["tokens"] == 9_000_000_003 and out[-1]["train_tokens"] == 6_000_000_003 and out[-1]["types"] == 3
+
+
 def test_lm_weights_by_em():
     """Held-out tokens that pairs explain get weight on pairs, others on words."""
     w = lm.learn_weights([(5, 1 + 4, 1 + 40, 900), (5, 0, 1 + 40, 100), (2, 0, 1 + 8, 1000)], 1e-6)
