@@ -1,8 +1,8 @@
 """Data-contract verification of raw JSON-lines files against a manifest.
 
 Per file: exists, non-zero size, SHA-256 equals the manifest (NULL verdict
-when the manifest has none), the first 100 lines parse, the first 10 lines
-carry the required keys (NULL verdict without a contract), line count equals
+when the manifest has none), every line parses, every line carries the
+required keys (NULL verdict without a contract), line count equals
 the manifest (0 expected = pass).  Any FALSE fails the file -- including the
 line count, as the reference's loop does.  Checks come out as a long table
 ``(name, check, passed, detail)``.
@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import write_once
+
 PARSE_SAMPLE_LINES = 100
 FIELD_SAMPLE_LINES = 10
 
@@ -88,35 +90,26 @@ def file_stats(spark: SparkSession, paths: list[str], whole_file_limit: int = WH
     return out
 
 
-def line_checks(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Per file: line count, first unparsable line within the first 100,
-    lines checked, and the key list of each of the first 10 lines."""
+def line_checks(spark: SparkSession, paths: list[str], required: DataFrame) -> DataFrame:
+    """Per file: line count, first unparsable line, first line without a
+    required key and that key.  ``required``: file (struct of name and path),
+    path, required (keys, or NULL).  One pass finds the places, a second counts the lines up
+    to them; both combine map-side."""
+    keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
     lines = (spark.read.text(paths)
-             .select(F.col("_metadata.file_path").alias("path"),
+             .select(F.regexp_replace(F.col("_metadata.file_path"), "^file:(//)?", "").alias("path"),
                      F.struct(F.col("_metadata.file_block_start").alias("b"),
                               F.monotonically_increasing_id().alias("r")).alias("pos"),
-                     "value"))
-    w = Window.partitionBy("path").orderBy("pos")
-    head = (lines.withColumn("line_no", F.row_number().over(w))
-                 .filter(F.col("line_no") <= PARSE_SAMPLE_LINES))
-    parsed = head.withColumn("ok", F.try_parse_json("value").isNotNull())
-    per_file = parsed.groupBy("path").agg(
-        F.min(F.when(~F.col("ok"), F.col("line_no"))).alias("first_bad_line"),
-        F.count(F.lit(1)).alias("head_lines"),
-        F.sort_array(F.collect_list(F.when(F.col("line_no") <= FIELD_SAMPLE_LINES,
-                                           F.struct("line_no", F.json_object_keys("value").alias("keys"))))
-                     ).alias("field_sample"))
-    counts = lines.groupBy("path").agg(F.count(F.lit(1)).alias("line_count"))
-    return per_file.join(counts, "path", "right")
-
-
-def missing_field(required, field_sample) -> F.Column:
-    """First (line, field) where a required key is absent, as a struct."""
-    misses = F.transform(field_sample, lambda s: F.struct(
-        s["line_no"].alias("line_no"),
-        F.try_element_at(F.array_except(required, F.coalesce(s["keys"], F.array().cast("array<string>"))), F.lit(1))
-        .alias("field")))
-    return F.try_element_at(F.filter(misses, lambda m: m["field"].isNotNull()), F.lit(1))
+                     "value")
+             .join(F.broadcast(required), "path")
+             .select("file", "pos", F.try_parse_json("value").isNull().alias("bad"),
+                     F.try_element_at(F.array_except("required", keys), F.lit(1)).alias("field")))
+    lines = write_once(lines, "line-checks")  # one evaluation: positions are the same in both passes
+    found = lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("line_count"), F.min(F.when(F.col("bad"), F.col("pos"))).alias("bad_at"),
+        F.min(F.when(F.col("field").isNotNull(), F.struct("pos", "field"))).alias("miss"))
+    out = _line_numbers(lines, found, "file", "pos", {"first_bad_line": "bad_at", "miss_line": "miss.pos"})
+    return out.select("file", "line_count", "first_bad_line", "miss_line", F.col("miss.field").alias("miss_field"))
 
 
 def verify_files(spark: SparkSession, manifest: DataFrame, contracts: DataFrame) -> DataFrame:
@@ -135,17 +128,15 @@ def verify_files(spark: SparkSession, manifest: DataFrame, contracts: DataFrame)
     stats = meta.join(stats, "path", "left").withColumn(
         "sha256", F.when(F.col("present"), F.coalesce("sha256", F.lit(EMPTY_SHA256))))
     existing = [p for p in existing if status[p][1] > 0]
-    lines = (line_checks(spark, existing).withColumn("path", norm(F.col("path")))
+    required = manifest.join(F.broadcast(contracts), "name", "left").select(F.struct("name", "path").alias("file"), "path", "required")
+    lines = (line_checks(spark, existing, required)
              if existing else spark.createDataFrame(
-                 [], "path string, first_bad_line int, head_lines long, "
-                     "field_sample array<struct<line_no:int,keys:array<string>>>, line_count long"))
-    m = (manifest.join(stats, "path", "left").join(lines, "path", "left")
+                 [], "file struct<name:string,path:string>, line_count long, first_bad_line int, miss_line int, miss_field string"))
+    m = (manifest.join(stats, "path", "left").join(lines, F.struct("name", "path").eqNullSafe(F.col("file")), "left")
                  .join(F.broadcast(contracts), "name", "left")
                  # an empty file has no lines at all
-                 .withColumn("head_lines", F.coalesce("head_lines", F.lit(0)))
                  .withColumn("line_count", F.coalesce("line_count", F.lit(0))))
     exists = F.coalesce(F.col("present"), F.lit(False))
-    miss = missing_field(F.col("required"), F.col("field_sample"))
     checks = F.array(
         F.struct(F.lit("File exists").alias("check"), exists.alias("passed"),
                  F.when(exists, F.col("path")).otherwise(F.concat(F.lit("Not found: "), F.col("path"))).alias("detail")),
@@ -155,13 +146,13 @@ def verify_files(spark: SparkSession, manifest: DataFrame, contracts: DataFrame)
                  F.when(F.col("checksum").isNotNull(), F.col("sha256") == F.col("checksum")).alias("passed"),
                  F.coalesce(F.substring("sha256", 1, 16), F.lit("No checksum in manifest")).alias("detail")),
         F.struct(F.lit("JSONL parseable").alias("check"), F.col("first_bad_line").isNull().alias("passed"),
-                 F.when(F.col("first_bad_line").isNull(), F.format_string("Checked %d lines", F.col("head_lines")))
+                 F.when(F.col("first_bad_line").isNull(), F.format_string("Checked %d lines", F.col("line_count")))
                   .otherwise(F.format_string("JSON parse error on line %d", F.col("first_bad_line"))).alias("detail")),
         F.struct(F.lit("Expected fields").alias("check"),
-                 F.when(F.col("required").isNotNull(), miss.isNull()).alias("passed"),
+                 F.when(F.col("required").isNotNull(), F.col("miss_line").isNull()).alias("passed"),
                  F.when(F.col("required").isNull(), F.lit("No field spec defined"))
-                  .when(miss.isNull(), F.array_join(F.col("required"), ","))
-                  .otherwise(F.format_string("Missing field '%s' on line %d", miss["field"], miss["line_no"]))
+                  .when(F.col("miss_line").isNull(), F.array_join(F.col("required"), ","))
+                  .otherwise(F.format_string("Missing field '%s' on line %d", F.col("miss_field"), F.col("miss_line")))
                   .alias("detail")),
         F.struct(F.lit("Line count").alias("check"),
                  F.when(F.coalesce(F.col("num_examples"), F.lit(0)) > 0,
@@ -182,15 +173,23 @@ def verdicts(checks: DataFrame) -> DataFrame:
 
 
 def required_key_check(lines: DataFrame, contracts: DataFrame, name: str = "name", order: str = "seq",
-                       value: str = "value", sample: int = FIELD_SAMPLE_LINES) -> DataFrame:
+                       value: str = "value", sample: int | None = None) -> DataFrame:
     """Row-level form of the field check over a table of JSON lines (one row
-    per line): for each name, the first ``sample`` lines in ``order`` must
-    have every required top-level key (a null value counts as present)."""
+    per line): for each name, every line must have every required top-level
+    key (a null value counts as present).  With ``sample``, only the first
+    ``sample`` lines in ``order`` are looked at."""
+    missing = F.array_except(F.col("required"), F.coalesce(F.json_object_keys(value), F.array().cast("array<string>")))
+    if sample is None:
+        joined = lines.join(F.broadcast(contracts), name, "inner").withColumn("first_missing", F.try_element_at(missing, F.lit(1)))
+        failing = F.min(F.when(F.col("first_missing").isNotNull(), F.struct(F.col(order).alias("at"), "first_missing")))
+        found = joined.groupBy(name).agg(F.count(F.lit(1)).alias("lines_checked"), failing.alias("failing"))
+        return _line_numbers(lines, found, name, order, {"first_failing_line": "failing.at"}).select(
+            name, "lines_checked", "first_failing_line", F.col("failing.first_missing").alias("missing_field"),
+            F.col("failing").isNull().alias("passed"))
     w = Window.partitionBy(name).orderBy(order)
     head = (lines.withColumn("line_no", F.row_number().over(w))
                  .filter(F.col("line_no") <= sample)
                  .join(F.broadcast(contracts), name, "inner"))
-    missing = F.array_except(F.col("required"), F.coalesce(F.json_object_keys(value), F.array().cast("array<string>")))
     per_line = head.withColumn("first_missing", F.try_element_at(missing, F.lit(1)))
     return per_line.groupBy(name).agg(
         F.count(F.lit(1)).alias("lines_checked"),
@@ -200,21 +199,40 @@ def required_key_check(lines: DataFrame, contracts: DataFrame, name: str = "name
     ).withColumn("passed", F.col("first_failing_line").isNull())
 
 
+def _line_numbers(lines: DataFrame, found: DataFrame, name: str, order: str, places: dict[str, str]) -> DataFrame:
+    """``found`` (one row per name) with the line number of each of ``places``
+    (values of ``order``, unique per name; NULL stays NULL), from 1: counts of
+    the lines up to there, so no group is ranked."""
+    at = found.select(F.col(name).alias("_vf_name"), *(F.col(c).alias(f"_vf_{n}") for n, c in places.items()))
+    counts = (lines.select(name, order).join(F.broadcast(at), F.col(name).eqNullSafe(F.col("_vf_name")))
+              .groupBy("_vf_name").agg(*(F.count_if(F.col(order) <= F.col(f"_vf_{n}")).alias(f"_vf_{n}") for n in places)))
+    out = found.join(counts, F.col(name).eqNullSafe(F.col("_vf_name")), "left")
+    for n, c in places.items():
+        out = out.withColumn(n, F.when(F.col(c).isNotNull(), F.col(f"_vf_{n}").cast("int")))
+    return out.drop("_vf_name", *(f"_vf_{n}" for n in places))
+
+
 def line_verdicts(lines: DataFrame, contracts: DataFrame, name: str = "name", order: str = "seq",
-                  value: str = "value", expected: DataFrame | None = None) -> DataFrame:
+                  value: str = "value", expected: DataFrame | None = None,
+                  parse_sample: int | None = None, field_sample: int | None = None) -> DataFrame:
     """The file checks V-4..V-7 over a table of lines (one row per line,
-    ``name`` = the file or dataset): first unparsable line within the first
-    100, first missing required key within the first 10 (NULL verdict
-    without a contract), line count against ``expected`` (name,
-    num_examples; 0 or missing = pass) and the overall verdict.  Both
-    samples are ``row_number() <= k`` filters, limited per partition before
-    the shuffle."""
-    w = Window.partitionBy(name).orderBy(order)
-    head = (lines.withColumn("line_no", F.row_number().over(w))
-                 .filter(F.col("line_no") <= PARSE_SAMPLE_LINES))
-    parse = head.groupBy(name).agg(
-        F.min(F.when(F.try_parse_json(value).isNull(), F.col("line_no"))).alias("first_bad_line"))
-    fields = required_key_check(lines, contracts, name, order, value).select(
+    ``name`` = the file or dataset): first unparsable line, first missing
+    required key (NULL verdict without a contract), line count against
+    ``expected`` (name, num_examples; 0 or missing = pass) and the overall
+    verdict.  Every line is checked, unless ``parse_sample`` or
+    ``field_sample`` ask for the first lines only: these samples are
+    ``row_number() <= k`` filters, limited per partition before the
+    shuffle."""
+    bad = F.try_parse_json(value).isNull()
+    if parse_sample is None:
+        parse = lines.groupBy(name).agg(F.min(F.when(bad, F.col(order))).alias("_vf_bad"))
+        parse = _line_numbers(lines, parse, name, order, {"first_bad_line": "_vf_bad"}).select(name, "first_bad_line")
+    else:
+        w = Window.partitionBy(name).orderBy(order)
+        head = (lines.withColumn("line_no", F.row_number().over(w))
+                     .filter(F.col("line_no") <= parse_sample))
+        parse = head.groupBy(name).agg(F.min(F.when(bad, F.col("line_no"))).alias("first_bad_line"))
+    fields = required_key_check(lines, contracts, name, order, value, field_sample).select(
         name, F.col("passed").alias("fields_ok"), "missing_field", F.col("first_failing_line").alias("fields_line"))
     counts = lines.groupBy(name).agg(F.count(F.lit(1)).alias("line_count"))
     out = counts.join(parse, name, "left").join(fields, name, "left")

@@ -25,7 +25,7 @@ from ..operators import score as S
 from ..operators import tokens as TK
 from ..operators.dedup import keep_first
 from ..operators.outcomes import classify_lines, outcome_counts_single_pass, outcome_summary
-from ..operators.verify import required_key_check
+from ..operators.verify import FIELD_SAMPLE_LINES, required_key_check
 from ..sources.registry import baselines_df
 from ..session import materialize
 from ..sources.tables import read_table, read_text_table
@@ -446,7 +446,7 @@ def q_required_fields(spark, sf):
     e = read_table(spark, sf, "events").select(F.col("event_type").alias("name"), F.col("event_id").alias("seq"),
                                        F.col("props").alias("value"))
     contracts = spark.createDataFrame(EVENT_CONTRACTS, "name string, required array<string>")
-    return required_key_check(e, contracts).select("name", "lines_checked", "first_failing_line",
+    return required_key_check(e, contracts, sample=FIELD_SAMPLE_LINES).select("name", "lines_checked", "first_failing_line",
                                                    "missing_field", "passed")
 
 
@@ -454,13 +454,14 @@ def q_file_verdicts(spark, sf):
     """Each document source as a JSON-lines file (the triple shape): parse
     check, field contract, line count against the documents per source,
     verdict."""
-    from ..operators.verify import line_verdicts
+    from ..operators.verify import PARSE_SAMPLE_LINES, line_verdicts
     lines = doc_json_lines(spark, sf).select(F.col("source").alias("name"), F.col("doc_id").alias("seq"), "value")
     contracts = (lines.select("name").distinct()
                  .withColumn("required", F.array(*[F.lit(k) for k in ("system_prompt", "question", "response")])))
     expected = (read_table(spark, sf, "documents").groupBy(F.col("source").alias("name"))
                 .agg(F.count(F.lit(1)).alias("num_examples")))
-    v = line_verdicts(lines, contracts, "name", "seq", "value", expected)
+    v = line_verdicts(lines, contracts, "name", "seq", "value", expected,
+                      parse_sample=PARSE_SAMPLE_LINES, field_sample=FIELD_SAMPLE_LINES)
     return v.select("name", "line_count", "first_bad_line", "parse_ok", "fields_ok", "missing_field", "fields_line",
                     "count_ok", "passed")
 

@@ -85,3 +85,22 @@ def test_line_verdicts(spark):
         (True, False, "r", 2, False)
     assert (v["b"].first_bad_line, v["b"].count_ok, v["b"].passed) == (1, False, False)
     assert (v["c"].fields_ok, v["c"].passed) == (None, True)        # no contract, no expected count
+
+
+def test_every_line_is_checked(spark, tmp_path):
+    from chatmill.operators.verify import line_verdicts, required_key_check
+    good = '{"question": 1, "answer": 2}'
+    rows = [(n, 10 * i, good) for n in "abc" for i in range(1, 151)]
+    rows += [("a", 1505, "{bad"), ("a", 1506, "{bad"), ("b", 1005, '{"question": 1}')]
+    lines = spark.createDataFrame(rows, "name string, seq long, value string").repartition(7)
+    contracts = spark.createDataFrame([(n, ["question", "answer"]) for n in "abc"], "name string, required array<string>")
+    v = {r.name: (r.first_bad_line, r.parse_ok, r.fields_line, r.missing_field, r.passed) for r in line_verdicts(lines, contracts).collect()}
+    assert v == {"a": (151, False, 151, "question", False), "b": (None, True, 101, "answer", False), "c": (None, True, None, None, True)}
+    k = {r.name: (r.lines_checked, r.first_failing_line, r.missing_field, r.passed) for r in required_key_check(lines, contracts).collect()}
+    assert k == {"a": (152, 151, "question", False), "b": (151, 101, "answer", False), "c": (150, None, None, True)}
+    path = tmp_path / "gsm8k.jsonl"
+    path.write_text("\n".join([good] * 150 + ['{"question": 1}', "{bad"]) + "\n")
+    manifest = spark.createDataFrame([("gsm8k", str(path), 152, None)], "name string, path string, num_examples long, checksum string")
+    checks = {r.check: (r.passed, r.detail) for r in verify_files(spark, manifest, contracts_df(spark)).collect()}
+    assert checks["JSONL parseable"] == (False, "JSON parse error on line 152")
+    assert checks["Expected fields"] == (False, "Missing field 'answer' on line 151")
