@@ -46,4 +46,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-SQL = {"op10_chat_format": _OP10, "op7_exact_dedup": _OP7, "op8_decontaminate": _OP8}
+_OP11 = f"""
+WITH pieces AS (SELECT row_number() OVER () AS p, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOW.format('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+f AS MATERIALIZED (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+      GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+cuts AS (SELECT lang, k, phrase, a, cut, array_to_string(w[1 : cut], ' ') AS first, array_to_string(w[cut + 1 : k], ' ') AS rest
+         FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+scored AS (SELECT cuts.*, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+           FROM cuts JOIN f AS x ON x.lang = cuts.lang AND x.phrase = first JOIN f AS y ON y.lang = cuts.lang AND y.phrase = rest),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+           FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k > 2)) GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside USING (lang, phrase)
+         WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+SQL = {"op11_collocations": _OP11, "op10_chat_format": _OP10, "op7_exact_dedup": _OP7, "op8_decontaminate": _OP8}

@@ -10,7 +10,7 @@ import public_tokenizers
 
 from chatmill.session import scratch_path
 
-from . import bpe, chat_format, decontaminate, exact_dedup, langid, line_dedup, lm, simhash, token_files, toxicity
+from . import bpe, chat_format, collocations, decontaminate, exact_dedup, langid, line_dedup, lm, simhash, token_files, toxicity
 from .common import fold_of, read, staged
 
 
@@ -76,6 +76,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,4 +87,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_simhash_near_dedup, op3_language_id, op4_toxicity, op5_lm_score, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, op9_token_files, op10_chat_format, pipeline)}
+    op1_line_dedup, op2_simhash_near_dedup, op3_language_id, op4_toxicity, op5_lm_score, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, op9_token_files, op10_chat_format,
+    op11_collocations, pipeline)}
