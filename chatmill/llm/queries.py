@@ -10,7 +10,7 @@ import public_tokenizers
 
 from chatmill.session import scratch_path
 
-from . import alignment, bpe, chat_format, collocations, decontaminate, exact_dedup, langid, line_dedup, lm, simhash, token_files, toxicity
+from . import alignment, bpe, chat_format, collocations, decontaminate, exact_dedup, langid, line_dedup, lm, mixing, simhash, token_files, toxicity
 from .common import fold_of, read, staged
 
 
@@ -80,6 +80,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(read(spark, sf_dir, "documents"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).drop("row")
 
@@ -92,4 +96,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash_near_dedup, op3_language_id, op4_toxicity, op5_lm_score, op6_byte_bpe, op7_exact_dedup, op8_decontaminate, op9_token_files, op10_chat_format,
-    op11_collocations, op13_alignment, pipeline)}
+    op11_collocations, op12_mixing, op13_alignment, pipeline)}
