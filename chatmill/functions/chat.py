@@ -46,15 +46,19 @@ def distinct_roles(messages) -> Column:
 
 
 def content_key(messages, prefix_chars: int | None = None) -> Column:
-    """``role:content`` of user and assistant turns joined by ``|``; system
-    turns do not count.  With ``prefix_chars`` only that many code points of
-    each turn enter the key."""
+    """``role:length:content`` of user and assistant turns joined by ``|``;
+    system turns do not count.  The length (in code points) tells where a
+    content ends, so no content can pass for another division into turns.
+    With ``prefix_chars`` only that many code points of each turn enter the
+    key."""
     kept = F.filter(col_of(messages), lambda m: m["role"].isin("user", "assistant"))
-    parts = F.transform(
-        kept,
-        lambda m: F.concat(m["role"], F.lit(KEY_ROLE_SEPARATOR), m["content"] if prefix_chars is None else prefix(m["content"], prefix_chars)),
-    )
-    return F.array_join(parts, KEY_TURN_SEPARATOR)
+    separator = F.lit(KEY_ROLE_SEPARATOR)
+
+    def part(m: Column) -> Column:
+        content = m["content"] if prefix_chars is None else prefix(m["content"], prefix_chars)
+        return F.concat(m["role"], separator, F.length(content).cast("string"), separator, content)
+
+    return F.array_join(F.transform(kept, part), KEY_TURN_SEPARATOR)
 
 
 def content_hash(messages, prefix_chars: int | None = None) -> Column:

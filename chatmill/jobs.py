@@ -17,9 +17,10 @@ from .functions.chat import content_hash
 from .operators import mix as M
 from .operators import report as R
 from .operators import score as S
+from .operators import shuffle as SH
 from .operators import tokens as TK
 from .operators.convert import CONVERTERS, DEFAULT_SYSTEM
-from .operators.convert import convert_parsed
+from .operators.convert import convert_mixed, shape_of
 from .operators.dedup import keep_first
 from .operators.outcomes import outcome_counts_single_pass, outcome_summary
 from .operators.verify import verdicts, verify_files
@@ -30,6 +31,9 @@ from .sources.jsonl import MESSAGES_ROW, empty_like, messages_from_json, read_li
 from .sources.registry import (MAX_SEQ_LENGTH, RANDOM_SEED, SAMPLING_PROFILES, TRAIN_RATIO, TRAINING_SOURCES,
                                contracts_df, sampling_config_df)
 
+#: places of the shuffled order in one numbered part of the prepared dataset
+PART_ROWS = 100_000
+
 
 def verify_job(spark: SparkSession, manifest_path: str) -> tuple[DataFrame, DataFrame]:
     """Download manifest (``{"datasets": [...]}``) -> check table, verdicts."""
@@ -50,8 +54,7 @@ def clean_job(spark: SparkSession, raw_root: str, out_dir: str, sources: list[st
     listing = I.file_listing(spark, raw_root, "dataset.jsonl")
     # one row per requested source: a short list on the driver
     resolved = I.resolve_raw_paths(listing, names, raw_root).collect()
-    frames = []
-    status = {}
+    paths, status = {}, {}
     for r in resolved:
         if r["path"] is None:
             status[r["name"]] = "not_found"
@@ -59,17 +62,16 @@ def clean_job(spark: SparkSession, raw_root: str, out_dir: str, sources: list[st
             status[r["name"]] = "skipped"
         else:
             status[r["name"]] = "success"
-            lines = read_lines(spark, r["path"], source=r["name"])
-            conv = convert_parsed(lines, CONVERTERS[r["name"]], default_system=default_system)
-            frames.append(conv.select("source", "seq", F.col("parsed").isNull().alias("parse_failed"), "messages")
-                              .withColumn("content_key",
-                                          F.when(F.col("messages").isNotNull(), content_hash("messages"))))
+            paths[r["name"]] = r["path"]
     counts_schema = ("source string, input long, output long, parse_error long, conversion_failed long, "
                      "duplicate long, dropped long")
-    if frames:
-        keyed = frames[0]
-        for f in frames[1:]:
-            keyed = keyed.unionByName(f)
+    if paths:
+        # one scan of all sources; each row goes by its own source's shape
+        name = F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
+        lines = read_lines(spark, list(paths.values())).withColumn("source", name)
+        conv = convert_mixed(lines, shape_of(F.col("source")), default_system=default_system)
+        keyed = (conv.select("source", "seq", F.col("parsed").isNull().alias("parse_failed"), "messages")
+                     .withColumn("content_key", F.when(F.col("messages").isNotNull(), content_hash("messages"))))
         # every line is parsed, converted and keyed once; metrics and rows
         # are both read from this checkpoint
         keyed = materialize(keyed)
@@ -123,10 +125,12 @@ def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: st
     sampled, mixed = M.mix_sources(rows, cfg, "row_key", seed, return_sampled=True,
                                    n_sources=len([r for r in SAMPLING_PROFILES if r[0] == profile]))
     stats = M.load_stats(sampled, mixed, cfg)
-    split = M.exact_split(mixed, M.seeded_key(seed, "source", "row_key", "copy"), ["source", "row_key", "copy"], ratio)
-    full = materialize(M.attach_payload(split, rows, ["source", "row_key"]))
-    W.write_prepared(full, f"{out_dir}/dataset")
-    W.write_split_jsonl(full, f"{out_dir}/jsonl")
+    placed = SH.prefix_split(SH.shuffled(mixed, ["source", "row_key", "copy"], seed), ratio)
+    full = write_once(M.attach_payload(placed, rows, ["source", "row_key"]), "prepared-rows")
+    # the files of a split are in shuffled order, a range of places each
+    in_order = SH.in_parts(full, PART_ROWS, by=["split"])
+    W.write_prepared(in_order, f"{out_dir}/dataset")
+    W.write_split_jsonl(in_order, f"{out_dir}/jsonl")
     counts = full.groupBy("split").agg(F.count(F.lit(1)).alias("count"))
     W.write_manifest(W.preparation_manifest(counts, stats, seed, ratio), f"{out_dir}/preparation_manifest")
     return M.source_distribution(full.filter(F.col("split") == "train"))
@@ -149,7 +153,7 @@ def tokenize_job(spark: SparkSession, prepared_dir: str, out_dir: str, profile:
     else:
         tokenized = TK.tokenize_messages(ds, tokenizer, max_length=max_len)
         name = "regex"
-    tok = materialize(tokenized.select("split", "input_ids", "attention_mask", "labels"))
+    tok = materialize(tokenized.select("split", "input_ids", "attention_mask", "labels", "full_length"))
     W.write_tokenized(tok, f"{out_dir}/tokenized")
     stats = TK.token_statistics(tok, max_len, ["split"])
     W.write_manifest(W.tokenization_manifest(stats, max_len, name), f"{out_dir}/tokenization_config")

@@ -132,21 +132,46 @@ def drop_failed(df: DataFrame, messages: str = "messages") -> DataFrame:
 
 # --- JSON-line shapes ------------------------------------------------------
 # A raw line is parsed once into a VARIANT; each shape pulls its fields out.
-# String fields are taken only when the JSON value is a string (a number or
-# object counts as missing, like the reference's type check).
+# Text is taken only where the JSON value is a string, in fields and inside
+# arrays (a number, a null or an object counts as missing, like the
+# reference's type check).
+
+def _json_type(v: Column) -> Column:
+    return F.schema_of_variant(v)
+
+
+def _text_of(v: Column) -> Column:
+    """The text of a JSON string; NULL for every other value."""
+    return F.when(_json_type(v) == "STRING", F.try_variant_get(v, "$", "string"))
+
 
 def variant_string(v: Column, field: str) -> Column:
-    path = f"$.{field}"
-    return F.when(F.schema_of_variant(F.try_variant_get(v, path, "variant")) == "STRING",
-                  F.try_variant_get(v, path, "string"))
+    return _text_of(F.try_variant_get(v, f"$.{field}", "variant"))
+
+
+def _elements(v: Column, field: str) -> Column:
+    """The elements of an array, each with its own type; NULL if it is none."""
+    return F.try_variant_get(v, f"$.{field}", "array<variant>")
 
 
 def _fields_turns(v: Column) -> dict[str, Column]:
-    return {"conversations": F.try_variant_get(v, "$.conversations", "array<struct<from:string,value:string>>")}
+    # a turn that is not an object fails the row; a role or text that is not a string is missing
+    turns = _elements(v, "conversations")
+    parts = F.transform(turns, lambda t: F.struct(variant_string(t, "from").alias("from"), variant_string(t, "value").alias("value")))
+    return {"conversations": F.when(F.forall(turns, lambda t: _json_type(t).startswith("OBJECT")), parts)}
 
 
 def _fields_alternating(v: Column) -> dict[str, Column]:
-    return {"data": F.try_variant_get(v, "$.data", "array<string>")}
+    return {"data": F.transform(_elements(v, "data"), _text_of)}
+
+
+def printed(v: Column) -> Column:
+    """A JSON value as the reference prints it into text: a null is ``None``,
+    true and false are capitalised; NULL where there is no value at all.
+    (Arrays and objects print as JSON.)"""
+    kind = _json_type(v)
+    text = F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v)).otherwise(F.try_variant_get(v, "$", "string"))
+    return F.when(kind == "VOID", F.lit("None")).when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
 
 
 def _fields_triples(v: Column) -> dict[str, Column]:
@@ -156,7 +181,7 @@ def _fields_triples(v: Column) -> dict[str, Column]:
 def _fields_code(v: Column) -> dict[str, Column]:
     return {"func_code_string": variant_string(v, "func_code_string"),
             "func_documentation_string": variant_string(v, "func_documentation_string"),
-            "language": F.try_variant_get(v, "$.language", "string")}
+            "language": printed(F.try_variant_get(v, "$.language", "variant"))}
 
 
 def _fields_qa(v: Column) -> dict[str, Column]:
@@ -196,3 +221,23 @@ def convert_parsed(df: DataFrame, shape: str, parsed: str = "parsed",
     kwargs = {params[k]: f"{_TMP}x_{k}" for k in fields}
     return (converter(staged, default_system=default_system, out=out, **kwargs)
             .drop(*[f"{_TMP}x_{k}" for k in fields]))
+
+
+def convert_mixed(df: DataFrame, shape: Column, parsed: str = "parsed",
+                  default_system: str = DEFAULT_SYSTEM, out: str = "messages") -> DataFrame:
+    """Convert rows of all shapes in one pass: ``shape`` names each row's
+    (NULL or a name without a converter: the row does not convert).  A row's
+    fields are pulled out for its own shape only, so the other converters see
+    NULLs, which cost next to nothing."""
+    df = df.withColumn(f"{_TMP}_shape", shape)
+    for name in SHAPES:
+        own = F.when(F.col(f"{_TMP}_shape") == name, F.col(parsed))
+        df = convert_parsed(df.withColumn(f"{_TMP}_own", own), name, f"{_TMP}_own", default_system, f"{_TMP}_{name}").drop(f"{_TMP}_own")
+    built = [F.when(F.col(f"{_TMP}_shape") == name, F.col(f"{_TMP}_{name}")) for name in SHAPES]
+    return df.withColumn(out, F.coalesce(*built)).drop(f"{_TMP}_shape", *[f"{_TMP}_{name}" for name in SHAPES])
+
+
+def shape_of(source: Column, converters: dict[str, str] | None = None) -> Column:
+    """The raw shape of a source; NULL for one without a converter."""
+    pairs = (CONVERTERS if converters is None else converters).items()
+    return F.get(F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in pairs]), lambda p: p["k"] == source), F.lit(0))["v"]

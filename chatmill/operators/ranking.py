@@ -133,10 +133,11 @@ def running_totals(df: DataFrame, groups: list[str], order: str, values: dict[st
 
 
 def dense_index(df: DataFrame, order: list[str], out: str = "row_index",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, total: str | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (unique), computed without a
     global window: range-partition, sort within partitions, then add the row
-    count of all earlier partitions (a table of one row per partition)."""
+    count of all earlier partitions (a table of one row per partition).
+    ``total`` names a column for the number of all rows."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("_cm_mid", F.monotonically_increasing_id()))
@@ -148,7 +149,8 @@ def dense_index(df: DataFrame, order: list[str], out: str = "row_index",
     ranged = write_once(ranged, "dense-index")
     counts = ranged.groupBy("_cm_pid").agg(F.count(F.lit(1)).alias("_cm_pn"))
     wprev = Window.orderBy("_cm_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_cm_pid", F.coalesce(F.sum("_cm_pn").over(wprev), F.lit(0)).alias("_cm_poff"))
+    offsets = counts.select("_cm_pid", F.coalesce(F.sum("_cm_pn").over(wprev), F.lit(0)).alias("_cm_poff"),
+                            *([F.sum("_cm_pn").over(Window.partitionBy()).alias(total)] if total else []))
     # one row per partition: a proven small broadcast
     return (ranged.join(F.broadcast(offsets), "_cm_pid")
                   .withColumn(out, F.col("_cm_poff") + F.col("_cm_local"))

@@ -71,8 +71,14 @@ def running_accuracy(graded: DataFrame, order: str, groups: list[str] | None = N
     return rt
 
 
-def detail_rows(graded: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return graded.select(*[c.alias(n) for n, c in columns.items()])
+def detail_rows(graded: DataFrame, columns: dict[str, Column], widths: dict[str, int] | None = None,
+                order: str | None = None, limit: int | None = None) -> DataFrame:
+    """Detail rows of every item, with whole texts.  ``widths`` cuts the named
+    text columns to so many code points, and ``limit`` keeps the first rows in
+    ``order``: the short forms that reports show."""
+    cut = lambda n, c: F.substring(c, 1, widths[n]) if widths and n in widths else c
+    rows = graded if limit is None else graded.orderBy(order).limit(limit)
+    return rows.select(*[cut(n, c).alias(n) for n, c in columns.items()])
 
 
 def select_benchmarks(df: DataFrame, allowed: list[str], name: str = "benchmark") -> DataFrame:

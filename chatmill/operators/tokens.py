@@ -189,8 +189,11 @@ def label_coverage(df: DataFrame) -> DataFrame:
 
 
 def token_statistics(df: DataFrame, max_length: int, groups: list[str] | None = None) -> DataFrame:
-    """Length statistics (per ``groups``, e.g. split).  ``median`` keeps one
-    counter per distinct length, which is bounded by ``max_length``."""
+    """Length statistics (per ``groups``, e.g. split) of the ids as cut to
+    ``max_length``, and how much the cut takes: all tokens and the longest
+    example before it, and the examples it shortens.  ``median`` keeps one
+    counter per distinct length, which is bounded by ``max_length``; exact
+    quantiles of uncut lengths: :func:`~.quantiles.exact_quantiles`."""
     length = F.size("input_ids")
     lab = labeled_count("labels")
     aggs = [
@@ -205,6 +208,10 @@ def token_statistics(df: DataFrame, max_length: int, groups: list[str] | None =
         F.sum(lab).alias("total_labeled_tokens"),
         F.round(F.avg(F.when(length >= max_length, 1.0).otherwise(0.0)) * 100, 1).alias("pct_at_max_length"),
     ]
+    if "full_length" in df.columns:
+        full = F.col("full_length")
+        aggs += [F.sum(full).alias("total_tokens_uncut"), F.max(full).alias("max_length_uncut"),
+                 F.count_if(full > max_length).alias("examples_cut")]
     return df.groupBy(*(groups or [])).agg(*aggs)
 
 

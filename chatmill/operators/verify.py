@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.jsonl import parse_json
 from ..session import write_once
 
 PARSE_SAMPLE_LINES = 100
@@ -102,7 +103,7 @@ def line_checks(spark: SparkSession, paths: list[str], required: DataFrame) -> D
                               F.monotonically_increasing_id().alias("r")).alias("pos"),
                      "value")
              .join(F.broadcast(required), "path")
-             .select("file", "pos", F.try_parse_json("value").isNull().alias("bad"),
+             .select("file", "pos", parse_json("value").isNull().alias("bad"),
                      F.try_element_at(F.array_except("required", keys), F.lit(1)).alias("field")))
     lines = write_once(lines, "line-checks")  # one evaluation: positions are the same in both passes
     found = lines.groupBy("file").agg(
@@ -223,7 +224,7 @@ def line_verdicts(lines: DataFrame, contracts: DataFrame, name: str = "name", or
     ``field_sample`` ask for the first lines only: these samples are
     ``row_number() <= k`` filters, limited per partition before the
     shuffle."""
-    bad = F.try_parse_json(value).isNull()
+    bad = parse_json(value).isNull()
     if parse_sample is None:
         parse = lines.groupBy(name).agg(F.min(F.when(bad, F.col(order))).alias("_vf_bad"))
         parse = _line_numbers(lines, parse, name, order, {"first_bad_line": "_vf_bad"}).select(name, "first_bad_line")

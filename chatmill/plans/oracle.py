@@ -212,7 +212,7 @@ WITH o AS (SELECT o_orderkey,
            FROM orders)
 SELECT o_orderkey, {fp3(DEF, 'q', 'a')} AS fingerprint FROM o WHERE {valid('q')} AND {valid('a')}"""
 
-KEY = "sha256('user:' || q || '|assistant:' || r)"
+KEY = "sha256('user:' || length(q) || ':' || q || '|assistant:' || length(r) || ':' || r)"
 
 SQL["dedup_first"] = f"""
 WITH {TRIPLES},
@@ -294,13 +294,15 @@ SQL["token_stats"] = f"""
 WITH {TRIPLES},
 m AS (SELECT doc_id, {ntok("CASE WHEN s_ok THEN s ELSE " + DEF + " END")} AS cs, {ntok('q')} AS cq, {ntok('r')} AS cr
       FROM tv WHERE ok),
-per AS (SELECT least(cs + cq + cr + 15, {L}) AS len,
+per AS (SELECT cs + cq + cr + 15 AS uncut, least(cs + cq + cr + 15, {L}) AS len,
                greatest(0, least(cs + cq + 10 + cr + 4, {L}) - (cs + cq + 10 + 3)) AS lab FROM m)
 SELECT count(*) AS total_examples, round(avg(len), 1) AS avg_length, round(median(len), 1) AS median_length,
        min(len) AS min_length, max(len) AS max_length, round(coalesce(stddev_samp(len), 0), 1) AS stdev_length,
        round(avg(lab), 1) AS avg_labeled_tokens, CAST(sum(len) AS BIGINT) AS total_tokens,
        CAST(sum(lab) AS BIGINT) AS total_labeled_tokens,
-       round(avg(CASE WHEN len >= {L} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 1) AS pct_at_max_length
+       round(avg(CASE WHEN len >= {L} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 1) AS pct_at_max_length,
+       CAST(sum(uncut) AS BIGINT) AS total_tokens_uncut, max(uncut) AS max_length_uncut,
+       count(*) FILTER (WHERE uncut > {L}) AS examples_cut
 FROM per"""
 
 CONV_TOKENS = f"""
@@ -415,7 +417,7 @@ h AS (SELECT event_type AS name, props, row_number() OVER (PARTITION BY event_ty
       FROM events),
 j AS (SELECT h.name, h.line_no,
              list_filter(c.required, lambda f: NOT list_contains(json_keys(h.props), f))[1] AS first_missing
-      FROM h JOIN c ON h.name = c.name WHERE h.line_no <= 10)
+      FROM h JOIN c ON h.name = c.name)
 SELECT name, count(*) AS lines_checked,
        min(CASE WHEN first_missing IS NOT NULL THEN line_no END) AS first_failing_line,
        arg_min(first_missing, CASE WHEN first_missing IS NOT NULL THEN line_no END) AS missing_field,
@@ -452,11 +454,10 @@ SELECT item_id, length(code) AS code_prompt_length, md5(code) AS code_prompt_md5
 
 SQL["choice_details"] = f"""
 WITH {CHOICES}
-SELECT c.item_id, substr(e.props, 1, 80) AS question, c.subject,
+SELECT c.item_id, e.props AS question, c.subject,
        substr('ABCD', c.answer + 1, 1) AS ground_truth,
        coalesce(substr('ABCD', c.pidx + 1, 1), '?') AS predicted, c.correct
-FROM chgraded c JOIN events e ON e.event_id = c.item_id
-ORDER BY c.item_id LIMIT 100"""
+FROM chgraded c JOIN events e ON e.event_id = c.item_id"""
 
 _MD_DELTA = ("CASE WHEN delta IS NULL THEN '—' WHEN delta >= 0 THEN printf('+%.1f%%', delta) "
              "ELSE printf('%.1f%%', delta) END")
@@ -541,8 +542,8 @@ l AS (SELECT d0.doc_id, d0.source AS name,
              row_number() OVER (PARTITION BY d0.source ORDER BY d0.doc_id) AS line_no
       FROM d0),
 cnt AS (SELECT name, count(*) AS line_count FROM l GROUP BY name),
-p AS (SELECT name, min(CASE WHEN NOT parsed_ok THEN line_no END) AS first_bad_line FROM l WHERE line_no <= 100 GROUP BY name),
-f AS (SELECT name, min(CASE WHEN NOT has_fields THEN line_no END) AS fields_line FROM l WHERE line_no <= 10 GROUP BY name),
+p AS (SELECT name, min(CASE WHEN NOT parsed_ok THEN line_no END) AS first_bad_line FROM l GROUP BY name),
+f AS (SELECT name, min(CASE WHEN NOT has_fields THEN line_no END) AS fields_line FROM l GROUP BY name),
 e AS (SELECT source AS name, count(*) AS num_examples FROM documents GROUP BY source)
 SELECT cnt.name, cnt.line_count, p.first_bad_line, p.first_bad_line IS NULL AS parse_ok,
        f.fields_line IS NULL AS fields_ok, CASE WHEN f.fields_line IS NOT NULL THEN 'system_prompt' END AS missing_field,

@@ -25,7 +25,8 @@ from ..operators import score as S
 from ..operators import tokens as TK
 from ..operators.dedup import keep_first
 from ..operators.outcomes import classify_lines, outcome_counts_single_pass, outcome_summary
-from ..operators.verify import FIELD_SAMPLE_LINES, required_key_check
+from ..operators.verify import required_key_check
+from ..sources.jsonl import parse_json
 from ..sources.registry import baselines_df
 from ..session import materialize
 from ..sources.tables import read_table, read_text_table
@@ -173,7 +174,7 @@ def doc_json_lines(spark, sf) -> DataFrame:
     line = F.when(F.instr(F.col("text"), "\n") > 0,
                   F.to_json(F.struct("system_prompt", "question", "response"))).otherwise(F.col("text"))
     return (t.select("doc_id", "source", line.alias("value"))
-             .withColumn("parsed", F.try_parse_json("value")))
+             .withColumn("parsed", parse_json("value")))
 
 
 def q_clean_outcomes(spark, sf):
@@ -246,16 +247,20 @@ def q_oversample_fractional(spark, sf):
     return over.join(frac, ["source", "copy"], "left_semi").select("source", "doc_id", "copy")
 
 
-def mixed_split(spark, sf) -> DataFrame:
+def mixed_ids(spark, sf) -> DataFrame:
+    """(source, doc_id, copy) of the mixed corpus."""
     cfg = doc_sampling_config(spark, sf)
     raw = doc_triples(spark, sf)
     convert = lambda r: C.convert_triples(r, default_system=DEFAULT_SYSTEM)
     # rows that failed conversion still take cap slots, then fail validation;
     # messages are built only for rows that survive the caps
     light = read_table(spark, sf, "documents").select("doc_id", "source")
-    mixed = M.mix_sources(raw, cfg, "doc_id", SEED, prepare=convert, light=light)
+    return M.mix_sources(raw, cfg, "doc_id", SEED, prepare=convert, light=light)
+
+
+def mixed_split(spark, sf) -> DataFrame:
     key = M.seeded_key(SEED, "source", "doc_id", "copy")
-    return M.exact_split(mixed, key, ["source", "doc_id", "copy"])
+    return M.exact_split(mixed_ids(spark, sf), key, ["source", "doc_id", "copy"])
 
 
 def q_mix_split(spark, sf):
@@ -446,7 +451,7 @@ def q_required_fields(spark, sf):
     e = read_table(spark, sf, "events").select(F.col("event_type").alias("name"), F.col("event_id").alias("seq"),
                                        F.col("props").alias("value"))
     contracts = spark.createDataFrame(EVENT_CONTRACTS, "name string, required array<string>")
-    return required_key_check(e, contracts, sample=FIELD_SAMPLE_LINES).select("name", "lines_checked", "first_failing_line",
+    return required_key_check(e, contracts).select("name", "lines_checked", "first_failing_line",
                                                    "missing_field", "passed")
 
 
@@ -454,14 +459,13 @@ def q_file_verdicts(spark, sf):
     """Each document source as a JSON-lines file (the triple shape): parse
     check, field contract, line count against the documents per source,
     verdict."""
-    from ..operators.verify import PARSE_SAMPLE_LINES, line_verdicts
+    from ..operators.verify import line_verdicts
     lines = doc_json_lines(spark, sf).select(F.col("source").alias("name"), F.col("doc_id").alias("seq"), "value")
     contracts = (lines.select("name").distinct()
                  .withColumn("required", F.array(*[F.lit(k) for k in ("system_prompt", "question", "response")])))
     expected = (read_table(spark, sf, "documents").groupBy(F.col("source").alias("name"))
                 .agg(F.count(F.lit(1)).alias("num_examples")))
-    v = line_verdicts(lines, contracts, "name", "seq", "value", expected,
-                      parse_sample=PARSE_SAMPLE_LINES, field_sample=FIELD_SAMPLE_LINES)
+    v = line_verdicts(lines, contracts, "name", "seq", "value", expected)
     return v.select("name", "line_count", "first_bad_line", "parse_ok", "fields_ok", "missing_field", "fields_line",
                     "count_ok", "passed")
 
@@ -511,13 +515,11 @@ def q_benchmark_prompts(spark, sf):
 
 
 def q_choice_details(spark, sf):
-    """Stored detail rows: the first 100 graded items (the detail limit is
-    the feature), question text cut to 80 code points."""
+    """Detail rows of every graded item, with the whole question text."""
     g = graded_choices(spark, sf).join(read_table(spark, sf, "events").select(F.col("event_id").alias("item_id"), "props"),
                                        "item_id")
-    top = g.orderBy("item_id").limit(S.MMLU_DETAIL_ROWS)
-    return top.select("item_id", F.substring("props", 1, 80).alias("question"), "subject", "ground_truth",
-                      "predicted", "correct")
+    return S.detail_rows(g, {"item_id": F.col("item_id"), "question": F.col("props"), "subject": F.col("subject"),
+                             "ground_truth": F.col("ground_truth"), "predicted": F.col("predicted"), "correct": F.col("correct")})
 
 
 def q_markdown_report(spark, sf):

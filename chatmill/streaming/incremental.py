@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.chat import content_hash
 from ..operators.convert import DEFAULT_SYSTEM, convert_parsed, convert_triples
 from ..session import scratch_path
+from ..sources.jsonl import parse_json
 
 
 def clean_stream(lines: DataFrame, shape: str, source: str, default_system: str = DEFAULT_SYSTEM,
@@ -30,7 +31,7 @@ def clean_stream(lines: DataFrame, shape: str, source: str, default_system: str
     they arrive within that window of each other (state older than the
     watermark is evicted).  Without it every key is kept in state forever,
     which is exact but grows with the corpus."""
-    parsed = lines.select(F.lit(source).alias("source"), F.try_parse_json("value").alias("parsed"),
+    parsed = lines.select(F.lit(source).alias("source"), parse_json("value").alias("parsed"),
                           F.col("_metadata.file_modification_time").alias("arrived"))
     conv = convert_parsed(parsed.filter(F.col("parsed").isNotNull()), shape, default_system=default_system)
     keyed = conv.filter(F.col("messages").isNotNull()).withColumn("content_key", content_hash("messages"))

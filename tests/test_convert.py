@@ -88,5 +88,15 @@ def test_content_key_ignores_system_and_uses_prefix(spark):
     a = [("system", "one"), ("user", "u" * 250), ("assistant", "a" * 10)]
     b = [("system", "two"), ("user", "u" * 200 + "DIFFERENT"), ("assistant", "a" * 10)]
     df = spark.createDataFrame([(a,), (b,)], "messages array<struct<role:string,content:string>>")
-    keys = [r[0] for r in df.select(content_key("messages")).collect()]
-    assert keys[0] == keys[1] == "user:" + "u" * 200 + "|assistant:" + "a" * 10
+    cut = [r[0] for r in df.select(content_key("messages", prefix_chars=200)).collect()]
+    assert cut[0] == cut[1] == "user:200:" + "u" * 200 + "|assistant:10:" + "a" * 10
+    whole = [r[0] for r in df.select(content_key("messages")).collect()]
+    assert whole[0] == "user:250:" + "u" * 250 + "|assistant:10:" + "a" * 10 != whole[1]
+
+
+def test_content_key_tells_turns_from_text_that_looks_like_turns(spark):
+    a = [("user", "x"), ("user", "y|user:1:z")]
+    b = [("user", "x"), ("user", "y"), ("user", "z")]
+    c = [("user", "x|user:1:y"), ("user", "z")]
+    df = spark.createDataFrame([(a,), (b,), (c,)], "messages array<struct<role:string,content:string>>")
+    assert len({r[0] for r in df.select(content_key("messages")).collect()}) == 3

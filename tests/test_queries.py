@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from chatmill.plans.queries import QUERIES
+from chatmill.plans.catalog import QUERIES
 from chatmill.sources.tables import TABLES
 
 from .conftest import SF0001
