@@ -7,13 +7,11 @@ inside a group, tokens whose bytes overlap are linked.
 What a byte range of a text says is a fragment: the tokens up to the first
 common end (open on the left), the closed groups, the tokens after the last
 common end (open on the right).  Fragments compose associatively: the open
-suffix of one and the open prefix of the next make a group.  Both tokenizers
-cut before a lone space between two other characters, so words are fragments
-that many texts share; a worker keeps those it has met in a bounded cache,
-which changes the speed only.  A text of more than ``CHUNK`` bytes is dealt in
-byte ranges to Spark tasks, and a tree reduction composes their open ends; the
-closed groups stay where they are and are read once more, in order, for the
-digest.
+suffix of one and the open prefix of the next make a group.  A text of more
+than ``CHUNK`` characters is dealt in byte ranges to Spark tasks (cut before a
+lone space between two other characters, where both tokenizers begin anew), and
+a tree reduction composes their open ends; the closed groups stay where they
+are and are read once more, in order, for the digest.
 
 How often two ids are linked is counted over all texts.  These counts are
 bounded by the two vocabularies; they are dealt by B's ids into slices of at
@@ -24,7 +22,6 @@ written links.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -38,14 +35,14 @@ from pyspark.sql import functions as F
 from .bpe import byte_alphabet, file_tokenizer
 from .common import map_arrow, staged
 
-CHUNK = 1 << 17
-CACHE_UNITS = 100_000
-#: characters of the longest word that is kept in the cache
-CACHED_CHARS = 100
+CHUNK = 1 << 16
+#: the pattern by which byte-level BPE cuts a text into words
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: characters without a space that are no word
+LONG_WORD = 4096
 #: fragments composed by one step of the tree reduction
 FAN = 16
 SLICE_PAIRS = 1 << 22
-_SPACES = re.compile(r"\s |^\s| \s|\s\Z| \Z")
 #: a place where both tokenizers cut: a lone space between characters that are no white space
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -132,77 +129,96 @@ def closed(groups: Iterable[tuple[Tokens, Tokens]], width: int) -> Closed:
                   ";".join([group_text(a, b) for a, b in groups]).encode(), np.array(links, "<u4").tobytes())
 
 
-def units(text: str) -> list[str]:
-    """``text``, which begins with a space, cut where both tokenizers cut."""
-    rest = text[1:]
-    if not _SPACES.search(rest):
-        return [" " + w for w in rest.split(" ")]
-    ends = [m.start() for m in _CUT.finditer(text)]
-    return [text[s:e] for s, e in zip([0, *ends], [*ends, len(text)])]
-
-
 class Aligner:
-    """Both tokenizers, and the words met of late."""
+    """Both tokenizers.  A's file is read by the tokenizers library; tiktoken
+    encodes by its vocabulary, whose ids are the merges' ranks, in a third of
+    the time.  It takes square time for a word without an end, so texts with
+    one stay with the library."""
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
 
-        self.a = file_tokenizer(a_path)
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.a_library = file_tokenizer(a_path)
         of = {c: n for n, c in enumerate(byte_alphabet())}
-        self.a_bytes = {i: bytes(of[c] for c in t) if all(c in of for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        own = {i: bytes(of[c] for c in t) for t, i in self.a_library.get_vocab().items() if all(c in of for c in t)}
+        special = {i for i, t in self.a_library.get_added_tokens_decoder().items() if t.special}
+        ranks = {t: i for i, t in own.items() if i not in special}
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.width = self.b.get_piece_size()
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.width)))]
-        self.cache: dict[str, Closed | None] = {}
-        self.old: dict[str, Closed | None] = {}
-
-    def tokens(self, words: list[str]) -> Iterator[tuple[Tokens, Tokens] | None]:
-        """Of each word (a space first) the tokens of A and of B; None if either's bytes are not the word's."""
-        for at in range(0, len(words), 10_000):
-            some = words[at:at + 10_000]
-            a_ids = [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
-            b_ids = self.b.encode([w[1:] for w in some], num_threads=1)
-            for word, x, y in zip(some, a_ids, b_ids):
-                xs, ys, data = [self.a_bytes[i] for i in x], [self.b_bytes[i] for i in y], word.encode()
-                same = b"".join(xs) == data and b"".join(ys) == data
-                yield (list(zip(x, map(len, xs))), list(zip(y, map(len, ys)))) if same else None
-
-    def _new(self, words: list[str]) -> dict[str, Closed | None]:
-        out, rest = {}, []
-        for w in words:
-            if w in self.old:
-                out[w] = self.old[w]
-            else:
-                rest.append(w)
-        for w, pair in zip(rest, self.tokens(rest)):
-            if pair is None:
-                out[w] = None
-            else:
-                f, groups = fragment(*pair)
-                out[w] = closed([f.first, *groups], self.width)  # a word begins and ends at common ends
+        self.a_sizes = np.zeros(max(own) + 1, np.int64)
+        self.a_sizes[list(own)] = [len(t) for t in own.values()]
+        self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
+        # an id as text, with what may follow it in the text of the groups: 8 bytes each, and how many of them count
+        self.n_a_texts = 2 * len(self.a_sizes)  # two forms of each id of A, then three of B's
+        texts = [f"{i}{end}".encode() for i in range(len(self.a_sizes)) for end in ",|"] + [f"{i}{end}".encode() for i in range(self.width) for end in (",", ";", "")]
+        self.text = np.array(texts, "S8").view(np.uint64)
+        self.text_sizes = np.array([len(t) for t in texts], np.int64)
+
+    def _a_ids(self, text: str) -> np.ndarray:
+        if max(map(len, text.split(" "))) < LONG_WORD and " " * LONG_WORD not in text:
+            return np.array(self.a.encode_ordinary(text), "<u4")
+        return np.array(self.a_library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Of each text (a space first, and more) the ids of A and of B; None if the bytes differ."""
+        out = []
+        for text, y in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1)):
+            data, x = text.encode(), self._a_ids(text)
+            # A has a token for each byte and splits tokens only, so the number of its bytes tells
+            same = int(self.a_sizes[x].sum()) == len(data) and b"".join(map(self.b_bytes.__getitem__, y)) == data
+            out.append((x, np.array(y, "<u4")) if same else None)
         return out
 
+    def tokens(self, text: str) -> tuple[Tokens, Tokens] | None:
+        pair = self.ids([text])[0]
+        return pair and tuple(list(zip(x.tolist(), sizes[x].tolist())) for x, sizes in zip(pair, (self.a_sizes, self.b_sizes)))
+
     def align(self, texts: list[str]) -> list[Closed | None]:
-        """Of each text (a space first, and more) its groups; None if the bytes differ."""
-        if len(self.cache) > CACHE_UNITS:
-            self.cache, self.old = {}, self.cache
-        cut = [units(t) for t in texts]
-        found = [list(map(self.cache.get, u)) for u in cut]
-        new = {w for u, g in zip(cut, found) if None in g for w, x in zip(u, g) if x is None and w not in self.cache}
-        if new:
-            met = self._new(list(new))
-            self.cache.update((w, c) for w, c in met.items() if len(w) <= CACHED_CHARS and c is not None)
-            found = [[met.get(w) if x is None else x for w, x in zip(u, g)] if None in g else g for u, g in zip(cut, found)]
-        out = []
-        for g in found:
-            if None in g:
-                out.append(None)
-            else:
-                n_a, n_b, n_groups, text, links = zip(*g)
-                out.append(Closed(sum(n_a), sum(n_b), sum(n_groups), b";".join(text), b"".join(links)))
-        return out
+        """Of each text (a space first, and more) its groups; None if the bytes
+        differ.  Texts end at common ends, so they are aligned as one: each
+        stretch between neighbouring ends of either tokenizer is one link, and
+        the ends of both are the groups."""
+        pairs = self.ids(texts)
+        whole = [p for p in pairs if p is not None]
+        if not whole:
+            return [None] * len(texts)
+        a, b = (np.concatenate([p[k] for p in whole]) for k in (0, 1))
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        total = int(a_ends[-1]) + 1
+        # by byte: whether a token of A, of B, of both ends there, and how many did before
+        a_here, b_here = np.zeros(total, bool), np.zeros(total, bool)
+        a_here[a_ends], b_here[b_ends] = True, True
+        both = a_here & b_here
+        ends, common = np.flatnonzero(a_here | b_here), np.flatnonzero(both)
+        a_before, b_before, groups_before = (np.cumsum(x, dtype=np.int32) - x for x in (a_here, b_here, both))
+        links = a[a_before[ends]] * np.uint32(self.width) + b[b_before[ends]]
+
+        # tokens in the order of the text: a group's of A, then its of B
+        a_cuts, b_cuts = a_before[common] + 1, b_before[common] + 1  # tokens up to each group's end
+        a_upto, b_upto = (np.cumsum([len(p[k]) for p in whole]) for k in (0, 1))
+        a_code, b_code = a.astype(np.int64) * 2, self.n_a_texts + b.astype(np.int64) * 3
+        a_code[a_cuts - 1] += 1
+        b_code[b_cuts - 1] += 1
+        b_code[b_upto - 1] += 1
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.r_[0, b_cuts][groups_before[a_ends]]] = a_code
+        order[np.arange(len(b)) + a_cuts[groups_before[b_ends]]] = b_code
+        sizes = self.text_sizes[order]
+        text = self.text[order].view(np.uint8).reshape(-1, 8)[np.arange(8) < sizes[:, None]].tobytes()
+        text_upto = np.cumsum(sizes)[a_upto + b_upto - 1]
+
+        stops = a_ends[a_upto - 1]
+        group_upto, link_upto = groups_before[stops] + 1, np.searchsorted(ends, stops, "right")
+        out, (i, j, k, m, t) = [], (0, 0, 0, 0, 0)
+        for i2, j2, k2, m2, t2 in zip(*(x.tolist() for x in (a_upto, b_upto, group_upto, link_upto, text_upto))):
+            out.append(Closed(i2 - i, j2 - j, k2 - k, text[t:t2], links[m:m2].tobytes()))
+            i, j, k, m, t = i2, j2, k2, m2, t2
+        done = iter(out)
+        return [None if p is None else next(done) for p in pairs]
 
 
 def pieces_of(b_path: str) -> int:
@@ -291,10 +307,9 @@ def _second_pass(a_path: str, b_path: str):
         own = aligner(a_path, b_path)
         for batch in batches:
             for row, part, data in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                pairs = list(own.tokens(units(data.decode())))
-                same = None not in pairs
-                f, groups = fragment([t for a, _ in pairs for t in a], [t for _, b in pairs for t in b]) if same else (Fragment(True, ([], []), ([], [])), [])
-                yield _table([(row, part, part, f.cut, *_pack(f.first), *_pack(f.last), same, True, *closed(groups, own.width))], _FRAGMENT)
+                pair = own.tokens(data.decode())
+                f, groups = fragment(*pair) if pair else (Fragment(True, ([], []), ([], [])), [])
+                yield _table([(row, part, part, f.cut, *_pack(f.first), *_pack(f.last), pair is not None, True, *closed(groups, own.width))], _FRAGMENT)
 
     return run
 

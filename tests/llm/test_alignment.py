@@ -84,7 +84,7 @@ def test_documents(spark, libraries):
 
 
 ODD = ["", None, " ", "  ", "\n", "a", " a", "a ", "a  b", "a   b\t c\n\n d ", "tab\tone ▁ two", "x▁y", "été \U0001f600\U0001f468‍\U0001f469 ﬁ Ⅷ",
-       "<|endoftext|> <s> </s> <0x41> <unk>", "nul\x00 byte", "\x1c \x85 \xa0 x 　y", "it's they'll 've 123456 12,345.67", "w" * 3000, "ab " * 2000, "same text", "same text"]
+       "<|endoftext|> <s> </s> <0x41> <unk>", "nul\x00 byte", "\x1c \x85 \xa0 x 　y", "it's they'll 've 123456 12,345.67", "w" * 3000, "w" * 9000, "\n" * 5000 + "x", " " * 5000 + "x", "x" + " \t" * 3000, "ab " * 2000, "same text", "same text"]
 
 
 @pytest.mark.parametrize("chunk,slice_pairs", [(1 << 17, 1 << 22), (40, 1 << 22), (8, 50)])
