@@ -31,8 +31,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 MAX_REPEATS = 3
 #: a source may miss its target by this part; less is not worth another pass
 TOLERANCE = 0.001
-#: the plan has one row for each membership pattern and lies in the driver
-MAX_PATTERNS = 1_000_000
+#: the plan has one row for each membership pattern; it lies in the driver and is broadcast
+MAX_PATTERNS = 100_000
 
 Source = tuple[bool, str]  # (no name, name): names by code point, then the documents without a source
 
@@ -142,7 +142,7 @@ def _plan_rows(patterns: list[Pattern]) -> list[tuple]:
 def _placed(rows: DataFrame, patterns: list[Pattern]) -> DataFrame:
     """Rows with their bucket, and ``extra``: whether the rest of the last cut was filled with them."""
     plan = rows.sparkSession.createDataFrame(_plan_rows(patterns), _PLAN)
-    rows = rows.join(plan, "pid").withColumn("bucket", F.pmod("key", "buckets").cast("int"))
+    rows = rows.join(F.broadcast(plan), "pid").withColumn("bucket", F.pmod("key", "buckets").cast("int"))
     before = F.exists("cuts", lambda c: F.struct(F.col("last_layer").alias("layer"), "bucket", "key") <= c["at"])
     filled = F.exists("fills", lambda f: (F.col("size") <= f["need"]) & (F.struct("bucket", "key") <= f["at"]))
     return rows.withColumn("extra", ~before & filled).withColumn("within", before)
@@ -158,7 +158,7 @@ def _cut(rows: DataFrame, needs: DataFrame) -> list:
     sums = sums.withColumn("upto", ahead).withColumn("before", F.col("upto") - F.col("words"))
     # the bucket the cut falls into; the last one if the cut is past the end
     last = F.max("upto").over(Window.partitionBy("pid"))
-    hit = (sums.withColumn("all", last).join(needs, "pid")
+    hit = (sums.withColumn("all", last).join(F.broadcast(needs), "pid")
            .filter((F.col("before") < F.col("need")) & ((F.col("upto") >= F.col("need")) | (F.col("upto") == F.col("all")) & (F.col("words") > 0)))
            .select("pid", "cut", "need", "bucket", "before"))
     hit = staged(hit, "mix-buckets")
@@ -219,7 +219,7 @@ def mix(docs: DataFrame, members: Column, weight_of: Callable[[int], float], rep
 
     schema = "pid int, members array<struct<none:boolean,name:string>>"
     pids = spark.createDataFrame([(i, r["members"]) for i, r in enumerate(found)], schema)
-    rows = light.join(pids, "members")
+    rows = light.join(F.broadcast(pids), "members")
 
     # where each source's share of a pattern ends
     needs = []
@@ -249,7 +249,7 @@ def mix(docs: DataFrame, members: Column, weight_of: Callable[[int], float], rep
                 else:
                     p.over, p.gap = p.gap, 0  # nothing fits any more
     asked = spark.createDataFrame([(i, 2 * p.over) for i, p in enumerate(patterns) if p.over], "pid int, under long")
-    least = _placed(rows, patterns).filter("NOT within AND NOT extra").join(asked, "pid").filter("size < under").groupBy("pid").agg(F.min(F.struct("size", "bucket", "key")).alias("least"))
+    least = _placed(rows, patterns).filter("NOT within AND NOT extra").join(F.broadcast(asked), "pid").filter("size < under").groupBy("pid").agg(F.min(F.struct("size", "bucket", "key")).alias("least"))
     for r in least.collect() if any(p.over for p in patterns) else []:
         patterns[r["pid"]].fills.append((r["least"]["size"], r["least"]["bucket"], r["least"]["key"]))
 
@@ -269,4 +269,4 @@ def mixed_documents(docs: DataFrame, source: str = "source", weights: Sequence[f
     table = docs.sparkSession.createDataFrame(of, "none boolean, name string, source_size long, target double")
     own = F.col("members")[0]
     rows = found.rows.withColumn("none", own["none"]).withColumn("name", own["name"])
-    return rows.join(table, ["none", "name"]).select("doc_id", "size", "source_size", "target", "taken")
+    return rows.join(F.broadcast(table), ["none", "name"]).select("doc_id", "size", "source_size", "target", "taken")
