@@ -8,15 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import sql
 from ..functions.chat import messages_fingerprint
 from ..operators import convert as C
 from ..operators import tokens as TK
 from ..operators.quantiles import exact_quantiles
 from ..operators.shuffle import prefix_split, shuffled
 from ..session import scratch_path, write_once
+from ..sources.digest import merged, split_digests
+from ..sources.ingest import capped_scan
 from ..sources.jsonl import number_lines, parse_json, read_lines
 from ..sources.registry import TRAIN_RATIO
-from .queries import DEFAULT_SYSTEM, MAX_LEN, SEED, doc_triples, mixed_ids, mixed_split
+from ..sources.tables import read_table
+from .queries import DEFAULT_SYSTEM, MAX_LEN, SEED, doc_triples, event_choices, mixed_ids, mixed_split, order_numeric
 
 # --- shuffled output ----------------------------------------------------------
 
@@ -116,9 +120,59 @@ def q_length_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return totals.join(quantiles, "split").select("split", "examples", "total_tokens", "longest", "examples_cut", F.round("median", 6).alias("median"), F.round("p95", 6).alias("p95"))
 
 
+# --- ingest and integrity ---------------------------------------------------------------
+
+def q_capped_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """First rows of every source in stream order, by caps of very different
+    size: none for src0, 25, 1,001 and 500,000 for the next, 7 for the rest."""
+    cap = (F.when(F.col("source") == "src0", F.lit(None).cast("long")).when(F.col("source") == "src1", F.lit(25)).when(F.col("source") == "src2", F.lit(1001))
+           .when(F.col("source") == "src3", F.lit(500_000)).otherwise(F.lit(7)))
+    kept = capped_scan(spark, f"{sf.rstrip('/')}/documents.parquet", ["source"], cap, ["doc_id", "source", "text"])
+    return kept.select("doc_id", "source", F.md5("text").alias("text_md5"))
+
+
+def q_dataset_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """Digest of every source's documents written as lines of text files: which
+    lines, how often, in which order."""
+    path = scratch_path(spark, "digest-lines")
+    one_line = F.concat(F.col("doc_id").cast("string"), F.lit(" "), F.translate(F.coalesce("text", F.lit("")), "\n\r", "  "))
+    rows = read_table(spark, sf, "documents").select("doc_id", "source", one_line.alias("value"))
+    rows.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id").select("source", "value").write.partitionBy("source").text(path)
+    splits = split_digests(spark, path).withColumn("source", F.regexp_extract("file", "/source=([^/]+)/", 1))
+    return merged(splits, ["source"]).select("source", F.col("n").cast("long").alias("n_lines"), "digest")
+
+
+# --- SQL functions ------------------------------------------------------------------------
+
+def q_sql_quality_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """The quality filter as a query in SQL."""
+    sql.register(spark, "cm_")
+    return spark.sql("""
+        WITH n AS (SELECT doc_id, cm_normalize_text(text) AS t FROM {documents})
+        SELECT doc_id, length(t) AS norm_length, cm_alnum_count(t) AS alnum_chars,
+               cm_content_key(array(named_struct('role', 'user', 'content', t))) AS content_key
+        FROM n WHERE cm_is_valid_content(t)""", documents=read_table(spark, sf, "documents"))
+
+
+def q_sql_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers read from free text in SQL: the chosen letter of each event's
+    response, and the number of each order's."""
+    sql.register(spark, "cm_")
+    _, choices = event_choices(spark, sf)
+    gold, numbers = order_numeric(spark, sf)
+    return spark.sql("""
+        SELECT 'choice' AS kind, item_id, CAST(cm_choice_answer(response) AS DOUBLE) AS answer FROM {choices}
+        UNION ALL SELECT 'gold', item_id, cm_numeric_answer(answer) FROM {gold}
+        UNION ALL SELECT 'number', item_id, cm_numeric_answer(response) FROM {numbers}""", choices=choices, gold=gold, numbers=numbers)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shuffled_order": q_shuffled_order,
     "json_lines_scan": q_json_lines_scan,
     "clean_mixed": q_clean_mixed,
     "length_quantiles": q_length_quantiles,
+    "capped_scan": q_capped_scan,
+    "dataset_digest": q_dataset_digest,
+    "sql_quality_filter": q_sql_quality_filter,
+    "sql_answers": q_sql_answers,
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from ..functions.text import NON_ALNUM_RE
 from ..operators.shuffle import MULTIPLIER, PRIME, round_keys
+from ..sources.digest import PRIME as PRIME_61
 from . import queries as Q
-from .oracle import CONFIG, DEF, RS, SPLIT, TRIPLES, US, norm, ntok, valid
+from .oracle import CHOICES, CONFIG, DEF, NUMERIC, RS, SPLIT, TRIPLES, US, extract_num, norm, ntok, valid
 
 SQL: dict[str, str] = {}
 
@@ -61,3 +63,30 @@ t AS (SELECT doc_id, {ntok("CASE WHEN s_ok THEN s ELSE " + DEF + " END")} + {nto
 SELECT split, count(*) AS examples, CAST(sum(n_tokens) AS BIGINT) AS total_tokens, max(n_tokens) AS longest,
        count(*) FILTER (WHERE n_tokens > {Q.MAX_LEN}) AS examples_cut, round(quantile_cont(n_tokens, 0.5), 6) AS median, round(quantile_cont(n_tokens, 0.95), 6) AS p95
 FROM splitted JOIN t USING (doc_id) GROUP BY split"""
+
+SQL["capped_scan"] = """
+SELECT doc_id, source, md5(text) AS text_md5 FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn,
+         CASE source WHEN 'src0' THEN NULL WHEN 'src1' THEN 25 WHEN 'src2' THEN 1001 WHEN 'src3' THEN 500000 ELSE 7 END AS cap FROM documents)
+WHERE cap IS NULL OR rn <= cap"""
+
+_P = f"{PRIME_61}::HUGEINT"
+
+SQL["dataset_digest"] = f"""
+WITH l AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i,
+                  CAST('0x' || substr(md5('line:' || doc_id || ' ' || translate(coalesce(text, ''), chr(10) || chr(13), '  ')), 1, 15) AS BIGINT)::HUGEINT AS d
+           FROM documents)
+SELECT source, count(*) AS n_lines,
+       concat_ws('-', count(*), CAST(sum(d % {_P}) AS HUGEINT) % {_P}, CAST(sum(i * d % {_P}) AS HUGEINT) % {_P}) AS digest
+FROM l GROUP BY source"""
+
+SQL["sql_quality_filter"] = f"""
+WITH n AS (SELECT doc_id, {norm('text')} AS t FROM documents)
+SELECT doc_id, length(t) AS norm_length, length(regexp_replace(t, '{NON_ALNUM_RE}', '', 'g')) AS alnum_chars,
+       sha256('user:' || length(t) || ':' || t) AS content_key FROM n WHERE {valid('t')}"""
+
+SQL["sql_answers"] = f"""
+WITH {CHOICES}, {NUMERIC}
+SELECT 'choice' AS kind, item_id, CAST(pidx AS DOUBLE) AS answer FROM chgraded
+UNION ALL SELECT 'gold', item_id, ground_truth FROM numgraded
+UNION ALL SELECT 'number', item_id, {extract_num('response')} FROM pred"""

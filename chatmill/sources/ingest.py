@@ -5,30 +5,89 @@ so only paths and lengths are read."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import write_once
+
 # --- fixed values: search order of raw categories, inventory ignore list -----
 RAW_CATEGORY_ORDER = ["instruction", "coding", "math", "evaluation"]
 IGNORE_PATTERNS_RE = r"(\.pyc$|/__pycache__/|\.log$|/\.DS_Store$)"
 # ---------------------------------------------------------------------------
 
 
+#: rows that one entry of the row-count index stands for
+UNIT_ROWS = 1 << 16
+#: files named one by one to the scan; beyond that the index join drops the others' rows
+NAMED_FILES = 10_000
+
+
+def first_of_partitions(df: DataFrame, groups: list[str], order: str, limit: Column) -> DataFrame:
+    """The rows that are among the first ``limit`` of their group within
+    their input partition.  Under a literal limit Spark keeps no more than that
+    while it reads."""
+    near = df.withColumn("_cm_part", F.spark_partition_id())
+    local = F.row_number().over(Window.partitionBy("_cm_part", *groups).orderBy(order))
+    return near.withColumn("_cm_rn", local).filter(F.col("_cm_rn") <= limit).drop("_cm_rn", "_cm_part")
+
+
 def capped_ingest(df: DataFrame, groups: list[str], order: str, cap) -> DataFrame:
     """First ``cap`` rows per group in stream order (not a random sample).
 
     ``cap`` is an int, or a column name holding a per-group cap (NULL = all
     rows).  NULL is a group like any other; ``order`` may be any orderable
     column.  Rows are ranked within each input partition first and those past
-    the cap dropped there, so a hot group is spread over as many tasks as it
-    came from, and only survivors meet for the final rank.
+    the cap dropped there.  The survivors are dealt by ranges of (group,
+    order) and ranked inside their range; counts of the ranges before give the
+    rest, so no task holds a hot group, whatever the cap.  Groups without a cap
+    are not ranked at all.
     """
     limit = F.lit(cap) if isinstance(cap, int) else F.col(cap)
-    within = limit.isNull() | (F.col("_cm_rn") <= limit)
-    out = df.withColumn("_cm_part", F.spark_partition_id())
-    for keys in (["_cm_part", *groups], groups):
-        out = out.withColumn("_cm_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter(within)
-    return out.drop("_cm_rn", "_cm_part")
+    keys = F.struct(F.lit(0).alias("_cm_one"), *groups)
+    out = df.withColumn("_cm_cap", limit.cast("long"))
+    near = first_of_partitions(out.filter(F.col("_cm_cap").isNotNull()), groups, order, limit)
+    ranged = (near.repartitionByRange(*groups, order).sortWithinPartitions(*groups, order)
+              .withColumn("_cm_row", F.monotonically_increasing_id()).withColumn("_cm_group", keys))
+    ranged = write_once(ranged.withColumn("_cm_range", F.shiftright("_cm_row", 33)), "capped-rows")  # ranges are sampled: one evaluation
+    counts = ranged.groupBy("_cm_group", "_cm_range").agg(F.count(F.lit(1)).alias("_cm_n"), F.min("_cm_row").alias("_cm_first"))
+    earlier = Window.partitionBy("_cm_group").orderBy("_cm_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = counts.withColumn("_cm_before", F.coalesce(F.sum("_cm_n").over(earlier), F.lit(0)))
+    ranked = ranged.join(counts, ["_cm_group", "_cm_range"]).filter(F.col("_cm_before") + F.col("_cm_row") - F.col("_cm_first") < F.col("_cm_cap"))
+    return ranked.select(*df.columns).unionByName(out.filter(F.col("_cm_cap").isNull()).select(*df.columns))
+
+
+def capped_scan(spark: SparkSession, path: str, groups: list[str], cap: Column, columns: list[str] | None = None, unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """First rows of each group of a Parquet dataset in stream order (files by
+    path, rows as they stand in the file), as many as ``cap`` says (a column of
+    the group's values; NULL = all rows), stopping early.
+
+    A row-count index is made first: rows of each group per ``unit_rows`` rows
+    of a file, read from the group columns alone (from the footers alone if
+    there are none).  Prefix sums over it tell which units lie whole within a
+    cap and which one holds its end.  Only files with such units are opened for
+    the other columns, and only the units that hold an end are ranked, each by
+    itself.  Rows read are bounded by the caps plus what else the last unit's
+    file holds."""
+    def rows():
+        return spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_cm_file"), F.col("_metadata.row_index").alias("_cm_row"))
+
+    unit = F.call_function("div", F.col("_cm_row"), F.lit(unit_rows)).alias("_cm_unit")
+    keys = F.struct(F.lit(0).alias("_cm_one"), *groups)
+    index = (rows().select(keys.alias("_cm_group"), cap.cast("long").alias("_cm_cap"), "_cm_file", unit)
+             .groupBy("_cm_group", "_cm_cap", "_cm_file", "_cm_unit").agg(F.count(F.lit(1)).alias("_cm_n")))
+    upto = F.sum("_cm_n").over(Window.partitionBy("_cm_group").orderBy("_cm_file", "_cm_unit"))  # one row per unit
+    index = index.withColumn("_cm_before", upto - F.col("_cm_n"))
+    index = index.filter(F.col("_cm_cap").isNull() | (F.col("_cm_before") < F.col("_cm_cap")))
+    index = write_once(index.withColumn("_cm_whole", F.col("_cm_cap").isNull() | (F.col("_cm_before") + F.col("_cm_n") <= F.col("_cm_cap"))), "row-index")
+    files = [r[0] for r in index.select("_cm_file").distinct().limit(NAMED_FILES + 1).collect()]
+    wanted = rows().select(*(columns or spark.read.parquet(path).columns), keys.alias("_cm_group"), "_cm_file", "_cm_row", unit)
+    if len(files) <= NAMED_FILES:  # a filter on the path prunes files before they are opened
+        wanted = wanted.filter(F.col("_cm_file").isin(files)) if files else wanted.limit(0)
+    joined = wanted.join(index, ["_cm_group", "_cm_file", "_cm_unit"])
+    own = [c for c in wanted.columns if not c.startswith("_cm_")]
+    place = F.row_number().over(Window.partitionBy("_cm_group", "_cm_file", "_cm_unit").orderBy("_cm_row"))
+    ends = joined.filter(~F.col("_cm_whole")).withColumn("_cm_rn", place).filter(F.col("_cm_before") + F.col("_cm_rn") <= F.col("_cm_cap"))
+    return joined.filter("_cm_whole").select(*own).unionByName(ends.select(*own))
 
 
 def head(df: DataFrame, order: str, max_samples: int | None) -> DataFrame:
