@@ -22,10 +22,11 @@ from .operators import tokens as TK
 from .operators.convert import CONVERTERS, DEFAULT_SYSTEM
 from .operators.convert import convert_mixed, shape_of
 from .operators.dedup import keep_first
-from .operators.outcomes import outcome_counts_single_pass, outcome_summary
+from .operators.outcomes import outcome_summary
 from .operators.verify import verdicts, verify_files
-from .session import materialize, write_once
+from .session import materialize, scratch_path, write_once
 from .sinks import writers as W
+from .sinks.observed import counts_table, write_counted
 from .sources import ingest as I
 from .sources.jsonl import MESSAGES_ROW, empty_like, messages_from_json, read_lines
 from .sources.registry import (MAX_SEQ_LENGTH, RANDOM_SEED, SAMPLING_PROFILES, TRAIN_RATIO, TRAINING_SOURCES,
@@ -72,16 +73,26 @@ def clean_job(spark: SparkSession, raw_root: str, out_dir: str, sources: list[st
         conv = convert_mixed(lines, shape_of(F.col("source")), default_system=default_system)
         keyed = (conv.select("source", "seq", F.col("parsed").isNull().alias("parse_failed"), "messages")
                      .withColumn("content_key", F.when(F.col("messages").isNotNull(), content_hash("messages"))))
-        # every line is parsed, converted and keyed once; metrics and rows
-        # are both read from this checkpoint
-        keyed = materialize(keyed)
-        counts = outcome_counts_single_pass(keyed, parse_failed=F.col("parse_failed"))
+        # every line is parsed, converted and keyed once; the counts are taken while these rows and the kept ones are written
+        path = scratch_path(spark, "keyed-lines")
+        listed = list(paths)
+        read = write_counted(keyed, lambda d: d.write.parquet(path), "source", listed, {
+            "input": F.lit(True), "parse_error": F.col("parse_failed"), "conversion_failed": ~F.col("parse_failed") & F.col("messages").isNull()})
+        keyed = spark.read.schema(keyed.schema).parquet(path)
         kept = keep_first(keyed.filter(F.col("content_key").isNotNull()), ["source", "content_key"], "seq")
-        W.write_cleaned(kept, f"{out_dir}/cleaned")
+        written = write_counted(kept, lambda d: W.write_cleaned(d, f"{out_dir}/cleaned"), "source", listed, {"output": F.lit(True)})
+        rows = []
+        for name in listed:
+            n, output = read[name], written[name]["output"]
+            dropped = n["input"] - output
+            if n["input"]:
+                rows.append((name, n["input"], output, n["parse_error"], n["conversion_failed"], dropped - n["parse_error"] - n["conversion_failed"], dropped))
+        counts = spark.createDataFrame(rows, counts_schema)
     else:
         counts = spark.createDataFrame([], counts_schema)
+    summary = outcome_summary(counts)
     st = spark.createDataFrame(list(status.items()), "source string, status string")
-    summary = outcome_summary(counts).join(F.broadcast(st), "source", "full")
+    summary = summary.join(F.broadcast(st), "source", "full")
     W.write_manifest(W.cleaning_manifest(summary.filter(F.col("input").isNotNull())), f"{out_dir}/cleaning_manifest")
     return summary
 
@@ -129,9 +140,9 @@ def prepare_job(spark: SparkSession, cleaned_dir: str, out_dir: str, profile: st
     full = write_once(M.attach_payload(placed, rows, ["source", "row_key"]), "prepared-rows")
     # the files of a split are in shuffled order, a range of places each
     in_order = SH.in_parts(full, PART_ROWS, by=["split"])
-    W.write_prepared(in_order, f"{out_dir}/dataset")
+    written = write_counted(in_order, lambda d: W.write_prepared(d, f"{out_dir}/dataset"), "split", ["train", "validation"], {"count": F.lit(True)})
     W.write_split_jsonl(in_order, f"{out_dir}/jsonl")
-    counts = full.groupBy("split").agg(F.count(F.lit(1)).alias("count"))
+    counts = counts_table(spark, {k: c for k, c in written.items() if c["count"]}, "split")
     W.write_manifest(W.preparation_manifest(counts, stats, seed, ratio), f"{out_dir}/preparation_manifest")
     return M.source_distribution(full.filter(F.col("split") == "train"))
 

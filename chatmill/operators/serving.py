@@ -36,7 +36,7 @@ def profiles_df(spark) -> DataFrame:
                                                     "epochs int, warmup_ratio double")
 
 
-def _range_check(c: Column, name: str) -> Column:
+def range_check(c: Column, name: str) -> Column:
     lo, hi = REQUEST_RANGES[name]
     return F.when(~c.between(lo, hi), F.lit(f"{name} out of range [{lo}, {hi}]"))
 
@@ -49,7 +49,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     for k, v in REQUEST_DEFAULTS.items():
         out = out.withColumn(k, F.coalesce(F.col(k), F.lit(v)))
     empty = F.when(F.coalesce(F.size("messages"), F.lit(0)) == 0, F.lit("messages empty"))
-    reason = F.coalesce(empty, *[_range_check(F.col(k), k) for k in REQUEST_RANGES])
+    reason = F.coalesce(empty, *[range_check(F.col(k), k) for k in REQUEST_RANGES])
     return out.withColumn("reason", reason).withColumn("valid", F.col("reason").isNull())
 
 

@@ -15,11 +15,14 @@ from ..operators import tokens as TK
 from ..operators.quantiles import exact_quantiles
 from ..operators.shuffle import prefix_split, shuffled
 from ..session import scratch_path, write_once
+from ..sinks.observed import counts_table, write_counted
 from ..sources.digest import merged, split_digests
 from ..sources.ingest import capped_scan
 from ..sources.jsonl import number_lines, parse_json, read_lines
 from ..sources.registry import TRAIN_RATIO
 from ..sources.tables import read_table
+from ..streaming import requests
+from ..streaming.requests import run_requests
 from .queries import DEFAULT_SYSTEM, MAX_LEN, SEED, doc_triples, event_choices, mixed_ids, mixed_split, order_numeric
 
 # --- shuffled output ----------------------------------------------------------
@@ -142,6 +145,49 @@ def q_dataset_digest(spark: SparkSession, sf: str) -> DataFrame:
     return merged(splits, ["source"]).select("source", F.col("n").cast("long").alias("n_lines"), "digest")
 
 
+# --- counts taken while writing ---------------------------------------------------------
+
+def q_load_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Examples loaded, valid and invalid per source, counted while the
+    converted rows are written."""
+    sources = sorted(r[0] for r in read_table(spark, sf, "documents").select("source").distinct().collect())
+    converted = C.convert_triples(doc_triples(spark, sf), default_system=DEFAULT_SYSTEM).select("doc_id", "source", "messages")
+    path = scratch_path(spark, "loaded")
+    counts = write_counted(converted, lambda d: d.write.parquet(path), "source", sources,
+                           {"loaded": F.lit(True), "valid": F.col("messages").isNotNull(), "invalid": F.col("messages").isNull()})
+    return counts_table(spark, counts, "source")
+
+
+# --- several sinks of one stream ----------------------------------------------------------
+
+def request_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """events as request lines: chat requests for even ids, completions for
+    odd ones, broken lines and lines of neither shape among them."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    body = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"messages":['), F.when(F.col("event_type") == "signup", F.lit("")).otherwise(
+        F.concat(F.lit('{"role":"user","content":"'), "event_type", F.lit('"}'))), F.lit("]"))).otherwise(
+        F.when(F.col("event_type") == "signup", F.lit('{"prompt":5')).otherwise(F.concat(F.lit('{"prompt":"'), "event_type", F.lit('"'))))
+    number = lambda c: c.cast("double").cast("string")
+    line = F.concat(body, F.lit(',"temperature":'), number(F.col("value") / 100), F.lit(',"max_tokens":'), (F.col("user_id") * 30).cast("string"),
+                    F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.concat(F.lit(',"top_p":'), number(k / F.lit(100.0)))),
+                    F.lit(',"repetition_penalty":'), number(F.lit(1.0) + k / F.lit(50.0)), F.lit(',"event_id":'), F.col("event_id").cast("string"), F.lit("}"))
+    odd = (F.when(F.col("event_id") % 101 == 0, F.concat(F.col("event_id").cast("string"), F.lit(" not json")))
+            .when(F.col("event_id") % 103 == 0, F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit("}"))))
+    return read_table(spark, sf, "events").select(F.coalesce(odd, line).alias("value"))
+
+
+def q_request_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Request lines streamed from text files in several batches into the
+    accepted and quarantine tables."""
+    lines, output = scratch_path(spark, "request-lines"), scratch_path(spark, "request-tables")
+    request_lines(spark, sf).repartition(6).write.text(lines)
+    run_requests(spark, lines, output, scratch_path(spark, "request-ckpt"), files_per_batch=2)
+    both = requests.read_table(spark, output, "accepted").select("value", "shape", F.lit(None).cast("string").alias("reason")).unionByName(
+        requests.read_table(spark, output, "quarantine").select("value", "shape", "reason"))
+    own = F.regexp_extract("value", r'"event_id":(\d+)|^(\d+) not json', 0)
+    return both.select(F.regexp_extract(own, r"\d+", 0).cast("long").alias("event_id"), "shape", F.col("reason").isNull().alias("accepted"), "reason")
+
+
 # --- SQL functions ------------------------------------------------------------------------
 
 def q_sql_quality_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,6 +219,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "length_quantiles": q_length_quantiles,
     "capped_scan": q_capped_scan,
     "dataset_digest": q_dataset_digest,
+    "load_manifest": q_load_manifest,
+    "request_stream": q_request_stream,
     "sql_quality_filter": q_sql_quality_filter,
     "sql_answers": q_sql_answers,
 }

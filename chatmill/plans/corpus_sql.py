@@ -90,3 +90,18 @@ WITH {CHOICES}, {NUMERIC}
 SELECT 'choice' AS kind, item_id, CAST(pidx AS DOUBLE) AS answer FROM chgraded
 UNION ALL SELECT 'gold', item_id, ground_truth FROM numgraded
 UNION ALL SELECT 'number', item_id, {extract_num('response')} FROM pred"""
+
+SQL["load_manifest"] = f"""
+WITH {TRIPLES}
+SELECT source, count(*) AS loaded, count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS invalid FROM tv GROUP BY source"""
+
+SQL["request_stream"] = """
+WITH r AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id % 2 = 0 AS chat FROM events),
+v AS (SELECT event_id, CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 THEN NULL WHEN chat THEN 'chat' ELSE 'completion' END AS shape, coalesce(
+        CASE WHEN event_id % 101 = 0 THEN 'not JSON' WHEN event_id % 103 = 0 THEN 'neither messages nor prompt' END,
+        CASE WHEN event_type = 'signup' AND chat THEN 'messages empty' WHEN event_type = 'signup' THEN 'prompt is no text' END,
+        CASE WHEN NOT value / 100 BETWEEN 0.0 AND 2.0 THEN 'temperature out of range [0.0, 2.0]' END,
+        CASE WHEN NOT user_id * 30 BETWEEN 1 AND 4096 THEN 'max_tokens out of range [1, 4096]' END,
+        CASE WHEN event_type <> 'error' AND NOT k / 100.0::DOUBLE BETWEEN 0.0 AND 1.0 THEN 'top_p out of range [0.0, 1.0]' END,
+        CASE WHEN chat AND NOT 1.0::DOUBLE + k / 50.0::DOUBLE BETWEEN 1.0 AND 2.0 THEN 'repetition_penalty out of range [1.0, 2.0]' END) AS reason FROM r)
+SELECT event_id, shape, reason IS NULL AS accepted, reason FROM v"""
