@@ -1,9 +1,9 @@
 """Counterfactual-regularised toxicity classifier.
 
 Features of a text are its different words (lower-cased runs of letters) and
-their prefixes, hashed.  Document frequencies by label are counted over all
-labelled training rows; the features that set the labels apart most keep a
-weight.  The weights are fitted on at most ``sample_rows`` labelled rows by
+their prefixes, hashed.  Document frequencies by label are counted over at most
+about ``sample_rows`` labelled training rows; the features that set the labels
+apart most keep a weight.  The weights are fitted on the same rows by
 logistic loss plus an L2 term plus a counterfactual term: in each sentence
 that mentions an identity term, the term is swapped for others and the change
 of the score is penalised, so that a group's name carries no weight of its
@@ -95,10 +95,16 @@ class Model:
         return found
 
 
-def labelled(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
-    """``text, toxic, pick`` of the training rows with a label."""
-    marks = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return (docs.select("doc_id", "text").filter(fold_of(F.col("doc_id"), folds) != held_out).join(marks, "doc_id")
+def labelled(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``text, toxic, pick`` of training rows with a label: of at most about
+    ``sample_rows`` labelled ids, drawn by hash from the light table of labels
+    and broadcast to the scan of the texts, so that no text is shuffled."""
+    marks = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(fold_of(F.col("doc_id"), folds) != held_out)
+             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
+    marks = staged(marks, "labels")
+    limit = int(min(1.0, sample_rows / max(1, marks.count())) * (1 << 32))
+    drawn = marks.filter(F.crc32(F.concat(F.lit("drawn"), F.col("doc_id").cast("string")).cast("binary")) < limit)
+    return (docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
             .select(F.coalesce("text", F.lit("")).alias("text"), "toxic", F.crc32(F.concat(F.lit("pick"), F.col("doc_id").cast("string")).cast("binary")).alias("pick")))
 
 
