@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sql
-from ..functions.chat import messages_fingerprint
+from ..functions.chat import content_hash, messages_fingerprint
 from ..operators import convert as C
 from ..operators import tokens as TK
 from ..operators.quantiles import exact_quantiles
@@ -22,8 +22,10 @@ from ..sources.jsonl import number_lines, parse_json, read_lines
 from ..sources.registry import TRAIN_RATIO
 from ..sources.tables import read_table
 from ..streaming import requests
+from ..streaming.incremental import run_to_completion
+from ..streaming.keep_first import changes, first_copies
 from ..streaming.requests import run_requests
-from .queries import DEFAULT_SYSTEM, MAX_LEN, SEED, doc_triples, event_choices, mixed_ids, mixed_split, order_numeric
+from .queries import DEFAULT_SYSTEM, MAX_LEN, SEED, doc_messages, doc_triples, event_choices, mixed_ids, mixed_split, order_numeric
 
 # --- shuffled output ----------------------------------------------------------
 
@@ -188,6 +190,20 @@ def q_request_stream(spark: SparkSession, sf: str) -> DataFrame:
     return both.select(F.regexp_extract(own, r"\d+", 0).cast("long").alias("event_id"), "shape", F.col("reason").isNull().alias("accepted"), "reason")
 
 
+def q_stream_first_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """documents streamed in three batches that bring later copies before
+    earlier ones: the first copy of each key by doc_id, as a batch job keeps it."""
+    folder, out = scratch_path(spark, "keyed-stream"), scratch_path(spark, "first-copies")
+    keyed = write_once(doc_messages(spark, sf).select("doc_id", "source", content_hash("messages").alias("content_key")), "keyed-documents")
+    for batch, rest in enumerate((2, 1, 0)):
+        arrived = F.timestamp_seconds(F.lit(1_700_000_000 + 60 * batch))
+        keyed.filter(F.col("doc_id") % 3 == rest).withColumn("arrived", arrived).coalesce(1).write.mode("append").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    run_to_completion(changes(stream, ["source", "content_key"], "doc_id", "arrived", "1 hour", 3_600_000), out, scratch_path(spark, "first-copies-ckpt"))
+    return first_copies(spark, out, ["source", "content_key"]).select("source", "content_key", F.col("order").alias("doc_id"))
+
+
 # --- SQL functions ------------------------------------------------------------------------
 
 def q_sql_quality_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,6 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dataset_digest": q_dataset_digest,
     "load_manifest": q_load_manifest,
     "request_stream": q_request_stream,
+    "stream_first_copies": q_stream_first_copies,
     "sql_quality_filter": q_sql_quality_filter,
     "sql_answers": q_sql_answers,
 }

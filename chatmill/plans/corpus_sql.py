@@ -6,7 +6,7 @@ from ..functions.text import NON_ALNUM_RE
 from ..operators.shuffle import MULTIPLIER, PRIME, round_keys
 from ..sources.digest import PRIME as PRIME_61
 from . import queries as Q
-from .oracle import CHOICES, CONFIG, DEF, NUMERIC, RS, SPLIT, TRIPLES, US, extract_num, norm, ntok, valid
+from .oracle import CHOICES, CONFIG, DEF, KEY, NUMERIC, RS, SPLIT, TRIPLES, US, extract_num, norm, ntok, valid
 
 SQL: dict[str, str] = {}
 
@@ -105,3 +105,7 @@ v AS (SELECT event_id, CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 THEN N
         CASE WHEN event_type <> 'error' AND NOT k / 100.0::DOUBLE BETWEEN 0.0 AND 1.0 THEN 'top_p out of range [0.0, 1.0]' END,
         CASE WHEN chat AND NOT 1.0::DOUBLE + k / 50.0::DOUBLE BETWEEN 1.0 AND 2.0 THEN 'repetition_penalty out of range [1.0, 2.0]' END) AS reason FROM r)
 SELECT event_id, shape, reason IS NULL AS accepted, reason FROM v"""
+
+SQL["stream_first_copies"] = f"""
+WITH {TRIPLES}
+SELECT source, {KEY} AS content_key, min(doc_id) AS doc_id FROM tv WHERE ok GROUP BY ALL"""
