@@ -157,7 +157,7 @@ def split_leakage(df: DataFrame, ids: list[str], split: str = "split") -> DataFr
 
 
 def source_distribution(df: DataFrame, source: str = "source", total_label: str = "Total") -> DataFrame:
-    """Count and percent per source plus a Total row (rollup)."""
+    """Count and percent per source, most frequent first, and a Total row last (rollup)."""
     counts = df.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
     rolled = counts.rollup(source).agg(F.sum("n").alias("count"), F.grouping(source).alias("_g"))
     from pyspark.sql import Window
@@ -165,4 +165,4 @@ def source_distribution(df: DataFrame, source: str = "source", total_label: str
     total = F.max(F.when(F.col("_g") == 1, F.col("count"))).over(Window.partitionBy())
     return (rolled.withColumn("percent", F.col("count").cast("double") * 100 / total)
                   .withColumn(source, F.when(F.col("_g") == 1, F.lit(total_label)).otherwise(F.col(source)))
-                  .drop("_g"))
+                  .orderBy("_g", F.col("count").desc(), source).drop("_g"))

@@ -81,3 +81,24 @@ def download_summary(manifest: DataFrame) -> DataFrame:
         F.count_if(~ok).alias("failed"),
         F.coalesce(F.sum("num_examples"), F.lit(0)).alias("total_examples"),
         F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"))
+
+
+def report_rows(results: DataFrame, baselines: DataFrame, subjects: DataFrame, k: int = 10) -> DataFrame:
+    """The report's tables as lines in order (section, position, line): the
+    results with header and average, then the best and the worst subjects."""
+    compared = with_baselines(results, baselines)
+    first = F.row_number().over(Window.orderBy("benchmark"))  # one row per benchmark
+    lines = compared.select(F.lit("results").alias("section"), (first + 2).cast("long").alias("position"),
+                            markdown_result_line(F.col("benchmark"), F.col("metric"), F.col("score"), F.col("baseline"), F.col("delta")).alias("line"))
+    total = report_summary(results, baselines)
+    average = total.select(F.lit("results").alias("section"), (F.col("num_benchmarks") + 3).cast("long").alias("position"), markdown_result_line(
+        F.lit("**Average**"), F.lit("mean"), F.col("average_score"), F.col("baseline_average"), F.col("overall_delta")).alias("line"))
+    heads = [("results", 1, "| Benchmark | Metric | Score | Baseline | Delta |"), ("results", 2, "|---|---|---|---|---|")]
+    for section in ("top", "bottom"):
+        heads += [(section, 1, "| Subject | Accuracy |"), (section, 2, "|---|---|")]
+    ranked = top_bottom_subjects(subjects, k)
+    place = F.row_number().over(Window.partitionBy("list").orderBy("position"))
+    named = ranked.select(F.col("list").alias("section"), (place + 2).cast("long").alias("position"),
+                          F.concat(F.lit("| "), "subject", F.lit(" | "), F.format_string("%.1f%%", "accuracy"), F.lit(" |")).alias("line"))
+    head = results.sparkSession.createDataFrame(heads, "section string, position long, line string")
+    return head.unionByName(lines).unionByName(average).unionByName(named)

@@ -247,3 +247,23 @@ def line_verdicts(lines: DataFrame, contracts: DataFrame, name: str = "name", or
                .withColumn("count_ok", count_ok)
                .withColumn("passed", F.col("parse_ok") & F.coalesce(F.col("fields_ok"), F.lit(True))
                            & F.col("count_ok")))
+
+
+def check_table(manifest: DataFrame, lines: DataFrame, contracts: DataFrame, name: str = "name", order: str = "seq", value: str = "value") -> DataFrame:
+    """The long check table (name, check, passed, detail) of datasets whose
+    lines are rows of ``lines``: one row per check, NULL where there is nothing
+    to compare with.  ``manifest``: name, num_examples.  A dataset without
+    lines is absent and gets the first check only."""
+    found = line_verdicts(lines, contracts, name, order, value, manifest.select(name, "num_examples")).drop("num_examples")
+    m = manifest.join(found, name, "left")
+    there = F.col("line_count").isNotNull()
+    check = lambda label, passed, detail: F.struct(F.lit(label).alias("check"), passed.alias("passed"), detail.alias("detail"))
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    checks = F.array(
+        check("File exists", there, F.when(there, F.lit("found")).otherwise(F.lit("absent"))),
+        check("Non-zero size", F.col("line_count") > 0, text(F.col("line_count"), " lines")),
+        check("JSONL parseable", F.col("parse_ok"), F.when(F.col("parse_ok"), F.lit("every line")).otherwise(text("not line ", F.col("first_bad_line")))),
+        check("Expected fields", F.col("fields_ok"), F.when(F.col("fields_ok").isNull(), F.lit("no contract")).when(F.col("fields_ok"), F.lit("every line"))
+              .otherwise(text("no ", F.col("missing_field"), " on line ", F.col("fields_line")))),
+        check("Line count", F.col("count_ok"), text(F.col("line_count"), " of ", F.coalesce(F.col("num_examples"), F.lit(0)))))
+    return m.select(name, F.inline(F.when(there, checks).otherwise(F.slice(checks, 1, 1))))

@@ -8,24 +8,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import answers as A
 from ..functions import sql
 from ..functions.chat import content_hash, messages_fingerprint
+from ..functions.text import title_from_key
 from ..operators import convert as C
+from ..operators import report as R
+from ..operators import score as S
 from ..operators import tokens as TK
 from ..operators.quantiles import exact_quantiles
 from ..operators.shuffle import prefix_split, shuffled
+from ..operators.verify import check_table, verdicts
 from ..session import scratch_path, write_once
 from ..sinks.observed import counts_table, write_counted
 from ..sources.digest import merged, split_digests
 from ..sources.ingest import capped_scan
 from ..sources.jsonl import number_lines, parse_json, read_lines
-from ..sources.registry import TRAIN_RATIO
+from ..sources.registry import TRAIN_RATIO, baselines_df
 from ..sources.tables import read_table
 from ..streaming import requests
 from ..streaming.incremental import run_to_completion
 from ..streaming.keep_first import changes, first_copies
 from ..streaming.requests import run_requests
-from .queries import DEFAULT_SYSTEM, MAX_LEN, SEED, doc_messages, doc_triples, event_choices, mixed_ids, mixed_split, order_numeric
+from .queries import DEFAULT_SYSTEM, MAX_LEN, SEED, benchmark_results, doc_json_lines, doc_messages, doc_triples, event_choices, graded_choices, mixed_ids, mixed_split, order_numeric
 
 # --- shuffled output ----------------------------------------------------------
 
@@ -204,6 +209,68 @@ def q_stream_first_copies(spark: SparkSession, sf: str) -> DataFrame:
     return first_copies(spark, out, ["source", "content_key"]).select("source", "content_key", F.col("order").alias("doc_id"))
 
 
+# --- checks, manifests and reports --------------------------------------------------------
+
+def _checked_sources(spark: SparkSession, sf: str) -> DataFrame:
+    lines = doc_json_lines(spark, sf).select(F.col("source").alias("name"), F.col("doc_id").alias("seq"), "value")
+    known = read_table(spark, sf, "documents").groupBy(F.col("source").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    # src3 is promised one example more than there is, and one dataset is not there at all
+    manifest = known.select("name", (F.col("n") + F.when(F.col("name") == "src3", 1).otherwise(0)).alias("num_examples")).unionByName(
+        spark.createDataFrame([("not downloaded", 10)], "name string, num_examples long"))
+    contracts = known.filter("name <> 'src4'").select("name", F.array(*map(F.lit, ("system_prompt", "question", "response"))).alias("required"))
+    return check_table(manifest, lines, contracts)
+
+
+def q_check_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Every check of every dataset, one row each."""
+    return _checked_sources(spark, sf).select("name", "check", "passed", "detail")
+
+
+def q_check_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Checks passed and made per dataset, and its verdict."""
+    return verdicts(_checked_sources(spark, sf))
+
+
+def q_download_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of a download manifest over the document sources."""
+    n = F.regexp_extract("source", r"(\d+)$", 1).cast("int") % 5
+    status = F.when(n == 1, F.lit("skipped")).when(n == 2, F.lit("failed")).otherwise(F.lit("success"))
+    manifest = (read_table(spark, sf, "documents").groupBy("source", status.alias("status"))
+                .agg(F.count(F.lit(1)).alias("num_examples"), F.sum(F.octet_length("text")).alias("size_bytes")))
+    return R.download_summary(manifest)
+
+
+def q_combined_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Results of two runs put together: of a benchmark run twice the later
+    result counts; only the benchmarks asked for are shown."""
+    later = S.accuracy(read_table(spark, sf, "labels").withColumn("passed", F.col("toxic") == 0), "humaneval", "pass@1", "passed")
+    runs = benchmark_results(spark, sf).withColumn("run", F.lit(1)).unionByName(later.withColumn("run", F.lit(2)))
+    shown = S.select_benchmarks(R.latest_per_benchmark(runs, "run"), ["humaneval", "mmlu"])
+    return shown.select("benchmark", "metric", "score", "correct", "total", title_from_key(F.concat("benchmark", F.lit("_score"))).alias("title"))
+
+
+def q_report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All lines of the report, in order."""
+    subjects = S.subject_accuracy(graded_choices(spark, sf), "subject", "item_id")
+    return R.report_rows(benchmark_results(spark, sf), baselines_df(spark), subjects)
+
+
+def q_test_programs(spark: SparkSession, sf: str) -> DataFrame:
+    """The programs a sandbox would run, from every document."""
+    t = doc_triples(spark, sf)
+    program = A.test_program(F.col("question"), F.col("response"), F.col("lang"), F.col("source"))
+    return t.select("doc_id", F.length(program).alias("program_length"), F.md5(program).alias("program_md5"))
+
+
+def q_truncated_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompt ids cut at the right, whether they were, and their attention mask."""
+    tok = TK.RegexTokenizer()
+    ids = read_table(spark, sf, "documents").select("doc_id", tok.ids(F.coalesce("text", F.lit(""))).alias("prompt_ids"))
+    cut = TK.truncate_prompt(ids, limit=300)
+    mask = F.array_repeat(F.lit(1), F.size("prompt_ids"))
+    return cut.select("doc_id", "was_truncated", F.size("prompt_ids").alias("n_ids"), F.aggregate(mask, F.lit(0), lambda a, x: a + x).alias("attended"))
+
+
 # --- SQL functions ------------------------------------------------------------------------
 
 def q_sql_quality_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,6 +305,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_manifest": q_load_manifest,
     "request_stream": q_request_stream,
     "stream_first_copies": q_stream_first_copies,
+    "check_table": q_check_table,
+    "check_summary": q_check_summary,
+    "download_summary": q_download_summary,
+    "combined_report": q_combined_report,
+    "report_rows": q_report_rows,
+    "test_programs": q_test_programs,
+    "truncated_prompts": q_truncated_prompts,
     "sql_quality_filter": q_sql_quality_filter,
     "sql_answers": q_sql_answers,
 }

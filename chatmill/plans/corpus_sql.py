@@ -6,7 +6,8 @@ from ..functions.text import NON_ALNUM_RE
 from ..operators.shuffle import MULTIPLIER, PRIME, round_keys
 from ..sources.digest import PRIME as PRIME_61
 from . import queries as Q
-from .oracle import CHOICES, CONFIG, DEF, KEY, NUMERIC, RS, SPLIT, TRIPLES, US, extract_num, norm, ntok, valid
+from .oracle import SQL as SQL_OF
+from .oracle import CHOICES, CONFIG, DEF, KEY, NUMERIC, RESULTS, RS, SPLIT, TRIPLES, US, extract_num, norm, ntok, valid
 
 SQL: dict[str, str] = {}
 
@@ -109,3 +110,59 @@ SELECT event_id, shape, reason IS NULL AS accepted, reason FROM v"""
 SQL["stream_first_copies"] = f"""
 WITH {TRIPLES}
 SELECT source, {KEY} AS content_key, min(doc_id) AS doc_id FROM tv WHERE ok GROUP BY ALL"""
+
+_CHECKS = f"""
+v AS ({SQL_OF['file_verdicts']}),
+e AS (SELECT *, line_count + CASE WHEN name = 'src3' THEN 1 ELSE 0 END AS n FROM v),
+checks AS (
+  SELECT name, 'File exists' AS check, TRUE AS passed, 'found' AS detail FROM e
+  UNION ALL SELECT 'not downloaded', 'File exists', FALSE, 'absent'
+  UNION ALL SELECT name, 'Non-zero size', line_count > 0, line_count || ' lines' FROM e
+  UNION ALL SELECT name, 'JSONL parseable', parse_ok, CASE WHEN parse_ok THEN 'every line' ELSE 'not line ' || first_bad_line END FROM e
+  UNION ALL SELECT name, 'Expected fields', CASE WHEN name <> 'src4' THEN fields_ok END,
+                   CASE WHEN name = 'src4' THEN 'no contract' WHEN fields_ok THEN 'every line' ELSE 'no ' || missing_field || ' on line ' || fields_line END FROM e
+  UNION ALL SELECT name, 'Line count', line_count = n, line_count || ' of ' || n FROM e)"""
+
+SQL["check_table"] = f"WITH {_CHECKS} SELECT name, \"check\", passed, detail FROM checks"
+
+SQL["check_summary"] = f"""
+WITH {_CHECKS}
+SELECT name, count(*) FILTER (WHERE passed) AS checks_passed, count(*) AS checks_total, bool_and(coalesce(passed, TRUE)) AS passed FROM checks GROUP BY name"""
+
+SQL["download_summary"] = """
+WITH m AS (SELECT source, CASE CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 5 WHEN 1 THEN 'skipped' WHEN 2 THEN 'failed' ELSE 'success' END AS status,
+                  count(*) AS n, sum(strlen(text)) AS bytes FROM documents GROUP BY ALL)
+SELECT count(*) AS total_datasets, count(*) FILTER (WHERE status <> 'failed') AS successful, count(*) FILTER (WHERE status = 'failed') AS failed,
+       CAST(sum(n) AS BIGINT) AS total_examples, CAST(sum(bytes) AS BIGINT) AS total_size_bytes FROM m"""
+
+SQL["combined_report"] = f"""
+WITH {RESULTS},
+l AS (SELECT count(*) FILTER (WHERE toxic = 0) AS correct, count(*) AS total FROM labels)
+SELECT benchmark, metric, score, correct, total, 'Mmlu Score' AS title FROM scored WHERE benchmark = 'mmlu'
+UNION ALL
+SELECT 'humaneval', 'pass@1', round(CAST(correct AS DOUBLE) * 100 / total, 2), correct, total, 'Humaneval Score' FROM l"""
+
+_LINE = "'| ' || {0} || ' | ' || {1} || ' | ' || {2} || '% | ' || CASE WHEN {3} IS NULL THEN '—' ELSE {3} || '%' END || ' | ' || CASE WHEN {4} IS NULL THEN '—' WHEN {4} >= 0 THEN printf('+%.1f%%', {4}) ELSE printf('%.1f%%', {4}) END || ' |'"
+
+SQL["report_rows"] = f"""
+WITH {RESULTS},
+j AS (SELECT benchmark, metric, score, nullif(baseline, 0) AS baseline, round(score - nullif(baseline, 0), 1) AS delta FROM scored LEFT JOIN baselines USING (benchmark)),
+a AS (SELECT count(*) AS n, coalesce(round(avg(score), 2), 0.0) AS score FROM scored),
+b AS (SELECT avg(baseline) AS baseline FROM baselines),
+r AS (SELECT *, row_number() OVER (ORDER BY accuracy DESC, first_seen) AS p, count(*) OVER () AS n FROM subj),
+s AS (SELECT 'top' AS section, p AS position, subject, accuracy FROM r WHERE p <= 10
+      UNION ALL SELECT 'bottom', p - (n - 10), subject, accuracy FROM r WHERE n > 10 AND p > n - 10)
+SELECT 'results' AS section, CAST(2 + row_number() OVER (ORDER BY benchmark) AS BIGINT) AS position, {_LINE.format('benchmark', 'metric', 'score', 'baseline', 'delta')} AS line FROM j
+UNION ALL SELECT 'results', n + 3, {_LINE.format("'**Average**'", "'mean'", 'score', 'baseline', 'round(score - baseline, 1)')} FROM a, b
+UNION ALL SELECT section, position + 2, '| ' || subject || ' | ' || printf('%.1f%%', accuracy) || ' |' FROM s
+UNION ALL VALUES ('results', 1, '| Benchmark | Metric | Score | Baseline | Delta |'), ('results', 2, '|---|---|---|---|---|'), ('top', 1, '| Subject | Accuracy |'),
+                 ('top', 2, '|---|---|'), ('bottom', 1, '| Subject | Accuracy |'), ('bottom', 2, '|---|---|')"""
+
+SQL["test_programs"] = f"""
+WITH {TRIPLES},
+p AS (SELECT doc_id, q0 || r0 || chr(10) || chr(10) || lang || chr(10) || chr(10) || 'check(' || source || ')' || chr(10) AS program FROM d0)
+SELECT doc_id, length(program) AS program_length, md5(program) AS program_md5 FROM p"""
+
+SQL["truncated_prompts"] = f"""
+WITH t AS (SELECT doc_id, {ntok("coalesce(text, '')")} AS n FROM documents)
+SELECT doc_id, n > 300 AS was_truncated, least(n, 300) AS n_ids, least(n, 300) AS attended FROM t"""
