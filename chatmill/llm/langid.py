@@ -35,7 +35,7 @@ _FACTORS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 def counts(text: str) -> np.ndarray | None:
     """Hashed n-gram counts; None if the text has no letter."""
     letters = OTHERS.sub(" ", text.lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):  # numerals and fractions are word characters, but no letters
         return None
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le"), "<u4")
     out = np.zeros(DIM, np.int64)

@@ -25,7 +25,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     fold = fold_of(F.col("doc_id"), 3)
-    pick = F.coalesce(F.crc32(F.concat(F.lit("pick"), F.col("doc_id").cast("string")).cast("binary")), F.lit(0))
+    pick = F.pmod(F.xxhash64(F.lit("pick"), F.col("doc_id"), F.col("text")), F.lit(1 << 32))  # a row without an id has its own, too
     model = langid.fit(docs.filter(fold != 1).select("text", "lang", pick.alias("pick")))
     return langid.identify(docs, model).select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score", "rejected")
 

@@ -168,6 +168,25 @@ def _shard_row(part: int, shard: int, doc_ids: list, blobs: list[bytes], base: i
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=list(_FIELDS))
 
 
+class Encoder:
+    """Texts to ids as the library gives them, without special tokens added;
+    the string of a special token inside a text is that token.  Texts that hold
+    one are encoded whole by the library, the others by the codec."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.codec, self.library = codec(path), Tokenizer.from_file(path)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        out = self.codec.encode_many(texts)
+        for i, text in enumerate(texts):
+            if any(s in text for s in self.special):
+                out[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return out
+
+
 def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> None:
     """Encode ``docs`` (doc_id, text), append ``end_id`` to each document and
     write the shards to ``path`` in ascending doc_id order: NULL first, ties by
@@ -177,7 +196,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, s
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part, shard = codec(vocabulary), TaskContext.get().partitionId(), 0
+        own, part, shard = Encoder(vocabulary), TaskContext.get().partitionId(), 0
         doc_ids, blobs, held = [], [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
@@ -187,10 +206,10 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, s
                     blobs.append(ids + end)
                     held += len(ids) // 4 + 1
                     if held >= shard_ids:
-                        yield _shard_row(part, shard, doc_ids, blobs, len(own.tokens))
+                        yield _shard_row(part, shard, doc_ids, blobs, len(own.codec.tokens))
                         doc_ids, blobs, held, shard = [], [], 0, shard + 1
         if blobs:
-            yield _shard_row(part, shard, doc_ids, blobs, len(own.tokens))
+            yield _shard_row(part, shard, doc_ids, blobs, len(own.codec.tokens))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data")).withColumn("tie", F.xxhash64("data"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "data")

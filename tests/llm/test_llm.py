@@ -181,6 +181,25 @@ def test_bpe_on_odd_texts():
         assert "".join(bpe.decode_stream(own, iter(np.frombuffer(got, "<u4").tolist()))) == t
 
 
+def test_token_ids_are_those_of_the_library(spark, tmp_path):
+    """Strings of special tokens inside texts included."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["a<|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>  y <|endoftext|>z", "<|endoftext| >", "plain text", "<|endoftext|", "é<|endoftext|>\n\n<|endoftext|>\n"]
+    out = str(tmp_path / "tokens")
+    token_files.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, out)
+    for r in token_files.read_tokens(spark, out, with_ids=True).collect():
+        assert list(struct.unpack(f"<{r.n_tokens}I", r.ids)) == library.encode(texts[r.doc_id], add_special_tokens=False).ids + [0]
+
+
+@pytest.mark.parametrize("text", ["½ ² Ⅷ", "12 34", "", " \n", "...", "٣٤", "🙂", "_"])
+def test_a_text_without_a_letter_has_no_language(text):
+    assert langid.counts(text) is None and not any(map(str.isalpha, text))
+    assert langid.counts(text + " é") is not None
+
+
 def test_token_files(spark, edges, empty, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     out = str(tmp_path / "tokens")
