@@ -182,15 +182,18 @@ def _extended(schema: T.StructType, extra: list[T.StructField]) -> tuple[T.Struc
     return T.StructType([*old, *extra]), [f.name for f in old]
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", with_offsets: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", with_offsets: bool = False, with_decoded: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (binary: little-endian unsigned 32-bit),
     ``n_tokens`` and ``n_split`` (tokens that begin or end inside a
     character); with ``with_offsets`` also ``starts`` and ``ends`` (characters
-    of the text, arrays).  NULL and empty texts give no ids.  Every other
+    of the text, arrays), with ``with_decoded`` also ``decoded``, the bytes
+    that the ids decode to (as :func:`decode`, but by the same worker).  NULL and empty texts give no ids.  Every other
     column stays; one of the same name as a new one is replaced."""
     extra = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_split", T.LongType())]
     if with_offsets:
         extra += [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("starts", "ends")]
+    if with_decoded:
+        extra.append(T.StructField("decoded", T.BinaryType()))
     schema, kept = _extended(docs.schema, extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,6 +209,8 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", with_offset
                 if with_offsets:
                     found = [own.offsets(d, i) for d, i in zip(data, ids)]
                     columns += [pa.array([x[k] for x in found], pa.list_(pa.int32())) for k in (0, 1)]
+                if with_decoded:
+                    columns.append(pa.array([own.decode(i) for i in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_arrow(docs.select(*(F.col(f"`{n}`") for n in kept), F.col(text_col).cast("binary").alias("_text")), run, schema)
