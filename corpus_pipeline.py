@@ -37,8 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the ids, their number and the bytes they decode to."""
-    vocabulary = public_tokenizers.path(VOCABULARY)
-    return bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    return bpe.encode(docs, public_tokenizers.path(VOCABULARY), with_decoded=True)
 
 
 STAGES = [
