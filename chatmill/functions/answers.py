@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,10 +14,10 @@ from .text import UNICODE_SPACE_CLASS, unicode_strip
 
 # --- fixed values that must equal the reference for equal results ---------
 CHOICE_LABELS = ["A", "B", "C", "D"]
-# First "####" number; digits are ASCII in both engines.
-HASH_ANSWER_RE = rf"####{UNICODE_SPACE_CLASS}*([-0-9,.]+)"
+# First "####" number.  \p{Nd} is what \d means in Python: a digit of any script.
+HASH_ANSWER_RE = rf"####{UNICODE_SPACE_CLASS}*([-\p{{Nd}},.]+)"
 # Fallback: every number-like run; the last one is used.
-ANY_NUMBER_RE = r"[-0-9,]+\.?[0-9]*"
+ANY_NUMBER_RE = r"[-\p{Nd},]+\.?\p{Nd}*"
 STANDALONE_CHOICE_RE = r"\b([ABCD])\b"
 # First fenced block (dot matches newline), optional "python" tag.
 FENCED_CODE_RE = rf"(?s)```(?:python)?{UNICODE_SPACE_CLASS}*\n(.*?)```"
@@ -44,9 +47,17 @@ NUMERIC_TOLERANCE = 1e-6
 _RSTRIP_RE = rf"{UNICODE_SPACE_CLASS}+\z"
 
 
+#: the digits of all other scripts, and the ASCII digit that each means
+OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
+THEIR_VALUES = "".join(str(unicodedata.digit(c)) for c in OTHER_DIGITS)
+
+
 def parse_number(s) -> Column:
-    """Remove thousands commas and parse; anything unparsable is NULL."""
-    return F.replace(col_of(s), F.lit(","), F.lit("")).try_cast("double")
+    """Remove thousands commas and parse, whatever script the digits are of;
+    anything unparsable is NULL."""
+    plain = F.replace(col_of(s), F.lit(","), F.lit(""))
+    ascii_ = F.when(F.length(plain) == F.octet_length(plain), plain).otherwise(F.translate(plain, OTHER_DIGITS, THEIR_VALUES))
+    return ascii_.try_cast("double")
 
 
 def extract_numeric_answer(text) -> Column:

@@ -20,7 +20,7 @@ from . import text as X
 
 def _lit(s: str) -> str:
     """A string literal: characters that the parser would take for something else are escaped."""
-    return "'" + "".join(f"\\u{ord(c):04X}" if ord(c) < 0x20 or c in "'\\" or ord(c) > 0x7E else c for c in s) + "'"
+    return "'" + "".join(f"\\u{ord(c):04X}" if c.isspace() or ord(c) < 0x20 or c in "'\\" else c for c in s) + "'"
 
 
 def _normalized(s: str) -> str:
@@ -36,8 +36,9 @@ def _valid(s: str) -> str:
 
 
 def _number(s: str) -> str:
-    """The number written in ``s``, thousands separators taken out."""
-    return f"try_cast(replace({s}, ',', '') AS DOUBLE)"
+    """The number written in ``s``, thousands separators taken out, in digits of any script."""
+    plain = f"replace({s}, ',', '')"
+    return f"try_cast(CASE WHEN length({plain}) = octet_length({plain}) THEN {plain} ELSE translate({plain}, {_lit(A.OTHER_DIGITS)}, {_lit(A.THEIR_VALUES)}) END AS DOUBLE)"
 
 
 def _numeric_answer(s: str) -> str:

@@ -78,3 +78,26 @@ def test_top_bottom(spark, n, top, bottom, overlap):
     t = {r.subject for r in out if r.list == "top"}
     b = {r.subject for r in out if r.list == "bottom"}
     assert (len(t), len(b), len(t & b)) == (top, bottom, overlap)
+
+
+def test_numbers_in_digits_of_any_script(spark):
+    """As Python's patterns and float() read them."""
+    import re
+
+    texts = ["#### ١٢٣", "#### 1٢,٣٤٥.٥ x", "４２.５ and 𝟗𝟖.𝟕", "#### -९९", "Ⅷ ½ ²", "#### ٣٫٥ then 7", "#### 1.2.3", "no number", "٠", "1٬000", "#### ,", "-٥٥.", "፩ is no decimal digit", "৯৮৭"]
+
+    def number(s):
+        try:
+            return float(s.replace(",", ""))
+        except ValueError:
+            return None
+
+    def read(t):
+        marked = re.search(r"####\s*([-\d,.]+)", t)
+        if marked and (n := number(marked.group(1))) is not None:
+            return n
+        runs = re.findall(r"[-\d,]+\.?\d*", t)
+        return number(runs[-1]) if runs else None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.x for r in df.select("t", extract_numeric_answer("t").alias("x")).collect()} == {t: read(t) for t in texts}

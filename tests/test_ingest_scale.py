@@ -117,7 +117,7 @@ def test_digests_of_files_add_up(spark, tmp_path):
 
 
 TEXTS = [None, "", "  ", "abc", "abcde", " é́  x\t\ty\n\n\n\nz\x00\x07 ", "A", " answer: (c) ", "Based", "#### 1,234.5 x", "no, 12 and -3.", "####", "-", ",", "12,", "…………", "a" * 32_769, "ﬁ Ⅷ 中文 text",
-         "it's \\ a 'quoted' \"text\"", "\xa0b\x85", "7."]
+         "it's \\ a 'quoted' \"text\"", "\xa0b\x85", "7.", "#### ١٬٢٣", "#### ١٢٣٫", "sum ４２.５ and 𝟗𝟖.𝟕", "#### -९९"]
 
 
 def test_sql_functions_say_what_the_columns_say(spark):
