@@ -31,8 +31,8 @@ from xxhash import xxh64_intdigest
 
 from .common import fold_of, map_arrow, staged, text_bytes
 
-BLOCK_TOKENS = 1 << 20
-RANGE_BYTES = 16 << 20
+BLOCK_TOKENS = 3 << 18
+RANGE_BYTES = 8 << 20
 TRAIN, TUNE, TEST = 0, 1, 2
 END = xxh64_intdigest(b"\n", 1)
 STEPS_A_BIT = 4  # probabilities of held-out tokens are binned by quarter powers of two
@@ -89,6 +89,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list,
             number += 1
 
 
+def _give_back() -> None:
+    """Return what Arrow holds on to between groups: a worker serves many of
+    them, and several stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes]]]:
     """(block, part of the data, texts) of the written documents, a block's
     together; a scan that splits a file may give a block in pieces."""
@@ -109,6 +115,7 @@ def _entries(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
         for block, kind, texts in _written(batches):
+            _give_back()
             b = Block(texts)
             for order, (keys, place) in enumerate(zip(b.keys, b.place)):
                 counts = np.bincount(place, minlength=len(keys)).astype("<u4")
@@ -127,6 +134,7 @@ def _values(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
 
 def _totals(group: pa.Table) -> pa.Table:
     """Counts over all blocks of one range and order, back to each block."""
+    _give_back()
     rows = group.select(["range", "block", "kind", "gram"]).to_pylist()
     keys, counts = _values(group.column("keys"), "<u8"), _values(group.column("counts"), "<u4")
     starts = np.cumsum([0] + [len(k) for k in keys])
@@ -233,6 +241,7 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, tune_every: int =
     back = totals.filter("block IS NOT NULL")
 
     def cells(left: pa.Table, right: pa.Table) -> pa.Table:
+        _give_back()
         _, word, context, pair = _token_counts(left.column("data").to_pylist(), right.to_pylist(), "train_totals")
         p2, p1, _ = _parts(word, context, pair, train_types, train_tokens)
         with np.errstate(divide="ignore"):
@@ -245,6 +254,7 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, tune_every: int =
     weights = learn_weights([(c // (_Q + 2) ** 2, c // (_Q + 2) % (_Q + 2), c % (_Q + 2), n) for c, n in binned], 1 / (train_types + 1))
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        _give_back()
         if not left.num_rows:
             return _SCORED.empty_table()
         b, word, context, pair = _token_counts(left.column("data").to_pylist(), right.to_pylist(), "totals")
