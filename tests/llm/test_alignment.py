@@ -50,7 +50,7 @@ def brute(libraries, texts):
         for end in ends:
             groups.append([[i for i, s, e in side if start <= s and e <= end] for side in (x, y)])
             start = end
-        links = [(i, j) for i, s, e in x for j, s2, e2 in y if s < e2 and s2 < e] if len(x) < 300 else None
+        links = [(i, j) for i, s, e in x for j, s2, e2 in y if s < e2 and s2 < e] if len(x) < 80 else None
         if links is None:  # the same, token by token, for longer texts
             links, k = [], 0
             for i, s, e in x:
@@ -100,9 +100,9 @@ def test_odd_texts_in_ranges_and_slices(spark, libraries, chunk, slice_pairs):
 
 def test_a_text_of_many_ranges(spark, libraries):
     """Three levels of the tree reduction, and a huge text without a space."""
-    docs = [(1, "one two three four " * 4000), (2, "x▁ " + "bad range " * 2000), (3, "abc" * 20_000), (4, "short")]
+    docs = [(1, "one two three four " * 600), (2, "x▁ " + "bad range " * 300), (3, "abc" * 20_000), (4, "short")]
     table = spark.createDataFrame(docs, "doc_id long, text string")
-    check(libraries, alignment.align(table, A, B, chunk=64).collect(), docs)
+    check(libraries, alignment.align(table, A, B, chunk=16).collect(), docs)
 
 
 def test_empty_table(spark):
