@@ -52,10 +52,12 @@ def parse_json(value) -> Column:
     raw = unicode_strip(value)
     special = F.contains(raw, F.lit("NaN")) | F.contains(raw, F.lit("Infinity"))
     text = F.when(special, F.regexp_replace(raw, _BEFORE_SPECIAL + _SPECIAL, "$1" + _STAND_IN)).otherwise(raw)
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    # only text with a bracket of its own can close the array early
+    whole = ~F.contains(text, F.lit("]")) | F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
     in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    alone = F.try_variant_get(in_array, "$[1]", "variant").isNull() & F.try_variant_get(in_array, "$[0]", "variant").isNotNull()
-    return F.when((F.length(raw) > 0) & in_object.isNotNull() & alone, F.try_variant_get(in_array, "$[0]", "variant"))
+    only = F.transform(F.array(in_array), lambda v: F.when(  # parsed once, looked at twice
+        F.try_variant_get(v, "$[1]", "variant").isNull(), F.try_variant_get(v, "$[0]", "variant")))[0]
+    return F.when((F.length(raw) > 0) & whole, only)
 
 
 def read_lines(spark: SparkSession, paths, source: str | None = None) -> DataFrame:
