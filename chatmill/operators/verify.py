@@ -20,8 +20,16 @@ from pyspark.sql import functions as F
 from ..sources.jsonl import parse_json
 from ..session import write_once
 
+# --- fixed values: the names of the checks, and the head samples ---------------
+FILE_EXISTS = "File exists"
+NON_ZERO = "Non-zero size"
+CHECKSUM = "Checksum match"
+PARSEABLE = "JSONL parseable"
+FIELDS = "Expected fields"
+LINES = "Line count"
 PARSE_SAMPLE_LINES = 100
 FIELD_SAMPLE_LINES = 10
+# ---------------------------------------------------------------------------
 
 
 def _file_status(spark: SparkSession, path: str) -> tuple[bool, int | None]:
@@ -139,23 +147,23 @@ def verify_files(spark: SparkSession, manifest: DataFrame, contracts: DataFrame)
                  .withColumn("line_count", F.coalesce("line_count", F.lit(0))))
     exists = F.coalesce(F.col("present"), F.lit(False))
     checks = F.array(
-        F.struct(F.lit("File exists").alias("check"), exists.alias("passed"),
+        F.struct(F.lit(FILE_EXISTS).alias("check"), exists.alias("passed"),
                  F.when(exists, F.col("path")).otherwise(F.concat(F.lit("Not found: "), F.col("path"))).alias("detail")),
-        F.struct(F.lit("Non-zero size").alias("check"), (F.col("length") > 0).alias("passed"),
+        F.struct(F.lit(NON_ZERO).alias("check"), (F.col("length") > 0).alias("passed"),
                  F.format_string("%d bytes", F.col("length")).alias("detail")),
-        F.struct(F.lit("Checksum match").alias("check"),
+        F.struct(F.lit(CHECKSUM).alias("check"),
                  F.when(F.col("checksum").isNotNull(), F.col("sha256") == F.col("checksum")).alias("passed"),
                  F.coalesce(F.substring("sha256", 1, 16), F.lit("No checksum in manifest")).alias("detail")),
-        F.struct(F.lit("JSONL parseable").alias("check"), F.col("first_bad_line").isNull().alias("passed"),
+        F.struct(F.lit(PARSEABLE).alias("check"), F.col("first_bad_line").isNull().alias("passed"),
                  F.when(F.col("first_bad_line").isNull(), F.format_string("Checked %d lines", F.col("line_count")))
                   .otherwise(F.format_string("JSON parse error on line %d", F.col("first_bad_line"))).alias("detail")),
-        F.struct(F.lit("Expected fields").alias("check"),
+        F.struct(F.lit(FIELDS).alias("check"),
                  F.when(F.col("required").isNotNull(), F.col("miss_line").isNull()).alias("passed"),
                  F.when(F.col("required").isNull(), F.lit("No field spec defined"))
                   .when(F.col("miss_line").isNull(), F.array_join(F.col("required"), ","))
                   .otherwise(F.format_string("Missing field '%s' on line %d", F.col("miss_field"), F.col("miss_line")))
                   .alias("detail")),
-        F.struct(F.lit("Line count").alias("check"),
+        F.struct(F.lit(LINES).alias("check"),
                  F.when(F.coalesce(F.col("num_examples"), F.lit(0)) > 0,
                         F.col("line_count") == F.col("num_examples")).otherwise(F.lit(True)).alias("passed"),
                  F.format_string("%d lines", F.col("line_count")).alias("detail")),
@@ -260,10 +268,10 @@ def check_table(manifest: DataFrame, lines: DataFrame, contracts: DataFrame, nam
     check = lambda label, passed, detail: F.struct(F.lit(label).alias("check"), passed.alias("passed"), detail.alias("detail"))
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
     checks = F.array(
-        check("File exists", there, F.when(there, F.lit("found")).otherwise(F.lit("absent"))),
-        check("Non-zero size", F.col("line_count") > 0, text(F.col("line_count"), " lines")),
-        check("JSONL parseable", F.col("parse_ok"), F.when(F.col("parse_ok"), F.lit("every line")).otherwise(text("not line ", F.col("first_bad_line")))),
-        check("Expected fields", F.col("fields_ok"), F.when(F.col("fields_ok").isNull(), F.lit("no contract")).when(F.col("fields_ok"), F.lit("every line"))
+        check(FILE_EXISTS, there, F.when(there, F.lit("found")).otherwise(F.lit("absent"))),
+        check(NON_ZERO, F.col("line_count") > 0, text(F.col("line_count"), " lines")),
+        check(PARSEABLE, F.col("parse_ok"), F.when(F.col("parse_ok"), F.lit("every line")).otherwise(text("not line ", F.col("first_bad_line")))),
+        check(FIELDS, F.col("fields_ok"), F.when(F.col("fields_ok").isNull(), F.lit("no contract")).when(F.col("fields_ok"), F.lit("every line"))
               .otherwise(text("no ", F.col("missing_field"), " on line ", F.col("fields_line")))),
-        check("Line count", F.col("count_ok"), text(F.col("line_count"), " of ", F.coalesce(F.col("num_examples"), F.lit(0)))))
+        check(LINES, F.col("count_ok"), text(F.col("line_count"), " of ", F.coalesce(F.col("num_examples"), F.lit(0)))))
     return m.select(name, F.inline(F.when(there, checks).otherwise(F.slice(checks, 1, 1))))
