@@ -22,6 +22,7 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,8 @@ LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 LETTERS_ONLY = re.compile(f" ?[{LETTERS}]+")
 PIECES = re.compile(f" ?[{LETTERS}]+(?=[.,!?;:{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
+CLOSING = ".,!?;:"
+
 
 def byte_alphabet() -> list[str]:
     """The character that stands for each byte: itself where it is printable
@@ -74,6 +77,25 @@ def file_tokenizer(path: str):
     return tokenizer
 
 
+def _joined(table: np.ndarray, sizes: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The table's rows of these numbers, one after another, and their sizes."""
+    size = sizes[number]
+    ends = np.cumsum(size)
+    return table[np.repeat((np.cumsum(sizes) - sizes)[number] - (ends - size), size) + np.arange(size.sum())], size
+
+
+def _closed(words: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Words without the one closing character behind a letter or digit, and its number or -1."""
+    core = pc.utf8_rtrim(words, CLOSING)
+    cut = pc.and_(pc.equal(pc.subtract(pc.binary_length(words), pc.binary_length(core)), 1), pc.match_substring_regex(core, f"[{LETTERS}0-9]\\z"))
+    closing = np.full(len(words), -1)
+    at = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+    if len(at):
+        ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset + at + 1]
+        closing[at] = np.argmax(np.frombuffer(words.buffers()[2], np.uint8)[ends - 1, None] == np.frombuffer(CLOSING.encode(), np.uint8), axis=1)
+    return pc.if_else(cut, core, words).dictionary_encode(), closing
+
+
 class Codec:
     """Encodes texts to ids (little-endian unsigned 32-bit) and back.  The
     library's tokenizer is made when first needed: decoding does without."""
@@ -134,6 +156,91 @@ class Codec:
             self.cache.update(found)
         return [b"".join([found[p] if i is None else i for p, i in zip(pieces, ids)] if None in ids else ids) for pieces, ids in rows]
 
+    @cached_property
+    def word_tokenizer(self):
+        """The model alone, on words that are spelled in the byte alphabet and joined by line ends."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        tokenizer = Tokenizer(self.model)
+        tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        return tokenizer
+
+    def _encode_unseen(self, pieces: list[str]) -> dict[str, bytes]:
+        out = {p: i for p in pieces if (i := self.old.get(p)) is not None}
+        words, rest = [], []
+        for p in pieces:
+            if p not in out:
+                (words if LETTERS_ONLY.fullmatch(p) else rest).append(p)
+        spelled = np.array([ord(c) for c in byte_alphabet()], "<u4")
+        spelled[10] = 10
+        for at in range(0, len(words), 10_000):
+            some = words[at:at + 10_000]
+            joined = np.frombuffer("\n".join(some).encode(), np.uint8)
+            found = self.word_tokenizer.encode_batch_fast([spelled[joined].tobytes().decode("utf-32-le")], add_special_tokens=False)[0].ids
+            ids = np.array(found, "<u4")
+            # the word ends where the tokens' bytes are as many as its own and those of the words before
+            breaks = np.r_[np.flatnonzero(joined == 10), len(joined)]
+            ends = np.searchsorted(np.cumsum(self.lengths[ids]), breaks - np.arange(len(some))) + 1
+            data, bounds = ids.tobytes(), (4 * ends).tolist()
+            out.update(zip(some, [data[a:b] for a, b in zip([0, *bounds], bounds)]))
+        out.update(zip(rest, self.encode_many(rest)))
+        return out
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        if len(self.cache) > self.cache_pieces:
+            self.cache, self.old = {}, self.cache
+        ids = list(map(self.cache.get, pieces))
+        if None in ids:
+            found = self._encode_unseen(list({p for p, i in zip(pieces, ids) if i is None}))
+            ids = [found[p] if i is None else i for p, i in zip(pieces, ids)]
+            if len(found) <= self.cache_pieces:
+                self.cache.update(found)
+        return ids
+
+    def encode_words(self, texts: list[str]) -> list[bytes]:
+        """As ``encode_many``, but Arrow cuts the texts before each space and
+        numbers the different words, and only these, without closing
+        punctuation behind a letter or digit, are looked up.  The pattern
+        crosses such a cut only if white space is on both sides of the space:
+        texts with such a place go to ``encode_many``."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        first, found = split.offsets.to_numpy()[:-1].astype(np.int64), split.values.dictionary_encode()
+        number, words = found.indices.to_numpy().astype(np.int64), found.dictionary
+        empty = pc.equal(words, "").to_numpy(zero_copy_only=False)
+        before, after = (pc.match_substring_regex(words, p).to_numpy(zero_copy_only=False) for p in (f"[{SPACE}]\\z", f"\\A[{SPACE}]"))
+        if (empty | before).any():
+            end, start = (before | empty)[number], (after | empty)[number]
+            end[first], start[first] = before[number[first]], False  # nothing stands before a text
+            crossed = np.flatnonzero(start[1:] & end[:-1]) + 1
+            if len(crossed):
+                odd = np.unique(np.searchsorted(first, crossed, "right") - 1).tolist()
+                out = dict(zip(odd, self.encode_many([texts[i] for i in odd])))
+                plain = [i for i in range(len(texts)) if i not in out]
+                out.update(zip(plain, self.encode_words([texts[i] for i in plain])))
+                return [out[i] for i in range(len(texts))]
+        starting, at_start = np.unique(number[first], return_inverse=True)
+        number[first] = len(words) + at_start
+        # a word of two lines is the two and the line end; words after a space, and words after none
+        lines = pc.match_substring_regex(words, f"\\A[^{SPACE}]+\n[^{SPACE}]+\\z")
+        halves = pc.split_pattern(words.filter(lines), "\n").flatten().cast(pa.large_string())
+        both = np.arange(len(halves)).reshape(-1, 2)
+        spaced = pc.replace_with_mask(words, lines, halves.take(pa.array(both[:, 0])))
+        bare = pa.concat_arrays([halves.take(pa.array(both[:, 1])), words.take(pa.array(starting))])
+        pieces = ["", "\n", *CLOSING]
+        spelling = np.zeros((len(words) + len(starting), 5), np.int64)
+        for some, space, at, rows in ((spaced, " ", 0, np.arange(len(words))),
+                                      (bare, "", 3, np.r_[np.flatnonzero(lines.to_numpy(zero_copy_only=False)), len(words) + np.arange(len(starting))])):
+            cores, closing = _closed(some)
+            spelling[rows, at], spelling[rows, at + 1] = len(pieces) + cores.indices.to_numpy(), np.where(closing < 0, 0, 2 + closing)
+            pieces += [space + c for c in cores.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        spelling[:len(words), 2] = spelling[:len(words), 3] > 0
+        ids = self._ids_of(pieces)
+        table, sizes = _joined(np.frombuffer(b"".join(ids), "<u4"), np.array([len(i) // 4 for i in ids]), spelling.ravel())
+        table, sizes = _joined(table, sizes.reshape(-1, 5).sum(axis=1), number)
+        data, ends = table.tobytes(), 4 * np.r_[0, np.cumsum(sizes)]
+        bounds = ends[np.r_[first, len(sizes)]].tolist()
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 

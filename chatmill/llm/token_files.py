@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,31 +34,39 @@ from .bpe import codec, texts_of
 from .common import map_arrow, staged
 
 SHARD_IDS = 1 << 20
+SLICE_BYTES = 1 << 22
 NULL_ID = -(1 << 63)
 _FIELDS = ("part", "shard", "doc_ids", "sizes", "base", "rules", "lengths", "sequence", "n_ids")
 _SHARD = "part int, shard int, doc_ids binary, sizes binary, base int, rules binary, lengths binary, sequence binary, n_ids long"
 
 
-def _apart(at: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """Of places in a row with one pair, which overlap, every other one from the left."""
-    k = np.arange(len(at))
-    joined = np.r_[False, (np.diff(at) == 1) & (pair[1:] == pair[:-1])]
-    return (k - np.maximum.accumulate(np.where(joined, 0, k))) & 1 == 0
+def _joined_odd(at: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Of places in a row with one pair, which overlap, every other one from the second."""
+    joined = np.flatnonzero((at[1:] - at[:-1] == 1) & (pair[1:] == pair[:-1])) + 1
+    if not len(joined):
+        return joined
+    new = np.r_[True, joined[1:] - joined[:-1] != 1]
+    return joined[(joined - joined[new][np.cumsum(new) - 1]) & 1 == 0]
 
 
 def _numbered(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different pairs, ascending, and the number of each place's pair."""
     symbol, place = (int(x).bit_length() for x in (max(left.max(), right.max()), len(left)))
     if 2 * symbol + place <= 64:  # pair and place in one word sort several times faster than by argsort
-        key = np.sort((left << np.uint64(symbol) | right) << np.uint64(place) | np.arange(len(left), dtype=np.uint64))
-        order, ranked = (key & np.uint64((1 << place) - 1)).astype(np.int64), key >> np.uint64(place)
+        key = left.astype(np.uint64)
+        key <<= np.uint64(symbol)
+        key |= right
+        key <<= np.uint64(place)
+        key |= np.arange(len(left), dtype=np.uint64)
+        key.sort()
+        order, ranked = (key & np.uint64((1 << place) - 1)).view(np.int64), key >> np.uint64(place)
     else:
-        symbol, pair = 32, left << np.uint64(32) | right
+        symbol, pair = 32, left.astype(np.uint64) << np.uint64(32) | right
         order = np.argsort(pair)
         ranked = pair[order]
     new = np.r_[True, ranked[1:] != ranked[:-1]]
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
+    number = np.empty(len(order), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
     found = ranked[new]
     return np.stack([found >> np.uint64(symbol), found & np.uint64((1 << symbol) - 1)], axis=1).astype(np.uint32), number
 
@@ -72,18 +81,26 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
     live = np.ones(len(sequence), bool)  # places whose pair may occur twice: all of a pair or none
     live[-1:] = False
     known, known_as = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # pairs with a rule, ascending, and their nonterminals
+    weight = np.zeros(len(sequence) + 1, np.int64)  # by count, ties by pair; the last stands before the first place as well
     while (at := np.flatnonzero(live)).size:
-        pairs, number = _numbered(sequence[at].astype(np.uint64), sequence[at + 1].astype(np.uint64))
-        apart = _apart(at, number)
-        counts = np.bincount(number[apart], minlength=len(pairs))
-        again = (counts >= 2)[number]
-        weight = np.zeros(len(sequence) + 1, np.int64)  # by count, ties by pair; the last stands before the first place as well
-        weight[at] = np.where(again & apart, counts[number] << 32 | number, 0)
-        here = weight[at]
-        chosen = (here > weight[at - 1]) & (here > weight[at + 1])
-        good = np.bincount(number[chosen], minlength=len(pairs)) >= 2  # overlaps may have used a pair's places up
-        chosen &= good[number]
-        if not chosen.any():
+        pairs, number = _numbered(sequence[at], sequence[at + 1])
+        overlaps = _joined_odd(at, number)
+        counts = np.bincount(number, minlength=len(pairs)) - np.bincount(number[overlaps], minlength=len(pairs))
+        often = counts >= 2
+        again = often[number]
+        live[at] = again
+        again[overlaps] = False
+        at, number = at[again], number[again]
+        here = (counts << 32 | np.arange(len(pairs)))[number]
+        weight[at] = here
+        chosen = here > weight[at - 1]
+        chosen &= here > weight[at + 1]
+        weight[at] = 0
+        put, number = at[chosen], number[chosen]
+        good = np.bincount(number, minlength=len(pairs)) >= 2  # overlaps may have used a pair's places up
+        chosen = good[number]
+        put, number = put[chosen], number[chosen]
+        if not len(put):
             break
         own = pairs[good].astype(np.uint64)
         own = own[:, 0] << np.uint64(32) | own[:, 1]
@@ -93,10 +110,10 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         known, known_as = np.insert(known, place[~old], own[~old]), np.insert(known_as, place[~old], symbol[~old])
         new = pairs[good][~old]
         rules.append(new)
-        lengths = np.r_[lengths, lengths[new].sum(axis=1, dtype=np.uint32)]
-        put = at[chosen]
-        sequence[put] = symbol[(np.cumsum(good) - 1)[number[chosen]]]
-        live[at] = again
+        lengths = np.r_[lengths, lengths[new[:, 0]] + lengths[new[:, 1]]]
+        becomes = np.zeros(len(pairs), np.uint32)
+        becomes[good] = symbol
+        sequence[put] = becomes[number]
         live[put] = live[put[put > 0] - 1] = True
         left = np.ones(len(sequence), bool)
         left[put + 1] = False
@@ -168,6 +185,15 @@ def _shard_row(part: int, shard: int, doc_ids: list, blobs: list[bytes], base: i
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=list(_FIELDS))
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose texts begin in the same ``SLICE_BYTES``."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+    number = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    bounds = np.r_[0, np.flatnonzero(number[1:] != number[:-1]) + 1, batch.num_rows].tolist()
+    for a, b in zip(bounds, bounds[1:]):
+        yield batch.slice(a, b - a)
+
+
 class Encoder:
     """Texts to ids as the library gives them, without special tokens added;
     the string of a special token inside a text is that token.  Texts that hold
@@ -180,7 +206,7 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        out = self.codec.encode_many(texts)
+        out = self.codec.encode_words(texts)
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -199,8 +225,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, s
         own, part, shard = Encoder(vocabulary), TaskContext.get().partitionId(), 0
         doc_ids, blobs, held = [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                piece = batch.slice(at, 200)
+            for piece in _slices(batch):
                 for doc_id, ids in zip(piece.column(0).to_pylist(), own.encode_many(texts_of(piece.column(1)))):
                     doc_ids.append(doc_id)
                     blobs.append(ids + end)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import importlib.util
 import math
+import random
 import re
 import struct
 import zlib
@@ -194,6 +195,25 @@ def test_token_ids_are_those_of_the_library(spark, tmp_path):
         assert list(struct.unpack(f"<{r.n_tokens}I", r.ids)) == library.encode(texts[r.doc_id], add_special_tokens=False).ids + [0]
 
 
+def test_words_of_a_batch_are_encoded_as_the_library_does(monkeypatch):
+    """Each different word once; only texts whose white space the pattern joins over a space go another way."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), bpe.Codec(path)
+    rng = random.Random(5)
+    parts = [" "] * 8 + list("abé'.,;1½字\n\t\r\x85\xa0\u3000\x1c_") + ["word", "'s", "$$$", ".\nNext", "\n\n", "  "]
+    for _ in range(60):
+        texts = ["".join(rng.choices(parts, k=rng.randrange(16))) for _ in range(60)]
+        for text, ids in zip(texts, own.encode_words(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert own.encode_words([]) == [] and own.encode_words(["", ""]) == [b"", b""]
+    looked_up = []
+    monkeypatch.setattr(own, "_ids_of", lambda pieces, of=own._ids_of: looked_up.append(len(pieces)) or of(pieces))
+    assert own.encode_words(["same words, same words.\nsame again."] * 1000)[999] == own.encode_many(["same words, same words.\nsame again."])[0]
+    assert len(looked_up) == 1 and looked_up[0] < 50
+
+
 @pytest.mark.parametrize("text", ["½ ² Ⅷ", "12 34", "", " \n", "...", "٣٤", "🙂", "_"])
 def test_a_text_without_a_letter_has_no_language(text):
     assert langid.counts(text) is None and not any(map(str.isalpha, text))
