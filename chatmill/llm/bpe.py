@@ -16,8 +16,10 @@ import base64
 import codecs
 import os
 import re
+import string
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import compress
 from struct import pack
 
 import numpy as np
@@ -39,7 +41,8 @@ LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 LETTERS_ONLY = re.compile(f" ?[{LETTERS}]+")
 PIECES = re.compile(f" ?[{LETTERS}]+(?=[.,!?;:{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
-CLOSING = ".,!?;:"
+#: always a cut before it behind a letter or digit
+CLOSING = string.punctuation
 
 
 def byte_alphabet() -> list[str]:
@@ -85,14 +88,19 @@ def _joined(table: np.ndarray, sizes: np.ndarray, number: np.ndarray) -> tuple[n
 
 
 def _closed(words: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """Words without the one closing character behind a letter or digit, and its number or -1."""
+    """Words without the one to three closing characters behind a letter or
+    digit, and the bytes of these, the last one lowest (0: none)."""
     core = pc.utf8_rtrim(words, CLOSING)
-    cut = pc.and_(pc.equal(pc.subtract(pc.binary_length(words), pc.binary_length(core)), 1), pc.match_substring_regex(core, f"[{LETTERS}0-9]\\z"))
-    closing = np.full(len(words), -1)
+    size = pc.subtract(pc.binary_length(words), pc.binary_length(core))
+    cut = pc.and_(pc.and_(pc.greater(size, 0), pc.less(size, 4)), pc.match_substring_regex(core, f"[{LETTERS}0-9]\\z"))
+    closing = np.zeros(len(words), np.int64)
     at = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
     if len(at):
-        ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset + at + 1]
-        closing[at] = np.argmax(np.frombuffer(words.buffers()[2], np.uint8)[ends - 1, None] == np.frombuffer(CLOSING.encode(), np.uint8), axis=1)
+        size, ends = size.to_numpy()[at], np.frombuffer(words.buffers()[1], np.int64)[words.offset + at + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        for k in range(3):
+            more = size > k
+            closing[at[more]] |= data[ends[more] - 1 - k].astype(np.int64) << 8 * k
     return pc.if_else(cut, core, words).dictionary_encode(), closing
 
 
@@ -167,10 +175,9 @@ class Codec:
 
     def _encode_unseen(self, pieces: list[str]) -> dict[str, bytes]:
         out = {p: i for p in pieces if (i := self.old.get(p)) is not None}
-        words, rest = [], []
-        for p in pieces:
-            if p not in out:
-                (words if LETTERS_ONLY.fullmatch(p) else rest).append(p)
+        unseen = [p for p in pieces if p not in out]
+        single = pc.match_substring_regex(pa.array(unseen, pa.large_string()), f"\\A ?[{LETTERS}]+\\z")
+        words, rest = list(compress(unseen, single.to_pylist())), list(compress(unseen, pc.invert(single).to_pylist()))
         spelled = np.array([ord(c) for c in byte_alphabet()], "<u4")
         spelled[10] = 10
         for at in range(0, len(words), 10_000):
@@ -226,12 +233,17 @@ class Codec:
         both = np.arange(len(halves)).reshape(-1, 2)
         spaced = pc.replace_with_mask(words, lines, halves.take(pa.array(both[:, 0])))
         bare = pa.concat_arrays([halves.take(pa.array(both[:, 1])), words.take(pa.array(starting))])
-        pieces = ["", "\n", *CLOSING]
+        pieces, tails = ["", "\n"], {0: 0}
         spelling = np.zeros((len(words) + len(starting), 5), np.int64)
         for some, space, at, rows in ((spaced, " ", 0, np.arange(len(words))),
                                       (bare, "", 3, np.r_[np.flatnonzero(lines.to_numpy(zero_copy_only=False)), len(words) + np.arange(len(starting))])):
             cores, closing = _closed(some)
-            spelling[rows, at], spelling[rows, at + 1] = len(pieces) + cores.indices.to_numpy(), np.where(closing < 0, 0, 2 + closing)
+            different, closing = np.unique(closing, return_inverse=True)
+            for tail in different.tolist():
+                if tail not in tails:
+                    tails[tail] = len(pieces)
+                    pieces.append(tail.to_bytes(3, "big").decode().lstrip("\0"))
+            spelling[rows, at], spelling[rows, at + 1] = len(pieces) + cores.indices.to_numpy(), np.array([tails[t] for t in different.tolist()], np.int64)[closing]
             pieces += [space + c for c in cores.dictionary.to_numpy(zero_copy_only=False).tolist()]
         spelling[:len(words), 2] = spelling[:len(words), 3] > 0
         ids = self._ids_of(pieces)

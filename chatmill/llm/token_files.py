@@ -20,6 +20,7 @@ cover it, without the rest of the shard.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ from .bpe import codec, texts_of
 from .common import map_arrow, staged
 
 SHARD_IDS = 1 << 20
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 23
 NULL_ID = -(1 << 63)
 _FIELDS = ("part", "shard", "doc_ids", "sizes", "base", "rules", "lengths", "sequence", "n_ids")
 _SHARD = "part int, shard int, doc_ids binary, sizes binary, base int, rules binary, lengths binary, sequence binary, n_ids long"
@@ -224,17 +225,21 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, shard = Encoder(vocabulary), TaskContext.get().partitionId(), 0
         doc_ids, blobs, held = [], [], 0
-        for batch in batches:
-            for piece in _slices(batch):
-                for doc_id, ids in zip(piece.column(0).to_pylist(), own.encode_many(texts_of(piece.column(1)))):
-                    doc_ids.append(doc_id)
-                    blobs.append(ids + end)
-                    held += len(ids) // 4 + 1
-                    if held >= shard_ids:
-                        yield _shard_row(part, shard, doc_ids, blobs, len(own.codec.tokens))
-                        doc_ids, blobs, held, shard = [], [], 0, shard + 1
-        if blobs:
-            yield _shard_row(part, shard, doc_ids, blobs, len(own.codec.tokens))
+        gc.disable()  # lists of words are long and hold no cycles: a collection would walk through them for nothing
+        try:
+            for batch in batches:
+                for piece in _slices(batch):
+                    for doc_id, ids in zip(piece.column(0).to_pylist(), own.encode_many(texts_of(piece.column(1)))):
+                        doc_ids.append(doc_id)
+                        blobs.append(ids + end)
+                        held += len(ids) // 4 + 1
+                        if held >= shard_ids:
+                            yield _shard_row(part, shard, doc_ids, blobs, len(own.codec.tokens))
+                            doc_ids, blobs, held, shard = [], [], 0, shard + 1
+            if blobs:
+                yield _shard_row(part, shard, doc_ids, blobs, len(own.codec.tokens))
+        finally:
+            gc.enable()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data")).withColumn("tie", F.xxhash64("data"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "data")
